@@ -1,0 +1,268 @@
+"""Files to tables: each query writes whole tables as files, ingests them and reads the result."""
+
+from __future__ import annotations
+
+import uuid
+from typing import Any
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.registry import query, table
+from terrace import (
+    Bronze,
+    append_new,
+    build_pipeline,
+    overwrite_table,
+    read_new_files,
+    read_table,
+    register,
+    register_source,
+    run_bronze,
+    schema_from_dict,
+)
+from terrace.scratch import scratch_path
+
+
+def schema_of(*names: str):
+    return schema_from_dict({"columns": [{"name": n} for n in names]})
+
+
+def new_table(name: str) -> str:
+    """A table name nobody else has."""
+    return f"default.{name}_{uuid.uuid4().hex}"
+
+
+def ingest(spark: SparkSession, file_type: str, source: str, names: list[str], **job: Any) -> DataFrame:
+    """Run a raw-table job over a directory and read the columns of its files back."""
+    schema = schema_of(*names)
+    name = run_bronze(
+        spark, Bronze(new_table("raw"), source, scratch_path(spark, "raw"), schema, file_type=file_type, **job)
+    )
+    return read_table(spark, name, schema)
+
+
+ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+ORDERS_AS_TEXT = """
+    CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+    CAST(CAST(o_totalprice AS DECIMAL(14, 2)) AS VARCHAR) AS o_totalprice,
+    strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate
+"""
+
+
+def orders_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as a file would hold them; every seventh has no priority."""
+    return table(spark, sf, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS o_orderkey",
+        "CAST(o_custkey AS STRING) AS o_custkey",
+        "o_orderstatus",
+        "CAST(CAST(o_totalprice AS DECIMAL(14, 2)) AS STRING) AS o_totalprice",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS o_orderdate",
+        "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS o_orderpriority",
+    )
+
+
+_SOME_NULL = "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS o_orderpriority"
+
+
+@query(f"SELECT {ORDERS_AS_TEXT}, {_SOME_NULL} FROM orders")
+def ingest_csv(spark: SparkSession, sf: str) -> DataFrame:
+    source = scratch_path(spark, "orders-csv")
+    orders_text(spark, sf).write.csv(source, header=True, sep=";")
+    return ingest(spark, "csv", source, ORDERS, reader={"delimiter": ";"})
+
+
+@query(f"SELECT {ORDERS_AS_TEXT}, {_SOME_NULL} FROM orders")
+def ingest_csv_no_header(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields that hold the delimiter and quotes come back whole."""
+    source = scratch_path(spark, "orders-csv")
+    noisy = orders_text(spark, sf).withColumn("o_orderstatus", F.concat(F.lit('a,"'), "o_orderstatus"))
+    noisy.write.csv(source, escape='"')
+    raw = ingest(spark, "csv", source, ORDERS, reader={"header": False, "extra": {"escape": '"'}})
+    return raw.withColumn("o_orderstatus", F.expr("""substring(o_orderstatus, length('a,"') + 1)"""))
+
+
+@query(
+    """
+    SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 3 <> 0 THEN event_type END AS event_type,
+           CAST(value AS VARCHAR) AS value, replace(props, ': ', ':') AS props FROM events
+    """
+)
+def ingest_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers and objects arrive as their text, absent keys as null."""
+    source = scratch_path(spark, "events-json")
+    table(spark, sf, "events").select(
+        "event_id",
+        F.expr("CASE WHEN event_id % 3 <> 0 THEN event_type END AS event_type"),
+        "value",
+        F.from_json("props", "k int").alias("props"),
+    ).write.json(source)
+    return ingest(spark, "json", source, ["event_id", "event_type", "value", "props"])
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents")
+def ingest_json_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents, line breaks and all."""
+    source = scratch_path(spark, "documents-json")
+    table(spark, sf, "documents").select("doc_id", "text", "lang", "source").write.json(source)
+    return ingest(spark, "json", source, ["doc_id", "text", "lang", "source"])
+
+
+@query("SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role, text FROM conversations")
+def ingest_json_multiline(spark: SparkSession, sf: str) -> DataFrame:
+    """One file per conversation, an array over many lines."""
+    source = scratch_path(spark, "conversations-json")
+    turns = F.collect_list(F.struct("conv_id", "turn", "role", "text"))
+    files = table(spark, sf, "conversations").groupBy(F.col("conv_id").alias("file")).agg(turns.alias("turns"))
+    pretty = files.select("file", F.to_json("turns", {"pretty": "true"}).alias("value"))
+    pretty.write.partitionBy("file").text(source)
+    reader = {"multiline": True, "recursive": True}
+    return ingest(spark, "json", source, ["conv_id", "turn", "role", "text"], reader=reader)
+
+
+@query(f"SELECT {ORDERS_AS_TEXT}, {_SOME_NULL.replace('END', 'ELSE chr(45) END')} FROM orders")
+def ingest_text(spark: SparkSession, sf: str) -> DataFrame:
+    source = scratch_path(spark, "orders-text")
+    orders_text(spark, sf).na.fill("-").select(F.concat_ws("|", *ORDERS).alias("value")).write.text(source)
+    return ingest(spark, "text", source, ORDERS, reader={"delimiter": "|"})
+
+
+@query(f"SELECT {ORDERS_AS_TEXT}, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority ELSE '' END AS o_orderpriority FROM orders")
+def ingest_text_regex(spark: SparkSession, sf: str) -> DataFrame:
+    """Pieces apart by any run of bars and semicolons; an empty piece stays empty."""
+    source = scratch_path(spark, "orders-text")
+    lines = orders_text(spark, sf).na.fill("").select(F.concat_ws(";|;", *ORDERS).alias("value"))
+    lines.write.text(source)
+    return ingest(spark, "text", source, ORDERS, reader={"delimiter": "[|;]+", "delimiter_is_regex": True})
+
+
+@query(
+    """
+    SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_returnflag,
+           count(*) AS copies
+    FROM lineitem GROUP BY ALL
+    """
+)
+def ingest_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs over a growing directory, the last with nothing new: every row lands once."""
+    names = ["l_orderkey", "l_linenumber", "l_returnflag"]
+    source, schema = scratch_path(spark, "lineitem-csv"), schema_of(*names)
+    job = Bronze(new_table("raw"), source, scratch_path(spark, "raw"), schema)
+    rows = table(spark, sf, "lineitem").select(*names)
+    open_lines = F.col("l_returnflag") == "N"
+    for part in (rows.where(open_lines), rows.where(~open_lines), None):
+        if part is not None:
+            part.write.mode("append").csv(source, header=True)
+        run_bronze(spark, job)
+    return read_table(spark, job.table, schema).groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer")
+def ingest_recursive(spark: SparkSession, sf: str) -> DataFrame:
+    """Files in sub-directories, taken in batches of a few files."""
+    source = scratch_path(spark, "customer-csv")
+    names = ["c_custkey", "c_name", "c_mktsegment"]
+    customers = table(spark, sf, "customer").select(*names, F.col("c_nationkey").alias("nation"))
+    customers.repartition("nation").write.partitionBy("nation").csv(source, header=True)
+    return ingest(spark, "csv", source, names, reader={"recursive": True, "max_files_per_trigger": 10})
+
+
+@query("SELECT l_orderkey, l_partkey, l_extendedprice, l_shipdate FROM lineitem")
+def ingest_registered_source(spark: SparkSession, sf: str) -> DataFrame:
+    """A file type added by the user: Parquet, with its own types."""
+    register_source("parquet", lambda reader, path, schema, options: reader.schema(schema).parquet(path))
+    source, home = scratch_path(spark, "lineitem-parquet"), scratch_path(spark, "typed")
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate")
+    rows.write.parquet(source)
+    stream = read_new_files(spark, "parquet", source, rows.schema)
+    append_new(stream, f"{home}/data", f"{home}/_checkpoint", ingest_date=None)
+    return spark.read.schema(rows.schema).parquet(f"{home}/data")
+
+
+@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING'")
+def partitioned_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A filter on the partition column reads that partition's files only."""
+    source = scratch_path(spark, "customer-csv")
+    names = ["c_custkey", "c_name", "c_mktsegment"]
+    table(spark, sf, "customer").select(*names).write.csv(source, header=True)
+    raw = ingest(spark, "csv", source, names, partitions=["c_mktsegment"])
+    return raw.where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")
+
+
+@query(
+    """
+    SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_extendedprice AS VARCHAR) AS l_extendedprice,
+           lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS line FROM lineitem
+    """
+)
+def partition_writers(spark: SparkSession, sf: str) -> DataFrame:
+    """Two tasks write each partition; a partition value like 01 stays text."""
+    source = scratch_path(spark, "lineitem-csv")
+    table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey", "l_extendedprice", "lpad(CAST(l_linenumber AS STRING), 2, '0') AS line"
+    ).write.csv(source, header=True)
+    names = ["l_orderkey", "l_extendedprice", "line"]
+    return ingest(spark, "csv", source, names, partitions=["line"], writers_per_partition=2)
+
+
+@query(
+    "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment, true AS dated FROM customer"
+)
+def catalog_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw table by its catalog name, load date included."""
+    source = scratch_path(spark, "customer-csv")
+    table(spark, sf, "customer").select("c_custkey", "c_mktsegment").write.csv(source, header=True)
+    job = Bronze(new_table("raw"), source, scratch_path(spark, "raw"), schema_of("c_custkey", "c_mktsegment"))
+    scanned = read_table(spark, run_bronze(spark, job))
+    return scanned.select("c_custkey", "c_mktsegment", F.col("ingest_date").rlike(r"^\d{4}-\d\d-\d\d$").alias("dated"))
+
+
+@query("SELECT o_orderkey, o_totalprice * 2 AS doubled, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'")
+def overwrite_from_itself(spark: SparkSession, sf: str) -> DataFrame:
+    """A table replaced twice, the second time from itself and with other columns."""
+    name, home = new_table("clean"), scratch_path(spark, "clean")
+    orders = table(spark, sf, "orders")
+    overwrite_table(orders, name, home)
+    overwrite_table(read_table(spark, name).where("o_orderstatus <> 'F'"), name, home)
+    changed = read_table(spark, name).selectExpr("o_orderkey", "o_totalprice * 2 AS doubled", "o_orderpriority")
+    overwrite_table(changed, name, home, partitions=["o_orderpriority"])
+    return read_table(spark, name)
+
+
+@query("SELECT p_partkey, p_name, p_brand FROM part")
+def register_existing(spark: SparkSession, sf: str) -> DataFrame:
+    """Files already there become a table; registering again changes nothing."""
+    name, home = new_table("parts"), scratch_path(spark, "parts")
+    table(spark, sf, "part").select("p_partkey", "p_name", "p_brand").write.parquet(home)
+    register(spark, name, home)
+    register(spark, name, home)
+    return read_table(spark, name)
+
+
+@query(
+    """
+    WITH d AS (SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN CAST(value AS DECIMAL(12, 2)) END AS value, event_type
+               FROM events)
+    SELECT event_id, CAST(coalesce(value, (SELECT CAST(avg(value) AS DECIMAL(12, 2)) FROM d)) AS DOUBLE) AS value,
+           event_type
+    FROM d
+    """
+)
+def clean_on_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """A model fitted on a table cleans a stream of files."""
+    raw = table(spark, sf, "events").selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "CASE WHEN event_id % 5 <> 0 THEN CAST(CAST(value AS DECIMAL(12, 2)) AS STRING) END AS value",
+        "concat(' ', upper(event_type)) AS event_type",
+    )
+    contract = {
+        "convert_types": {"event_id": "bigint", "value": "decimal(12,2)"},
+        "null_handling": {"value": "mean"},
+        "normalize_text": ["event_type"],
+    }
+    model = build_pipeline(list(contract), contract).fit(raw)
+    source, home = scratch_path(spark, "events-csv"), scratch_path(spark, "streamed")
+    raw.write.csv(source, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    stream = model.transform(read_new_files(spark, "csv", source, schema_of(*raw.columns)))
+    append_new(stream, f"{home}/data", f"{home}/_checkpoint", ingest_date=None)
+    return spark.read.parquet(f"{home}/data").withColumn("value", F.col("value").cast("double"))

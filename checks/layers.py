@@ -1,0 +1,195 @@
+"""Layer jobs, features and lemmatisation."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.ingest import new_table, orders_text, schema_of
+from checks.registry import query, table
+from terrace import Bronze, Gold, Silver, read_table, run_bronze, run_layers, run_silver
+from terrace.operators.features import (
+    build_features,
+    category_counts,
+    entity_aggregates,
+    join_features,
+    time_window_aggregates,
+)
+from terrace.operators.lemmas import lemmatize
+from terrace.scratch import scratch_path
+
+_CLEAN_ORDERS = """
+    SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(14, 2)) AS o_totalprice,
+           CAST(o_orderdate AS DATE) AS o_orderdate,
+           CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority ELSE 'none' END AS o_orderpriority
+    FROM orders
+"""
+_ORDERS_CONTRACT = {
+    "remove_duplicates": {"subset_cols": None},
+    "convert_types": {
+        "o_orderkey": "bigint",
+        "o_custkey": "bigint",
+        "o_totalprice": "decimal(14,2)",
+        "o_orderdate": "date",
+    },
+    "null_handling": {"o_orderpriority": "none"},
+}
+
+
+def _order_jobs(spark: SparkSession, sf: str) -> tuple[Bronze, Silver]:
+    """Orders as CSV files, each row twice, into a raw and a clean table."""
+    source = scratch_path(spark, "orders-csv")
+    orders = orders_text(spark, sf)
+    orders.unionAll(orders).write.csv(source, header=True)
+    schema = schema_of(*orders.columns)
+    raw = Bronze(new_table("raw"), source, scratch_path(spark, "raw"), schema, partitions=["o_orderstatus"])
+    silver = Silver(new_table("clean"), raw.table, scratch_path(spark, "clean"), _ORDERS_CONTRACT, schema=schema)
+    return raw, silver
+
+
+@query(_CLEAN_ORDERS)
+def bronze_to_silver(spark: SparkSession, sf: str) -> DataFrame:
+    raw, silver = _order_jobs(spark, sf)
+    run_bronze(spark, raw)
+    return read_table(spark, run_silver(spark, silver))
+
+
+@query(
+    f"""
+    SELECT o_custkey, count(*) AS orders, CAST(sum(o_totalprice) AS DOUBLE) AS o_totalprice_sum,
+           CAST(max(o_totalprice) AS DOUBLE) AS o_totalprice_max, count(DISTINCT o_orderdate) AS o_orderdate_count_distinct,
+           count(*) FILTER (o_orderpriority = 'none') AS o_orderpriority_none
+    FROM ({_CLEAN_ORDERS}) GROUP BY o_custkey
+    """
+)
+def all_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Files to raw table, to clean table, to feature table, as one job per layer."""
+    raw, silver = _order_jobs(spark, sf)
+    features = [
+        {
+            "strategy": "entity_aggregates",
+            "rows": "orders",
+            "columns": {"o_totalprice": ["sum", "max"], "o_orderdate": ["count_distinct"]},
+        },
+        {"strategy": "category_counts", "category": "o_orderpriority", "values": ["none"]},
+    ]
+    gold = Gold(new_table("features"), scratch_path(spark, "features"), ["o_custkey"], {silver.table: features})
+    *_, name = run_layers(spark, {"bronze": [raw], "silver": [silver], "gold": [gold]})
+    table_ = read_table(spark, name)
+    return table_.withColumns({c: F.col(c).cast("double") for c in ("o_totalprice_sum", "o_totalprice_max")})
+
+
+_PRICE = "CAST(o_totalprice AS DECIMAL(14, 2))"
+
+
+@query(
+    f"""
+    SELECT o_custkey, count(*) AS orders, count({_PRICE}) AS price_count, CAST(sum({_PRICE}) AS DOUBLE) AS price_sum,
+           avg(o_orderkey) AS o_orderkey_avg, CAST(min({_PRICE}) AS DOUBLE) AS price_min,
+           CAST(max({_PRICE}) AS DOUBLE) AS price_max,
+           count(DISTINCT o_orderpriority) AS o_orderpriority_count_distinct
+    FROM orders GROUP BY o_custkey
+    """
+)
+def gold_entity_aggregates(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").withColumn("price", F.col("o_totalprice").cast("decimal(14,2)"))
+    aggregates = entity_aggregates(
+        {"price": ["count", "sum", "min", "max"], "o_orderkey": ["avg"], "o_orderpriority": ["count_distinct"]},
+        rows="orders",
+    )
+    features = build_features(orders, ["o_custkey"], [aggregates])
+    return features.withColumns({c: F.col(c).cast("double") for c in ("price_sum", "price_min", "price_max")})
+
+
+def _windows_sql(days: list[int]) -> str:
+    features = []
+    for n in days:
+        inside = f"ts > TIMESTAMP '2024-01-30 12:00:00' - INTERVAL {n} DAY AND ts <= TIMESTAMP '2024-01-30 12:00:00'"
+        features.append(f"count(*) FILTER ({inside}) AS rows_{n}d")
+        features.append(f"CAST(sum(CAST(value AS DECIMAL(12, 2))) FILTER ({inside}) AS DOUBLE) AS amount_sum_{n}d")
+        features.append(f"count(DISTINCT event_type) FILTER ({inside}) AS event_type_count_distinct_{n}d")
+    return ", ".join(features)
+
+
+@query(f"SELECT user_id, {_windows_sql([1, 7, 30])} FROM events GROUP BY user_id")
+def gold_time_windows(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events").withColumn("amount", F.col("value").cast("decimal(12,2)"))
+    windows = time_window_aggregates(
+        "ts", "2024-01-30 12:00:00", [1, 7, 30], {"amount": ["sum"], "event_type": ["count_distinct"]}
+    )
+    features = build_features(events, ["user_id"], [windows])
+    return features.withColumns({c: F.col(c).cast("double") for c in features.columns if "_sum_" in c})
+
+
+_TYPES = ["click", "view", "purchase", "signup", "error"]
+_TYPE_COUNTS = ", ".join(f"count(*) FILTER (event_type = '{t}') AS event_type_{t}" for t in _TYPES)
+
+
+@query(f"SELECT user_id, {_TYPE_COUNTS} FROM events GROUP BY user_id")
+def gold_category_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return build_features(table(spark, sf, "events"), ["user_id"], [category_counts("event_type", _TYPES)])
+
+
+@query(
+    f"""
+    WITH a AS (SELECT user_id, {_TYPE_COUNTS}, {_windows_sql([7])} FROM events GROUP BY user_id),
+         b AS (SELECT o_custkey AS user_id, count(*) AS orders, CAST(sum({_PRICE}) AS DOUBLE) AS price_sum
+               FROM orders GROUP BY o_custkey)
+    SELECT * FROM a FULL OUTER JOIN b USING (user_id)
+    """
+)
+def gold_feature_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Features of two tables side by side; an entity in one of them only keeps its row."""
+    events = table(spark, sf, "events").withColumn("amount", F.col("value").cast("decimal(12,2)"))
+    orders = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("user_id"), F.col("o_totalprice").cast("decimal(14,2)").alias("price")
+    )
+    windows = time_window_aggregates(
+        "ts", "2024-01-30 12:00:00", [7], {"amount": ["sum"], "event_type": ["count_distinct"]}
+    )
+    keys = ["user_id"]
+    joined = join_features(
+        [
+            build_features(events, keys, [category_counts("event_type", _TYPES), windows]),
+            build_features(orders, keys, [entity_aggregates({"price": ["sum"]}, rows="orders")]),
+        ],
+        keys,
+    )
+    return joined.withColumns({c: F.col(c).cast("double") for c in ("amount_sum_7d", "price_sum")})
+
+
+@query(
+    """
+    WITH words AS (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS token,
+                          generate_subscripts(string_split(p_name, ' '), 1) AS position FROM part),
+    dictionary AS (SELECT DISTINCT token, token || '_' || length(token) AS lemma FROM words WHERE length(token) % 2 = 0)
+    SELECT w.p_partkey, string_agg(coalesce(lemma, w.token), ' ' ORDER BY position) AS p_name, any_value(p_brand) AS p_brand
+    FROM words w LEFT JOIN dictionary d ON w.token = d.token JOIN part p ON p.p_partkey = w.p_partkey
+    GROUP BY w.p_partkey
+    """
+)
+def lemmatize_names(spark: SparkSession, sf: str) -> DataFrame:
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
+    tokens = parts.select(F.explode(F.split("p_name", " ")).alias("token")).distinct()
+    dictionary = tokens.where("length(token) % 2 = 0").selectExpr("token", "concat(token, '_', length(token)) AS lemma")
+    return lemmatize(parts, "p_partkey", "p_name", dictionary)
+
+
+@query(
+    """
+    WITH dictionary AS (
+      SELECT DISTINCT token, token[:-2] AS lemma FROM (SELECT unnest(string_split(text, ' ')) AS token FROM documents)
+      WHERE length(token) > 3 AND token LIKE '%s'),
+    words AS (SELECT doc_id, unnest(string_split(text, ' ')) AS token,
+                     generate_subscripts(string_split(text, ' '), 1) AS position FROM documents)
+    SELECT w.doc_id, string_agg(coalesce(lemma, w.token), ' ' ORDER BY position) AS text, any_value(lang) AS lang
+    FROM words w LEFT JOIN dictionary d ON w.token = d.token JOIN documents o ON o.doc_id = w.doc_id
+    GROUP BY w.doc_id
+    """
+)
+def lemmatize_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents, with a dictionary that grows with them: words in s, less the s."""
+    documents = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    tokens = documents.select(F.explode(F.split("text", " ")).alias("token")).distinct()
+    plurals = tokens.where("length(token) > 3 AND token LIKE '%s'")
+    return lemmatize(documents, "doc_id", "text", plurals.selectExpr("token", "left(token, length(token) - 1) AS lemma"))
