@@ -100,6 +100,15 @@ def read_table(spark: SparkSession, table: str, schema: StructType | None = None
     return spark.read.schema(wanted).format(about["Provider"]).load(about["Location"]).select(*names)
 
 
+def _same_layout(df: DataFrame, table: str, table_format: str) -> bool:
+    """Whether the table could hold ``df`` as it is: format, columns and no partitions."""
+    spark = df.sparkSession
+    if any(c.isPartition for c in spark.catalog.listColumns(quote_table(table))):
+        return False
+    provider = _details(spark, table).get("Provider", "")
+    return provider.lower() == table_format.lower() and declared_schema(spark, table) == df.schema
+
+
 def overwrite_table(
     df: DataFrame, table: str, location: str, *, table_format: str = "parquet", partitions: Sequence[str] = ()
 ) -> str:
@@ -126,7 +135,7 @@ def overwrite_table(
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     version = f"{location.rstrip('/')}/version-{stamp}-{uuid.uuid4().hex[:8]}"
     writer.mode("errorifexists").save(version)
-    if known and not partitions and spark.table(quote_table(table)).schema == df.schema:
+    if known and not partitions and _same_layout(df, table, table_format):
         spark.sql(f"ALTER TABLE {quote_table(table)} SET LOCATION {sql_text(version)}")
         spark.sql(f"REFRESH TABLE {quote_table(table)}")
     else:
