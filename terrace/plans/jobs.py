@@ -87,7 +87,8 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
     levels = [INGEST_DATE, *job.partitions]
     fields = {f.name: f for f in [*schema.fields, StructField(INGEST_DATE, StringType())]}
     ordered = StructType([fields[n] for n in fields if n not in levels] + [fields[n] for n in levels])
-    return register(spark, job.table, f"{home}/data", job.table_format, schema=ordered, partitions=levels)
+    data = f"{home}/data"
+    return register(spark, job.table, data, job.table_format, schema=ordered, partitions=levels, streamed=True)
 
 
 def run_silver(spark: SparkSession, job: Silver) -> str:

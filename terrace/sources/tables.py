@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import StructType
 
-from terrace.functions import quote, quote_table, sql_text
+from terrace.functions import column, quote, quote_table, sql_text
 
 # Formats that keep their own versions and replace a table in place.
 VERSIONED = ("delta", "iceberg", "hudi")
@@ -23,22 +23,6 @@ def _details(spark: SparkSession, table: str) -> dict[str, str]:
     return {r["col_name"]: r["data_type"] for r in rows[start + 1 :]}
 
 
-def _create(
-    spark: SparkSession,
-    table: str,
-    location: str,
-    table_format: str,
-    schema: StructType | None = None,
-    partitions: Sequence[str] = (),
-) -> None:
-    columns = f"({schema.toDDL()})" if schema is not None else ""
-    by = f"PARTITIONED BY ({', '.join(map(quote, partitions))})" if schema is not None and partitions else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {quote_table(table)} {columns} "
-        f"USING {quote(table_format)} {by} LOCATION {sql_text(location)}"
-    )
-
-
 def register(
     spark: SparkSession,
     table: str,
@@ -47,24 +31,35 @@ def register(
     *,
     schema: StructType | None = None,
     partitions: Sequence[str] = (),
+    streamed: bool = False,
 ) -> str:
     """Make the files at ``location`` a table, creating its database first; give back its name.
 
     A table already there must be at the same place: ``IF NOT EXISTS`` alone would quietly leave
-    the old one. The file list that the session may have cached is refreshed.
+    the old one. The file list that the session may have cached is refreshed, and partitions are
+    looked up, but for ``streamed`` files: those are found by the log the stream keeps beside them.
     """
+    name = quote_table(table)
     database, _, _ = table.rpartition(".")
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_table(database)}")
-    known = spark.catalog.tableExists(quote_table(table))
-    _create(spark, table, location, table_format, schema, partitions)
-    if known:
-        present = _details(spark, table).get("Location", "")
-        if _path(present) != _path(location):
-            raise ValueError(f"table {table} is at {present}, not at {location}")
-    if partitions and spark.conf.get("spark.sql.catalogImplementation") == "hive":
-        spark.sql(f"MSCK REPAIR TABLE {quote_table(table)}")
-    spark.sql(f"REFRESH TABLE {quote_table(table)}")
+    # Where a stream has written files, a new table gets the types that its directory names look
+    # like, not the declared ones. So it is declared over nothing and pointed at its files then.
+    nothing = f"{location.rstrip('/')}/_declared"
+    declare = schema is not None and table_format.lower() not in VERSIONED
+    if not spark.catalog.tableExists(name):
+        columns = f"({schema.toDDL()})" if declare else ""
+        by = f"PARTITIONED BY ({', '.join(map(quote, partitions))})" if declare and partitions else ""
+        place = sql_text(nothing if declare else location)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {quote(table_format)} {by} LOCATION {place}")
+    present = _details(spark, table).get("Location", location)
+    if _path(present) == _path(nothing):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {sql_text(location)}")
+    elif _path(present) != _path(location):
+        raise ValueError(f"table {table} is at {present}, not at {location}")
+    if partitions and declare and not streamed:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.sql(f"REFRESH TABLE {name}")
     return table
 
 
@@ -76,28 +71,12 @@ def _path(location: str) -> str:
     return location.rstrip("/")
 
 
-def declared_schema(spark: SparkSession, table: str) -> StructType:
-    """The columns as the table was created with, which is what ``DESCRIBE`` shows first."""
-    schema = StructType()
-    for row in spark.sql(f"DESCRIBE TABLE {quote_table(table)}").collect():
-        if not row["col_name"] or row["col_name"].startswith("# "):
-            break
-        schema.add(row["col_name"], DataType.fromDDL(row["data_type"]))
-    return schema
-
-
 def read_table(spark: SparkSession, table: str, schema: StructType | None = None) -> DataFrame:
-    """A table with the types it was declared with or, given ``schema``, only those columns.
-
-    Plain files are read with that schema rather than through the catalog: from directory names
-    alone Spark takes the partition value ``01`` of a table of strings for the number 1.
-    """
-    about = _details(spark, table)
-    wanted = declared_schema(spark, table) if schema is None else schema
-    names = [quote(n) for n in wanted.names]
-    if about["Provider"].lower() in VERSIONED or "Location" not in about:
-        return spark.table(quote_table(table)).select(*names)
-    return spark.read.schema(wanted).format(about["Provider"]).load(about["Location"]).select(*names)
+    """A table as its files are now or, given ``schema``, the columns named there."""
+    name = quote_table(table)
+    spark.sql(f"REFRESH TABLE {name}")
+    whole = spark.table(name)
+    return whole if schema is None else whole.select(*[column(n) for n in schema.names])
 
 
 def _same_layout(df: DataFrame, table: str, table_format: str) -> bool:
@@ -106,7 +85,7 @@ def _same_layout(df: DataFrame, table: str, table_format: str) -> bool:
     if any(c.isPartition for c in spark.catalog.listColumns(quote_table(table))):
         return False
     provider = _details(spark, table).get("Provider", "")
-    return provider.lower() == table_format.lower() and declared_schema(spark, table) == df.schema
+    return provider.lower() == table_format.lower() and spark.table(quote_table(table)).schema == df.schema
 
 
 def overwrite_table(

@@ -1,0 +1,199 @@
+import datetime
+import json
+import os
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from terrace import Bronze, append_new, read_new_files, read_table, register_source, run_bronze, schema_from_dict
+from terrace.sources.files import SOURCES
+
+NAMES = ["id", "name", "note", "part"]
+SCHEMA = schema_from_dict({"columns": [{"name": n} for n in NAMES]})
+TODAY = datetime.datetime.now(datetime.timezone.utc).date()
+
+
+@pytest.fixture
+def land(spark, tmp_path, database):
+    """Write files, run the job, give back the rows of the raw table."""
+    source = tmp_path / "in"
+
+    def run(file_type="csv", schema=SCHEMA, partitions=(), files=None, writers=None, **reader):
+        for name, text in (files or {}).items():
+            (source / name).parent.mkdir(parents=True, exist_ok=True)
+            (source / name).write_text(text)
+        job = Bronze(
+            f"{database}.t",
+            str(source),
+            str(tmp_path / "out"),
+            schema,
+            file_type,
+            partitions,
+            reader=reader,
+            writers_per_partition=writers,
+        )
+        run_bronze(spark, job)
+        return sorted((tuple(r) for r in read_table(spark, job.table, schema).collect()), key=repr)
+
+    return run
+
+
+CSV = 'note;part;id;name\n1;a;x;01\n2;;"y;z";01\n3;c\n4;d;w;;extra\n5;e;v;02\n5;e;v;02\n'
+
+
+def test_csv(land):
+    """Binds by position whatever the header says; short rows end in nulls, long ones are cut."""
+    assert land(files={"a.csv": CSV}, delimiter=";", partitions=["part"]) == [
+        ("1", "a", "x", "01"),
+        ("2", None, "y;z", "01"),
+        ("3", "c", None, None),
+        ("4", "d", "w", None),
+        ("5", "e", "v", "02"),
+        ("5", "e", "v", "02"),
+    ]
+
+
+def test_csv_without_header(land):
+    assert land(files={"a.csv": "1,a,b,c\n"}, header=False) == [("1", "a", "b", "c")]
+
+
+def test_each_file_lands_once(land):
+    first = land(files={"a.csv": "h,h,h,h\n1,a,b,c\n"})
+    assert land() == first == [("1", "a", "b", "c")]
+    assert land(files={"b.csv": "h,h,h,h\n2,a,b,c\n"}) == [("1", "a", "b", "c"), ("2", "a", "b", "c")]
+
+
+def test_files_that_arrive_late_with_an_old_date_are_not_passed_over(land, tmp_path):
+    land(files={"a.csv": "h,h,h,h\n1,a,b,c\n"})
+    (tmp_path / "in" / "old.csv").write_text("h,h,h,h\n0,a,b,c\n")
+    os.utime(tmp_path / "in" / "old.csv", (1_000_000_000, 1_000_000_000))
+    assert land(files={"b.csv": "h,h,h,h\n2,a,b,c\n"}) == [(i, "a", "b", "c") for i in "012"]
+
+
+def test_many_files_in_small_batches(land):
+    files = {f"{i}.csv": f"h,h,h,h\n{i},a,b,c\n" for i in range(7)}
+    assert land(files=files, max_files_per_trigger=2) == [(str(i), "a", "b", "c") for i in range(7)]
+
+
+def test_batches_of_bounded_size(land):
+    files = {f"{i}.csv": f"h,h,h,h\n{i},a,b,c\n" for i in range(5)}
+    assert len(land(files=files, max_bytes_per_trigger=40)) == 5
+
+
+def test_sub_directories_only_when_asked(land):
+    files = {"a.csv": "h,h,h,h\n1,a,b,c\n", "deep/er/b.csv": "h,h,h,h\n2,a,b,c\n"}
+    assert len(land(files=files)) == 1
+    assert len(land(recursive=True)) == 2
+
+
+def test_json_lines(land):
+    lines = [
+        {"id": 1, "name": True, "note": {"a": [1, 2]}, "part": "01"},
+        {"part": "p", "id": 2.50, "other": 1},
+        {"note": None, "id": "3"},
+    ]
+    text = "\n".join(json.dumps(v, separators=(",", ":")) for v in lines) + '\n{"id": oops\n'
+    assert land("json", files={"a.json": text}) == [
+        ("1", "true", '{"a":[1,2]}', "01"),
+        ("2.5", None, None, "p"),
+        ("3", None, None, None),
+        (None, None, None, None),
+    ]
+
+
+def test_json_over_many_lines(land):
+    text = json.dumps([{"id": 1, "name": "a"}, {"id": 2, "name": "b"}], indent=2)
+    assert land("json", files={"a.json": text}, multiline=True) == [("1", "a", None, None), ("2", "b", None, None)]
+
+
+TEXT_ROWS = [("", None, None, None), ("1", "a", "b", "c"), ("2", "", "", None), ("3", "a", "b", "c"), ("id", "name", "note", "part")]
+
+
+@pytest.mark.parametrize(
+    ("delimiter", "reader"),
+    [("|", {}), ("||", {}), (".*", {}), ("\\E", {}), ("-", {"delimiter_is_regex": True})],
+)
+def test_text(land, delimiter, reader):
+    """The delimiter is literal; a header is data, empty pieces stay empty, missing ones are null."""
+    lines = ["id|name|note|part", "1|a|b|c", "2||", "", "3|a|b|c|more"]
+    text = "\n".join(delimiter.join(line.split("|")) for line in lines) + "\n"
+    assert land("text", files={"a.txt": text}, delimiter=delimiter, **reader) == TEXT_ROWS
+
+
+def test_text_by_pattern(land):
+    got = land("text", files={"a.txt": "1,;a;b,,c\n"}, delimiter="[,;]+", delimiter_is_regex=True)
+    assert got == [("1", "a", "b", "c")]
+
+
+def test_writers_per_partition(land, tmp_path):
+    files = {f"{i}.csv": "h,h,h,h\n" + f"{i},a,b,01\n{i},a,b,02\n" * 3 for i in range(20)}
+    got = land(files=files, partitions=["part"], writers=2)
+    assert len(got) == 120 and {r[3] for r in got} == {"01", "02"}
+    written = list((tmp_path / "out").glob("t/data/ingest_date=*/part=01/*.parquet"))
+    assert 1 <= len(written) <= 2
+
+
+def test_layout_and_load_date(spark, land, tmp_path, database):
+    land(files={"a.csv": "h,h,h,h\n1,a,b,01\n"}, partitions=["part"])
+    table = read_table(spark, f"{database}.t")
+    assert table.columns == ["id", "name", "note", "ingest_date", "part"]
+    assert {f.dataType for f in table.schema} == {StringType()}
+    row = table.first()
+    assert row["part"] == "01" and abs(datetime.date.fromisoformat(row["ingest_date"]) - TODAY).days <= 1
+    assert sorted(p.name for p in (tmp_path / "out" / "t").iterdir()) == ["_checkpoint", "data"]
+    assert spark.table(f"{database}.t").select("id", "part").collect() == [("1", "01")]
+
+
+def test_no_files_yet(land, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert land() == []
+    assert land(files={"a.csv": "h,h,h,h\n1,a,b,c\n"}) == [("1", "a", "b", "c")]
+
+
+def test_rows_are_counted(spark, tmp_path):
+    source, home = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    (source / "a.csv").write_text("h,h,h,h\n1,a,b,c\n2,a,b,c\n")
+
+    def run():
+        return append_new(read_new_files(spark, "csv", str(source), SCHEMA), f"{home}/d", f"{home}/c")
+
+    assert run() == 2
+    assert run() == 0
+
+
+def test_errors_are_raised(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.csv").write_text("h,h,h,h\n1,a,b,c\n")
+    stream = read_new_files(spark, "csv", str(source), SCHEMA).withColumn("id", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(StreamingQueryException):
+        append_new(stream, f"{tmp_path}/d", f"{tmp_path}/c")
+
+
+def test_arguments_are_checked(spark, tmp_path):
+    with pytest.raises(ValueError, match="unknown file type 'xml'"):
+        read_new_files(spark, "xml", str(tmp_path), SCHEMA)
+    with pytest.raises(ValueError, match="empty"):
+        read_new_files(spark, "csv", str(tmp_path), SCHEMA, delimiter="")
+    with pytest.raises(ValueError, match="header"):
+        read_new_files(spark, "csv", str(tmp_path), SCHEMA, header="False")
+    stream = read_new_files(spark, "csv", str(tmp_path), SCHEMA)
+    with pytest.raises(ValueError, match="nope"):
+        append_new(stream, f"{tmp_path}/d", f"{tmp_path}/c", partitions=["nope"])
+    with pytest.raises(ValueError, match="outside"):
+        append_new(stream, f"{tmp_path}/d", f"{tmp_path}/d/_checkpoint")
+
+
+def test_own_file_types(spark, tmp_path):
+    spark.range(3).write.orc(str(tmp_path / "in"))
+    register_source("orc", lambda reader, path, schema, options: reader.schema(schema).orc(path))
+    try:
+        schema = StructType([StructField("id", SCHEMA["id"].dataType)])
+        stream = read_new_files(spark, "orc", str(tmp_path / "in"), spark.range(0).schema)
+        assert append_new(stream, f"{tmp_path}/d", f"{tmp_path}/c", ingest_date=None) == 3
+        assert schema.names == spark.read.parquet(f"{tmp_path}/d").columns
+    finally:
+        del SOURCES["orc"]

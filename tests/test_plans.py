@@ -1,0 +1,100 @@
+"""What Spark makes of the steps: work that must not creep back in."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from terrace import clean
+from terrace.operators.features import build_features, category_counts, entity_aggregates, join_features
+from terrace.plans.cleaning import build_stages
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    """The plan after it has run, as adaptive execution left it."""
+    df.collect()
+    return plan(df)
+
+
+@pytest.fixture
+def lineitem(spark, sf):
+    return spark.read.parquet(f"{sf}/lineitem.parquet")
+
+
+def test_removing_nulls_reaches_the_scan(lineitem):
+    kept = clean(lineitem, ["remove_nulls"], {"remove_nulls": {"subset_cols": ["l_orderkey", "l_tax"]}})
+    text = plan(kept.select("l_orderkey"))
+    assert "IsNotNull(l_orderkey)" in text and "IsNotNull(l_tax)" in text
+    assert "ReadSchema: struct<l_orderkey:bigint,l_tax:double>" in text
+
+
+def test_filters_on_the_key_pass_the_deduplication(lineitem):
+    for rules in ({"subset_cols": ["l_orderkey"]}, {"subset_cols": ["l_orderkey"], "order_by": ["l_linenumber"]}):
+        once = clean(lineitem, ["remove_duplicates"], {"remove_duplicates": rules})
+        assert "EqualTo(l_orderkey,7)" in plan(once.where("l_orderkey = 7"))
+
+
+def test_a_chosen_winner_is_found_before_the_shuffle(lineitem):
+    rules = {"remove_duplicates": {"subset_cols": ["l_suppkey"], "order_by": ["l_orderkey"]}}
+    text = plan(clean(lineitem, ["remove_duplicates"], rules))
+    assert text.count("Exchange") == 1
+    assert text.index("Final") < text.index("Exchange") < text.index("row_number(), 1, Partial")
+
+
+def test_deduplication_combines_before_its_only_shuffle(lineitem):
+    for rules in (None, {"subset_cols": ["l_suppkey"]}):
+        text = plan(clean(lineitem, ["remove_duplicates"], {"remove_duplicates": rules}))
+        before, after = text.split("Exchange")
+        assert "Aggregate(key" in before and "Aggregate(key" in after
+
+
+def test_narrow_steps_are_one_projection(lineitem):
+    contract = {
+        "convert_types": {"l_orderkey": "string", "l_tax": "decimal(5,2)"},
+        "normalize_text": ["l_returnflag", "l_linestatus"],
+        "null_handling": {"l_quantity": 0, "l_returnflag": "none"},
+    }
+    text = plan(clean(lineitem, list(contract), contract))
+    assert text.count("Project") == 1 and "Exchange" not in text and "Python" not in text
+
+
+def test_statistics_share_the_deduplication_with_the_rows(lineitem):
+    """One scan, one shuffle of the table, however many means and medians come after it."""
+    contract = {
+        "remove_duplicates": None,
+        "convert_types": {"l_linenumber": "bigint"},
+        "null_handling": {"l_quantity": "mean", "l_tax": "mean", "l_extendedprice": "median", "l_linenumber": "median"},
+    }
+    text = final_plan(clean(lineitem, list(contract), contract))
+    assert "ReusedExchange" in text
+    assert text.count("ReusedSubquery") == 3
+
+
+def test_one_job_learns_all_statistics(spark, lineitem):
+    kinds = {"l_quantity": "mean", "l_tax": "mean", "l_extendedprice": "median", "l_discount": "median"}
+    (stage,) = build_stages(["null_handling"], {"null_handling": kinds})
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("fit", "fit")
+    try:
+        stage.fit(lineitem)
+        # Adaptive execution runs the map side and the result as a job each.
+        assert len(tracker.getJobIdsForGroup("fit")) <= 2
+    finally:
+        spark.sparkContext.setJobGroup("rest", "rest")
+
+
+def test_features_of_one_table_are_one_shuffle(spark, sf):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    features = [entity_aggregates({"value": ["sum", "max"]}), category_counts("event_type", ["view", "click"])]
+    assert plan(build_features(events, ["user_id"], features)).count("Exchange") == 1
+
+
+def test_joining_features_adds_no_shuffle(spark, sf):
+    events, orders = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("events", "orders"))
+    parts = [
+        build_features(events, ["user_id"], [entity_aggregates({"value": ["sum"]})]),
+        build_features(orders.withColumn("user_id", F.col("o_custkey")), ["user_id"], [entity_aggregates({}, rows="orders")]),
+    ]
+    assert plan(join_features(parts, ["user_id"])).count("Exchange hashpartitioning") == 2
