@@ -110,12 +110,14 @@ def ingest_json_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role, text FROM conversations")
 def ingest_json_multiline(spark: SparkSession, sf: str) -> DataFrame:
-    """One file per conversation, an array over many lines."""
+    """Files of up to a few thousand turns, each an array over many lines."""
     source = scratch_path(spark, "conversations-json")
-    turns = F.collect_list(F.struct("conv_id", "turn", "role", "text"))
-    files = table(spark, sf, "conversations").groupBy(F.col("conv_id").alias("file")).agg(turns.alias("turns"))
-    pretty = files.select("file", F.to_json("turns", {"pretty": "true"}).alias("value"))
-    pretty.write.partitionBy("file").text(source)
+    turns = table(spark, sf, "conversations").select(
+        F.expr("concat(conv_id DIV 100, '-', turn DIV 50)").alias("file"),
+        F.struct("conv_id", "turn", "role", "text").alias("turn"),
+    )
+    files = turns.groupBy("file").agg(F.to_json(F.collect_list("turn"), {"pretty": "true"}).alias("value"))
+    files.write.partitionBy("file").text(source)
     reader = {"multiline": True, "recursive": True}
     return ingest(spark, "json", source, ["conv_id", "turn", "role", "text"], reader=reader)
 

@@ -58,7 +58,7 @@ def lemmatize(df: DataFrame, key: str, text: str, dictionary: DataFrame, delimit
             F.first("row", ignorenulls=True).alias("row"),
             F.count("row").alias("rows"),
         )
-        .withColumn("lemmatized", F.array_join(F.array_sort("words")["word"], delimiter))
+        .withColumn("lemmatized", F.array_join(F.sort_array("words")["word"], delimiter))
     )
     lemmatized = (
         F.when(F.col("rows") > 1, F.raise_error(F.lit(f"'{key}' is not unique")).cast("string"))

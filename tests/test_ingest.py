@@ -173,6 +173,26 @@ def test_errors_are_raised(spark, tmp_path):
         append_new(stream, f"{tmp_path}/d", f"{tmp_path}/c")
 
 
+def test_a_run_that_failed_is_made_up_for(spark, tmp_path):
+    """Files of the failed batch may be there already; the next run's rows count, and count once."""
+    source = tmp_path / "in"
+    source.mkdir()
+    for i in range(8):
+        (source / f"{i}.csv").write_text(f"h,h,h,h\n{i},a,b,c\n" + f"{i},{'x' * 100},b,c\n" * 1000)
+
+    def run(stream):
+        return append_new(stream, f"{tmp_path}/d", f"{tmp_path}/c", ingest_date=None, partitions=["part"])
+
+    good = read_new_files(spark, "csv", str(source), SCHEMA)
+    broken = F.when(F.col("id") == "7", F.raise_error(F.lit("stop")).cast("string")).otherwise(F.col("name"))
+    with pytest.raises(StreamingQueryException):
+        run(good.withColumn("name", broken))
+    assert run(good) == 8008
+    assert run(good) == 0
+    got = spark.read.schema(SCHEMA).parquet(f"{tmp_path}/d")
+    assert got.count() == 8008 and got.where("name = 'a'").select("id").distinct().count() == 8
+
+
 def test_arguments_are_checked(spark, tmp_path):
     with pytest.raises(ValueError, match="unknown file type 'xml'"):
         read_new_files(spark, "xml", str(tmp_path), SCHEMA)
