@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions import column, without_nan
+from terrace.scratch import scratch_path
 
 # Rank error 1/1000. Every task sends one summary, of a size that grows with this number, to the task
 # that merges them; at 10,000 that task would read hundreds of GB on a table of 100 TB.
@@ -65,9 +66,14 @@ def exact_medians(df: DataFrame, names: Sequence[str]) -> dict[str, Any]:
     and only when at most ``FEW`` are left are they sorted. Each pass is one scan of the named
     columns for all of them together, with partial aggregation and one row back to the driver;
     memory per task does not grow with the table. A value held by many rows is met as a pivot.
+
+    The named columns are first written to the scratch folder: whatever made the table, a shuffle
+    perhaps, then runs once, and all passes see the same rows.
     """
-    values = {n: without_nan(n, df.schema[n].dataType) for n in names}
-    df = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values.values())])
+    spark, schema = df.sparkSession, df.schema
+    place = scratch_path(spark, "median")
+    df.select(*[without_nan(n, schema[n].dataType).alias(f"v{i}") for i, n in enumerate(names)]).write.parquet(place)
+    df = spark.read.parquet(place)
     at = {n: column(f"v{i}") for i, n in enumerate(names)}
     brackets = {n: _Bracket() for n in names}
 

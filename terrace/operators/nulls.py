@@ -60,7 +60,7 @@ class HandleNulls(HasRules, Estimator, DefaultParamsReadable, DefaultParamsWrita
 
     section_name = "null_handling"
 
-    exactMedian: Param = Param(Params._dummy(), "exactMedian", "take the exact median, in several passes")
+    exactMedian: Param = Param(Params._dummy(), "exactMedian", "take the exact median, in several passes over a copy of the columns")
     accuracy: Param = Param(Params._dummy(), "accuracy", "the approximate median is off by 1/accuracy in rank at most")
     onEmpty: Param = Param(Params._dummy(), "onEmpty", "fail or keep: what to do where there is nothing to learn")
 
