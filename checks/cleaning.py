@@ -84,8 +84,8 @@ def dropna_all(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    SELECT event_id, TRY_CAST(u AS INTEGER) AS user_id, value, CAST(value AS DECIMAL(12, 2)) AS amount,
-           date_trunc('second', ts) AS at, CAST(ts AS DATE) AS day, TRY_CAST(flag AS BOOLEAN) AS flag
+    SELECT event_id, TRY_CAST(u AS INTEGER) AS user_id, value, CAST(CAST(value AS DECIMAL(12, 2)) AS VARCHAR) AS amount,
+           date_trunc('second', ts) AS at, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, TRY_CAST(flag AS BOOLEAN) AS flag
     FROM (SELECT *, CASE WHEN event_id % 7 = 0 THEN 'x' || user_id ELSE CAST(user_id AS VARCHAR) END AS u,
                  CASE event_id % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' ELSE 'maybe' END AS flag
           FROM events)
@@ -110,7 +110,8 @@ def convert_types(spark: SparkSession, sf: str) -> DataFrame:
         "day": "date",
         "flag": "boolean",
     }
-    return clean(text, ["convert_types"], {"convert_types": types})
+    converted = clean(text, ["convert_types"], {"convert_types": types})
+    return converted.withColumns({n: F.col(n).cast("string") for n in ("amount", "day")})
 
 
 @query(

@@ -47,11 +47,17 @@ def _order_jobs(spark: SparkSession, sf: str) -> tuple[Bronze, Silver]:
     return raw, silver
 
 
-@query(_CLEAN_ORDERS)
+@query(
+    f"""
+    SELECT * REPLACE (CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate)
+    FROM ({_CLEAN_ORDERS})
+    """
+)
 def bronze_to_silver(spark: SparkSession, sf: str) -> DataFrame:
     raw, silver = _order_jobs(spark, sf)
     run_bronze(spark, raw)
-    return read_table(spark, run_silver(spark, silver))
+    orders = read_table(spark, run_silver(spark, silver))
+    return orders.withColumns({n: F.col(n).cast("string") for n in ("o_totalprice", "o_orderdate")})
 
 
 @query(

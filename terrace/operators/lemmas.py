@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions import column, delimiter_pattern
 from terrace.operators.base import require_columns
+from terrace.scratch import scratch_path
 
 # A dictionary up to this size is sent whole to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -14,6 +15,14 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
 
 
+def _entries(dictionary: DataFrame) -> DataFrame:
+    """One lemma per token, written out: a dictionary that took work to make is measured and joined."""
+    spark, place = dictionary.sparkSession, scratch_path(dictionary.sparkSession, "lemmas")
+    known = dictionary.where(F.col("token").isNotNull() & F.col("lemma").isNotNull())
+    known.groupBy("token").agg(F.min("lemma").alias("lemma")).write.parquet(place)
+    return spark.read.parquet(place)
+
+
 def _is_small(dictionary: DataFrame) -> bool:
     size = F.sum(F.octet_length("token") + F.octet_length("lemma") + 64)
     return (dictionary.agg(size).first()[0] or 0) <= BROADCAST_BYTES
@@ -38,11 +47,7 @@ def lemmatize(df: DataFrame, key: str, text: str, dictionary: DataFrame, delimit
     """
     require_columns(df, [key, text])
     require_columns(dictionary, ["token", "lemma"])
-    entries = (
-        dictionary.where(F.col("token").isNotNull() & F.col("lemma").isNotNull())
-        .groupBy("token")
-        .agg(F.min("lemma").alias("lemma"))
-    )
+    entries = _entries(dictionary)
     row = F.struct(*[column(n) for n in df.columns if n != text])
     words = df.select(
         column(key).alias("key"),

@@ -57,6 +57,8 @@ def append_new(
     if writers_per_partition and levels:
         stream = _spread(stream, levels, writers_per_partition)
     if ingest_date:
+        if ingest_date in stream.columns:
+            raise ValueError(f"the files have a column '{ingest_date}' of their own: name the load date otherwise")
         stream = stream.withColumn(ingest_date, F.current_date().cast("string"))
         levels = [ingest_date, *levels]
     writer = stream.writeStream.format(table_format).outputMode("append").option("checkpointLocation", checkpoint)

@@ -203,6 +203,8 @@ def test_arguments_are_checked(spark, tmp_path):
     stream = read_new_files(spark, "csv", str(tmp_path), SCHEMA)
     with pytest.raises(ValueError, match="nope"):
         append_new(stream, f"{tmp_path}/d", f"{tmp_path}/c", partitions=["nope"])
+    with pytest.raises(ValueError, match="of their own"):
+        append_new(stream, f"{tmp_path}/d", f"{tmp_path}/c", ingest_date="note")
     with pytest.raises(ValueError, match="outside"):
         append_new(stream, f"{tmp_path}/d", f"{tmp_path}/d/_checkpoint")
 
