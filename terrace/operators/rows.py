@@ -36,6 +36,8 @@ class RemoveDuplicates(Step):
         return keys + [ordering(o)[0] for o in order]
 
     def apply(self, df: DataFrame) -> DataFrame:
+        if df.isStreaming:
+            raise ValueError("a stream would have to remember every row it has seen: deduplicate the table instead")
         keys, order = self._lists()
         if not keys:
             return df.dropDuplicates()

@@ -29,6 +29,9 @@ STEPS: dict[str, type] = {
 }
 
 
+BUILT_IN = frozenset(STEPS)
+
+
 def register_step(name: str, step: type) -> None:
     """Add a step of your own: a ``Step`` subclass, or any stage class built from the contract."""
     if not (isinstance(step, type) and issubclass(step, (Transformer, Estimator))):

@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from terrace.contract import load_contract, load_schema, schema_from_dict, validate_contract
 from terrace.operators.features import Strategy, build_features, join_features, strategy
-from terrace.plans.cleaning import clean
+from terrace.plans.cleaning import BUILT_IN, clean
 from terrace.sources import overwrite_table, read_new_files, read_table, register
 from terrace.streaming import append_new
 
@@ -99,7 +99,9 @@ def run_silver(spark: SparkSession, job: Silver) -> str:
     """
     contract = load_contract(job.contract) if isinstance(job.contract, str) else job.contract
     raw = read_table(spark, job.source, None if job.schema is None else _schema(job.schema))
-    validate_contract({s: contract.get(s) for s in job.steps}, raw.columns)
+    # A step of the user's own may make columns that later steps use.
+    columns = raw.columns if set(job.steps) <= BUILT_IN else None
+    validate_contract({s: contract.get(s) for s in job.steps}, columns)
     cleaned = clean(raw, job.steps, contract, job.options)
     overwrite_table(cleaned, job.table, job.location, table_format=job.table_format, partitions=job.partitions)
     return job.table

@@ -69,7 +69,7 @@ def read_new_files(
     multiline: bool = False,
     recursive: bool = False,
     max_files_per_trigger: int | None = None,
-    max_bytes_per_trigger: str | int | None = None,
+    max_bytes_per_trigger: int | None = None,
     max_file_age: str = "36500d",
     extra: Mapping[str, Any] | None = None,
 ) -> DataFrame:

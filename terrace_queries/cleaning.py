@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import query, table
+from terrace_queries.registry import query, table
 from terrace import build_pipeline, clean, register_step
 from terrace.functions import column, split_by_position
 from terrace.operators import HandleNulls, Step

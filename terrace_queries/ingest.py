@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import query, table
+from terrace_queries.registry import query, table
 from terrace import (
     Bronze,
     append_new,

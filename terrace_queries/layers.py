@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.ingest import new_table, orders_text, schema_of
-from checks.registry import query, table
+from terrace_queries.ingest import new_table, orders_text, schema_of
+from terrace_queries.registry import query, table
 from terrace import Bronze, Gold, Silver, read_table, run_bronze, run_layers, run_silver
 from terrace.operators.features import (
     build_features,
