@@ -28,10 +28,8 @@ def _is_small(dictionary: DataFrame) -> bool:
     return (dictionary.agg(size).first()[0] or 0) <= BROADCAST_BYTES
 
 
-def _with_lemma(words: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Left join on the token. A common word may be a third of all words, hence broadcast or salt."""
-    if _is_small(dictionary):
-        return words.join(F.broadcast(dictionary), "token", "left")
+def _salted_join(words: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Left join on the token, of which one may be a third of all words: its rows go to many tasks."""
     spread = words.withColumn("salt", F.pmod(F.xxhash64("key", "position"), F.lit(SALTS)).cast("int"))
     copies = dictionary.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return spread.join(copies, ["token", "salt"], "left").drop("salt")
@@ -44,20 +42,26 @@ def lemmatize(df: DataFrame, key: str, text: str, dictionary: DataFrame, delimit
     A token listed twice takes the smaller lemma. ``key`` identifies a row: the words of one text
     meet again in an aggregation by it, so no group is larger than a text, and a key held by two
     rows fails the job. The other columns travel with the first word, not with all of them.
+
+    With a dictionary small enough to broadcast, whole texts are shuffled once, by key, and their
+    words not at all.
     """
     require_columns(df, [key, text])
     require_columns(dictionary, ["token", "lemma"])
     entries = _entries(dictionary)
+    small = _is_small(entries)
     row = F.struct(*[column(n) for n in df.columns if n != text])
-    words = df.select(
-        column(key).alias("key"),
-        row.alias("row"),
-        F.posexplode_outer(F.split(column(text), delimiter_pattern(delimiter))).alias("position", "token"),
-    ).withColumn("row", F.when(F.coalesce("position", F.lit(0)) == 0, F.col("row")))
+    rows = df.select(column(key).alias("key"), row.alias("row"), column(text).alias("text"))
+    split = F.split("text", delimiter_pattern(delimiter))
+    words = (
+        (rows.repartition("key") if small else rows)
+        .select("key", "row", F.posexplode_outer(split).alias("position", "token"))
+        .withColumn("row", F.when(F.coalesce("position", F.lit(0)) == 0, F.col("row")))
+    )
+    found = words.join(F.broadcast(entries), "token", "left") if small else _salted_join(words, entries)
     word = F.struct("position", F.coalesce("lemma", "token").alias("word"))
     texts = (
-        _with_lemma(words, entries)
-        .groupBy("key")
+        found.groupBy("key")
         .agg(
             F.collect_list(F.when(F.col("position").isNotNull(), word)).alias("words"),
             F.first("row", ignorenulls=True).alias("row"),

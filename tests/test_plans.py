@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from terrace import clean
 from terrace.operators.features import build_features, category_counts, entity_aggregates, join_features
+from terrace.operators.lemmas import lemmatize
 from terrace.plans.cleaning import build_stages
 
 
@@ -98,3 +99,11 @@ def test_joining_features_adds_no_shuffle(spark, sf):
         build_features(orders.withColumn("user_id", F.col("o_custkey")), ["user_id"], [entity_aggregates({}, rows="orders")]),
     ]
     assert plan(join_features(parts, ["user_id"])).count("Exchange hashpartitioning") == 2
+
+
+def test_lemmatisation_shuffles_texts_not_words(spark, sf):
+    documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    dictionary = spark.createDataFrame([("a", "b")], "token string, lemma string")
+    text = plan(lemmatize(documents, "doc_id", "text", dictionary))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.index("Generate") < text.index("Exchange hashpartitioning")
