@@ -140,8 +140,12 @@ class HandleNulls(HasRules, Estimator, DefaultParamsReadable, DefaultParamsWrita
                     F.coalesce(s, F.raise_error(F.lit(_nothing_to_learn([n]))).cast(df.schema[n].dataType))
                     for n, s in zip(one_pass, stats, strict=True)
                 ]
-            learnt = df.agg(F.struct(*[s.alias(f"s{i}") for i, s in enumerate(stats)]).alias("learnt")).scalar()
-            fills |= {n: learnt[f"s{i}"] for i, n in enumerate(one_pass)}
+            row = F.struct(*[s.alias(f"s{i}") for i, s in enumerate(stats)])
+            # One column holds the sub-query for all fills: named in each, it would be planned for each.
+            learnt = "__learnt"
+            df = df.withColumn(learnt, df.agg(row).scalar())
+            fills |= {n: column(learnt)[f"s{i}"] for i, n in enumerate(one_pass)}
+            return _fill(df, fills).drop(learnt)
         return _fill(df, fills)
 
 
