@@ -112,11 +112,9 @@ def exact_medians(df: DataFrame, names: Sequence[str]) -> dict[str, Any]:
             brackets[n].pivots = ()
 
     if few := [n for n, b in brackets.items() if b.found is None and b.rows]:
+        left = {n: F.sort_array(F.collect_list(brackets[n].values(at[n]))) for n in few}
         last = df.agg(
-            *[
-                F.get(F.array_sort(F.collect_list(brackets[n].values(at[n]))), F.lit(brackets[n].rank - 1)).alias(f"m{i}")
-                for i, n in enumerate(few)
-            ]
+            *[F.get(left[n], F.lit(brackets[n].rank - 1)).alias(f"m{i}") for i, n in enumerate(few)]
         ).first()
         for n, median in zip(few, last, strict=True):
             brackets[n].found = median

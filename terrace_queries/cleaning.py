@@ -316,10 +316,14 @@ def _raw_events(spark: SparkSession, sf: str) -> DataFrame:
     return events.unionAll(events)
 
 
+def _comparable(df: DataFrame) -> DataFrame:
+    return df.withColumns({"seen_at": F.col("seen_at").cast("timestamp_ntz"), "value": F.col("value").cast("double")})
+
+
 @query(_ALL_STEPS_SQL)
 def all_six_steps(spark: SparkSession, sf: str) -> DataFrame:
     cleaned = clean(_raw_events(spark, sf), list(_ALL_STEPS), _ALL_STEPS)
-    return cleaned.withColumns({"seen_at": F.col("seen_at").cast("timestamp_ntz"), "value": F.col("value").cast("double")})
+    return _comparable(cleaned)
 
 
 @query(_ALL_STEPS_SQL)
@@ -327,7 +331,7 @@ def fitted_steps(spark: SparkSession, sf: str) -> DataFrame:
     """The same through a fitted ``pyspark.ml`` model."""
     raw = _raw_events(spark, sf)
     cleaned = build_pipeline(list(_ALL_STEPS), _ALL_STEPS).fit(raw).transform(raw)
-    return cleaned.withColumns({"seen_at": F.col("seen_at").cast("timestamp_ntz"), "value": F.col("value").cast("double")})
+    return _comparable(cleaned)
 
 
 class UpperCase(Step):

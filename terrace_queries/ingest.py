@@ -62,6 +62,8 @@ def orders_text(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_SOME_EMPTY = "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority ELSE '' END AS o_orderpriority"
+_SOME_DASHED = "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority ELSE '-' END AS o_orderpriority"
 _SOME_NULL = "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS o_orderpriority"
 
 
@@ -122,14 +124,14 @@ def ingest_json_multiline(spark: SparkSession, sf: str) -> DataFrame:
     return ingest(spark, "json", source, ["conv_id", "turn", "role", "text"], reader=reader)
 
 
-@query(f"SELECT {ORDERS_AS_TEXT}, {_SOME_NULL.replace('END', 'ELSE chr(45) END')} FROM orders")
+@query(f"SELECT {ORDERS_AS_TEXT}, {_SOME_DASHED} FROM orders")
 def ingest_text(spark: SparkSession, sf: str) -> DataFrame:
     source = scratch_path(spark, "orders-text")
     orders_text(spark, sf).na.fill("-").select(F.concat_ws("|", *ORDERS).alias("value")).write.text(source)
     return ingest(spark, "text", source, ORDERS, reader={"delimiter": "|"})
 
 
-@query(f"SELECT {ORDERS_AS_TEXT}, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority ELSE '' END AS o_orderpriority FROM orders")
+@query(f"SELECT {ORDERS_AS_TEXT}, {_SOME_EMPTY} FROM orders")
 def ingest_text_regex(spark: SparkSession, sf: str) -> DataFrame:
     """Pieces apart by any run of bars and semicolons; an empty piece stays empty."""
     source = scratch_path(spark, "orders-text")

@@ -63,7 +63,8 @@ def bronze_to_silver(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     SELECT o_custkey, count(*) AS orders, CAST(sum(o_totalprice) AS DOUBLE) AS o_totalprice_sum,
-           CAST(max(o_totalprice) AS DOUBLE) AS o_totalprice_max, count(DISTINCT o_orderdate) AS o_orderdate_count_distinct,
+           CAST(max(o_totalprice) AS DOUBLE) AS o_totalprice_max,
+           count(DISTINCT o_orderdate) AS o_orderdate_count_distinct,
            count(*) FILTER (o_orderpriority = 'none') AS o_orderpriority_none
     FROM ({_CLEAN_ORDERS}) GROUP BY o_custkey
     """
@@ -169,7 +170,8 @@ def gold_feature_table(spark: SparkSession, sf: str) -> DataFrame:
     WITH words AS (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS token,
                           generate_subscripts(string_split(p_name, ' '), 1) AS position FROM part),
     dictionary AS (SELECT DISTINCT token, token || '_' || length(token) AS lemma FROM words WHERE length(token) % 2 = 0)
-    SELECT w.p_partkey, string_agg(coalesce(lemma, w.token), ' ' ORDER BY position) AS p_name, any_value(p_brand) AS p_brand
+    SELECT w.p_partkey, string_agg(coalesce(lemma, w.token), ' ' ORDER BY position) AS p_name,
+           any_value(p_brand) AS p_brand
     FROM words w LEFT JOIN dictionary d ON w.token = d.token JOIN part p ON p.p_partkey = w.p_partkey
     GROUP BY w.p_partkey
     """
@@ -198,4 +200,5 @@ def lemmatize_texts(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select("doc_id", "text", "lang")
     tokens = documents.select(F.explode(F.split("text", " ")).alias("token")).distinct()
     plurals = tokens.where("length(token) > 3 AND token LIKE '%s'")
-    return lemmatize(documents, "doc_id", "text", plurals.selectExpr("token", "left(token, length(token) - 1) AS lemma"))
+    dictionary = plurals.selectExpr("token", "left(token, length(token) - 1) AS lemma")
+    return lemmatize(documents, "doc_id", "text", dictionary)

@@ -25,18 +25,30 @@ def rows(df):
 def sales(spark):
     day = datetime.datetime(2024, 1, 31)
     ago = lambda n: day - datetime.timedelta(days=n)
-    data = [("a", 1, ago(0), "x"), ("a", 2, ago(1), "y"), ("a", 2, ago(7), "x"), ("b", None, ago(40), "z"), (None, 5, ago(-1), "x")]
+    data = [
+        ("a", 1, ago(0), "x"),
+        ("a", 2, ago(1), "y"),
+        ("a", 2, ago(7), "x"),
+        ("b", None, ago(40), "z"),
+        (None, 5, ago(-1), "x"),
+    ]
     return spark.createDataFrame(data, "who string, v int, at timestamp_ntz, kind string")
 
 
 def test_entity_aggregates(sales):
-    got = build_features(sales, ["who"], [entity_aggregates({"v": ["count", "sum", "avg", "min", "max", "count_distinct"]})])
+    every = entity_aggregates({"v": ["count", "sum", "avg", "min", "max", "count_distinct"]})
+    got = build_features(sales, ["who"], [every])
     assert got.columns == ["who", "rows", "v_count", "v_sum", "v_avg", "v_min", "v_max", "v_count_distinct"]
-    assert rows(got) == [("a", 3, 3, 5, 5 / 3, 1, 2, 2), ("b", 1, 0, None, None, None, None, 0), (None, 1, 1, 5, 5.0, 5, 5, 1)]
+    assert rows(got) == [
+        ("a", 3, 3, 5, 5 / 3, 1, 2, 2),
+        ("b", 1, 0, None, None, None, None, 0),
+        (None, 1, 1, 5, 5.0, 5, 5, 1),
+    ]
 
 
 def test_windows_end_at_the_instant_and_leave_out_their_start(sales):
-    got = build_features(sales, ["who"], [time_window_aggregates("at", "2024-01-31 00:00:00", [1, 7, 60], {"v": ["sum"]})])
+    windows = time_window_aggregates("at", "2024-01-31 00:00:00", [1, 7, 60], {"v": ["sum"]})
+    got = build_features(sales, ["who"], [windows])
     assert rows(got) == [("a", 1, 1, 2, 3, 3, 5), ("b", 0, None, 0, None, 1, None), (None, 0, None, 0, None, 0, None)]
 
 
@@ -82,7 +94,13 @@ def test_lemmas(spark, monkeypatch, limit):
     words = [("running", "run"), ("dogs", "dog"), ("dogs", "doggy"), ("x", None), (None, "y")]
     got = lemmatize(df, "position", "text", spark.createDataFrame(words, "token string, lemma string"))
     assert got.columns == df.columns
-    assert rows(got) == [(1, "run dog  run", "x"), (2, "", "y"), (3, None, "z"), (4, "dog " * 500, None), (5, " dog", "v")]
+    assert rows(got) == [
+        (1, "run dog  run", "x"),
+        (2, "", "y"),
+        (3, None, "z"),
+        (4, "dog " * 500, None),
+        (5, " dog", "v"),
+    ]
 
 
 def test_lemmas_need_a_key_that_identifies(spark):

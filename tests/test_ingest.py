@@ -108,7 +108,13 @@ def test_json_over_many_lines(land):
     assert land("json", files={"a.json": text}, multiline=True) == [("1", "a", None, None), ("2", "b", None, None)]
 
 
-TEXT_ROWS = [("", None, None, None), ("1", "a", "b", "c"), ("2", "", "", None), ("3", "a", "b", "c"), ("id", "name", "note", "part")]
+TEXT_ROWS = [
+    ("", None, None, None),
+    ("1", "a", "b", "c"),
+    ("2", "", "", None),
+    ("3", "a", "b", "c"),
+    ("id", "name", "note", "part"),
+]
 
 
 @pytest.mark.parametrize(
@@ -168,7 +174,8 @@ def test_errors_are_raised(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
     (source / "a.csv").write_text("h,h,h,h\n1,a,b,c\n")
-    stream = read_new_files(spark, "csv", str(source), SCHEMA).withColumn("id", F.raise_error(F.lit("stop")).cast("string"))
+    stop = F.raise_error(F.lit("stop")).cast("string")
+    stream = read_new_files(spark, "csv", str(source), SCHEMA).withColumn("id", stop)
     with pytest.raises(StreamingQueryException):
         append_new(stream, f"{tmp_path}/d", f"{tmp_path}/c")
 

@@ -30,7 +30,11 @@ def jobs(tmp_path, database):
     (tmp_path / "schema.json").write_text(json.dumps(SCHEMA))
     (tmp_path / "contract.yaml").write_text(CONTRACT)
     raw = Bronze(
-        f"{database}_raw.people", str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "schema.json"), partitions=["gender"]
+        f"{database}_raw.people",
+        str(tmp_path / "in"),
+        str(tmp_path / "bronze"),
+        str(tmp_path / "schema.json"),
+        partitions=["gender"],
     )
     silver = Silver(
         f"{database}_clean.people", raw.table, str(tmp_path / "silver"), str(tmp_path / "contract.yaml"), schema=SCHEMA

@@ -1,7 +1,6 @@
 """What Spark makes of the steps: work that must not creep back in."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from terrace import clean
 from terrace.operators.features import build_features, category_counts, entity_aggregates, join_features
@@ -95,9 +94,10 @@ def test_features_of_one_table_are_one_shuffle(spark, sf):
 
 def test_joining_features_adds_no_shuffle(spark, sf):
     events, orders = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("events", "orders"))
+    orders = orders.withColumnRenamed("o_custkey", "user_id")
     parts = [
         build_features(events, ["user_id"], [entity_aggregates({"value": ["sum"]})]),
-        build_features(orders.withColumn("user_id", F.col("o_custkey")), ["user_id"], [entity_aggregates({}, rows="orders")]),
+        build_features(orders, ["user_id"], [entity_aggregates({}, rows="orders")]),
     ]
     assert plan(join_features(parts, ["user_id"])).count("Exchange hashpartitioning") == 2
 

@@ -16,8 +16,9 @@ def test_names():
 
 def test_register_creates_database_and_table(spark, tmp_path, database):
     spark.range(3).write.parquet(str(tmp_path / "it's here"))
+    name = f"spark_catalog.{database}.t"
     for _ in range(2):
-        assert register(spark, f"spark_catalog.{database}.t", str(tmp_path / "it's here")) == f"spark_catalog.{database}.t"
+        assert register(spark, name, str(tmp_path / "it's here")) == name
     assert spark.table(f"{database}.t").count() == 3
     spark.range(2).write.mode("append").parquet(str(tmp_path / "it's here"))
     register(spark, f"{database}.t", str(tmp_path / "it's here"))
@@ -35,7 +36,8 @@ def test_a_table_elsewhere_is_not_taken_for_this_one(spark, tmp_path, database):
 def test_partition_values_keep_their_declared_type(spark, tmp_path, database):
     df = spark.createDataFrame([("1", "01"), ("2", "02"), ("3", None)], "v string, p string")
     overwrite_table(df, f"{database}.t", str(tmp_path), partitions=["p"])
-    assert sorted(map(tuple, read_table(spark, f"{database}.t").collect()), key=repr) == [("1", "01"), ("2", "02"), ("3", None)]
+    got = sorted(map(tuple, read_table(spark, f"{database}.t").collect()), key=repr)
+    assert got == [("1", "01"), ("2", "02"), ("3", None)]
     assert read_table(spark, f"{database}.t", df.select("p").schema).columns == ["p"]
 
 
