@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from terrace.functions import column, quote, quote_table, sql_text
 
 # Formats that keep their own versions and replace a table in place.
-VERSIONED = ("delta", "iceberg", "hudi")
+VERSIONED = ("delta",)
 
 
 def _details(spark: SparkSession, table: str) -> dict[str, str]:
