@@ -37,7 +37,7 @@ class Bronze:
     file_type: str = "csv"
     partitions: Sequence[str] = ()
     table_format: str = "parquet"
-    writers_per_partition: int | None = None
+    tasks_per_file: int | None = None
     reader: Mapping[str, Any] = field(default_factory=dict)
 
 
@@ -82,7 +82,7 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
         partitions=job.partitions,
         table_format=job.table_format,
         ingest_date=INGEST_DATE,
-        writers_per_partition=job.writers_per_partition,
+        tasks_per_file=job.tasks_per_file,
     )
     levels = [INGEST_DATE, *job.partitions]
     fields = {f.name: f for f in [*schema.fields, StructField(INGEST_DATE, StringType())]}

@@ -11,11 +11,15 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from terrace.functions import column
 
 
-def _spread(stream: DataFrame, partitions: Sequence[str], writers: int) -> DataFrame:
-    """Gather each partition's rows in ``writers`` tasks: few files, and no task that gets a hot one whole."""
-    salt = "__salt"
-    salted = stream.withColumn(salt, F.spark_partition_id() % writers)
-    return salted.repartition(*[column(p) for p in partitions], column(salt)).drop(salt)
+def _gather(stream: DataFrame, partitions: Sequence[str], tasks: int) -> DataFrame:
+    """Bring together what ``tasks`` neighbouring tasks read of each partition value, and no more.
+
+    A value held by a third of all rows is so split by where its rows were read: what one task has
+    to write of it is bounded by what these few tasks read, however large the batch.
+    """
+    group = "__group"
+    grouped = stream.withColumn(group, F.floor(F.spark_partition_id() / tasks))
+    return grouped.repartition(*[column(p) for p in partitions], column(group)).drop(group)
 
 
 def _run(writer: DataStreamWriter, location: str) -> int:
@@ -37,7 +41,7 @@ def append_new(
     partitions: Sequence[str] | None = None,
     table_format: str = "parquet",
     ingest_date: str | None = "ingest_date",
-    writers_per_partition: int | None = None,
+    tasks_per_file: int | None = None,
 ) -> int:
     """Append the stream's new rows to the files at ``location`` and give back how many were read.
 
@@ -45,8 +49,9 @@ def append_new(
     location and lies outside it. ``ingest_date`` names a column, the first partition level, that
     gets the date of the batch; the date is kept with the batch, so a replay does not move rows.
 
-    Without ``writers_per_partition`` nothing is shuffled and every task writes a file for each
-    partition value it meets; with many values, that many tasks per value write instead.
+    Without ``tasks_per_file`` nothing is shuffled, and every task that reads writes a file for each
+    partition value it meets. With many values that makes many small files; then the rows of a value
+    that this many tasks read go to one file.
     """
     if checkpoint.rstrip("/") == location.rstrip("/") or checkpoint.startswith(location.rstrip("/") + "/"):
         raise ValueError("the checkpoint must lie outside the table's directory")
@@ -54,8 +59,8 @@ def append_new(
     missing = [p for p in levels if p not in stream.columns]
     if missing:
         raise ValueError("no such partition column: " + ", ".join(missing))
-    if writers_per_partition and levels:
-        stream = _spread(stream, levels, writers_per_partition)
+    if tasks_per_file and levels:
+        stream = _gather(stream, levels, tasks_per_file)
     if ingest_date:
         if ingest_date in stream.columns:
             raise ValueError(f"the files have a column '{ingest_date}' of their own: name the load date otherwise")

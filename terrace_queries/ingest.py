@@ -199,14 +199,14 @@ def partitioned_scan(spark: SparkSession, sf: str) -> DataFrame:
            lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS line FROM lineitem
     """
 )
-def partition_writers(spark: SparkSession, sf: str) -> DataFrame:
-    """Two tasks write each partition; a partition value like 01 stays text."""
+def gathered_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Few files for each partition; a partition value like 01 stays text."""
     source = scratch_path(spark, "lineitem-csv")
     table(spark, sf, "lineitem").selectExpr(
         "l_orderkey", "l_extendedprice", "lpad(CAST(l_linenumber AS STRING), 2, '0') AS line"
     ).write.csv(source, header=True)
     names = ["l_orderkey", "l_extendedprice", "line"]
-    return ingest(spark, "csv", source, names, partitions=["line"], writers_per_partition=2)
+    return ingest(spark, "csv", source, names, partitions=["line"], tasks_per_file=4)
 
 
 @query(

@@ -20,7 +20,7 @@ def land(spark, tmp_path, database):
     """Write files, run the job, give back the rows of the raw table."""
     source = tmp_path / "in"
 
-    def run(file_type="csv", schema=SCHEMA, partitions=(), files=None, writers=None, **reader):
+    def run(file_type="csv", schema=SCHEMA, partitions=(), files=None, gather=None, **reader):
         for name, text in (files or {}).items():
             (source / name).parent.mkdir(parents=True, exist_ok=True)
             (source / name).write_text(text)
@@ -32,7 +32,7 @@ def land(spark, tmp_path, database):
             file_type,
             partitions,
             reader=reader,
-            writers_per_partition=writers,
+            tasks_per_file=gather,
         )
         run_bronze(spark, job)
         return sorted((tuple(r) for r in read_table(spark, job.table, schema).collect()), key=repr)
@@ -133,12 +133,13 @@ def test_text_by_pattern(land):
     assert got == [("1", "a", "b", "c")]
 
 
-def test_writers_per_partition(land, tmp_path):
+@pytest.mark.parametrize("gather", [None, 100])
+def test_what_several_tasks_read_is_gathered(land, tmp_path, gather):
     files = {f"{i}.csv": "h,h,h,h\n" + f"{i},a,b,01\n{i},a,b,02\n" * 3 for i in range(20)}
-    got = land(files=files, partitions=["part"], writers=2)
+    got = land(files=files, partitions=["part"], gather=gather)
     assert len(got) == 120 and {r[3] for r in got} == {"01", "02"}
     written = list((tmp_path / "out").glob("t/data/ingest_date=*/part=01/*.parquet"))
-    assert 1 <= len(written) <= 2
+    assert len(written) == 1 if gather else len(written) > 1
 
 
 def test_layout_and_load_date(spark, land, tmp_path, database):
