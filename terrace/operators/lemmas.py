@@ -11,8 +11,9 @@ from terrace.scratch import scratch_path
 
 # A dictionary up to this size is sent whole to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Beyond it, the occurrences of a word are spread over this many tasks.
-SALTS = 32
+# Beyond it, the occurrences of a word are spread over this many groups; adaptive execution splits what
+# is still too large for a task.
+SALTS = 128
 
 
 def _entries(dictionary: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
@@ -53,9 +54,9 @@ def register(
         place = sql_text(nothing if declare else location)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {columns} USING {quote(table_format)} {by} LOCATION {place}")
     present = _details(spark, table).get("Location", location)
-    if _path(present) == _path(nothing):
+    if _same_place(present, nothing):
         spark.sql(f"ALTER TABLE {name} SET LOCATION {sql_text(location)}")
-    elif _path(present) != _path(location):
+    elif not _same_place(present, location):
         raise ValueError(f"table {table} is at {present}, not at {location}")
     if partitions and declare and not streamed:
         spark.sql(f"MSCK REPAIR TABLE {name}")
@@ -63,12 +64,16 @@ def register(
     return table
 
 
-def _path(location: str) -> str:
-    """A location in one spelling: ``file:///a/`` and ``/a`` are the same place."""
-    scheme, found, rest = location.partition(":")
-    if found and scheme == "file":
-        location = "/" + rest.lstrip("/")
-    return location.rstrip("/")
+def _same_place(a: str, b: str) -> bool:
+    """``file:/a``, ``file:///a/`` and ``/a`` are one place; a path without a scheme is on the default one."""
+    (scheme_a, host_a, path_a), (scheme_b, host_b, path_b) = _parts(a), _parts(b)
+    same_store = not scheme_a or not scheme_b or (scheme_a, host_a) == (scheme_b, host_b)
+    return same_store and path_a == path_b
+
+
+def _parts(location: str) -> tuple[str, str, str]:
+    scheme, host, path = re.fullmatch(r"(?:([A-Za-z][\w+.-]*):)?(?://([^/]*))?(.*)", location, re.DOTALL).groups()
+    return scheme or "", host or "", path.rstrip("/")
 
 
 def read_table(spark: SparkSession, table: str, schema: StructType | None = None) -> DataFrame:

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from terrace import overwrite_table, read_table, register
 from terrace.functions import quote_table
-from terrace.sources.tables import _details
+from terrace.sources.tables import _details, _same_place
 
 
 def test_names():
@@ -14,6 +14,13 @@ def test_names():
             quote_table(bad)
 
 
+def test_places():
+    for a, b in [("/a b/c", "file:/a b/c/"), ("file:///a", "file:/a"), ("/a", "hdfs://n:1/a"), ("s3a://x/a", "s3a://x/a/")]:
+        assert _same_place(a, b) and _same_place(b, a)
+    for a, b in [("/a", "/b"), ("s3a://x/a", "s3a://y/a"), ("s3a://x/a", "file:/a"), ("hdfs://n/a", "hdfs://n/a/b")]:
+        assert not _same_place(a, b)
+
+
 def test_register_creates_database_and_table(spark, tmp_path, database):
     spark.range(3).write.parquet(str(tmp_path / "it's here"))
     name = f"spark_catalog.{database}.t"
