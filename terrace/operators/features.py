@@ -85,10 +85,18 @@ def strategy(spec: Mapping[str, Any] | Strategy) -> Strategy:
     return STRATEGIES[name](**arguments)
 
 
+def _distinct_names(problem: str, names: Sequence[str]) -> None:
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"{problem}: {', '.join(twice)}")
+
+
 def build_features(df: DataFrame, keys: Sequence[str], strategies: Sequence[Strategy]) -> DataFrame:
     """One row per entity, with the features of all strategies."""
     require_columns(df, keys)
-    return df.groupBy(*[column(k) for k in keys]).agg(*[f for s in strategies for f in s])
+    features = df.groupBy(*[column(k) for k in keys]).agg(*[f for s in strategies for f in s])
+    _distinct_names("feature named twice", features.columns)
+    return features
 
 
 def join_features(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -100,9 +108,7 @@ def join_features(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     if len(parts) == 1:
         return parts[0]
     features = [n for p in parts for n in p.columns if n not in keys]
-    twice = sorted({n for n in features if features.count(n) > 1})
-    if twice:
-        raise ValueError("feature in more than one part: " + ", ".join(twice))
+    _distinct_names("feature in more than one part", features)
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return stacked.groupBy(*[column(k) for k in keys]).agg(
         *[F.first(column(n), ignorenulls=True).alias(n) for n in features]

@@ -1,0 +1 @@
+"""Steps put in order, and layers as jobs."""

@@ -82,6 +82,8 @@ def test_strategies_by_name(sales):
         strategy({"strategy": "spread"})
     with pytest.raises(ValueError, match="unknown aggregate 'mode'"):
         entity_aggregates({"v": ["mode"]})
+    with pytest.raises(ValueError, match="twice: rows"):
+        build_features(sales, ["who"], [entity_aggregates({}), entity_aggregates({})])
     with pytest.raises(ValueError, match="nope"):
         build_features(sales, ["nope"], [entity_aggregates({})])
 

@@ -2,12 +2,12 @@ import datetime
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from terrace import build_pipeline, clean, register_step
-from terrace.operators import ConvertTypes, NormalizeTimestamp, RemoveDuplicates, RemoveNulls, Step
+from terrace.operators import ConvertTypes, HandleNulls, NormalizeTimestamp, RemoveDuplicates, RemoveNulls, Step
 from terrace.plans.cleaning import STEPS
 from terrace.scratch import scratch_path
 
@@ -229,5 +229,14 @@ def test_fitted_pipelines_can_be_saved(spark, nulls):
     model.write().save(path)
     again = PipelineModel.load(path)
     assert rows(again.transform(nulls)) == rows(model.transform(nulls)) == rows(clean(nulls, list(contract), contract))
-    pipe = build_pipeline(["remove_duplicates"], {})
-    assert isinstance(pipe.getStages()[0], RemoveDuplicates)
+
+
+def test_pipelines_can_be_saved_before_they_are_fitted(spark, nulls):
+    contract = {"null_handling": {"d": "median"}, "remove_duplicates": {"subset_cols": ["i"], "order_by": ["d", "x"]}}
+    options = {"null_handling": {"exact_median": True, "on_empty": "keep"}}
+    pipe, path = build_pipeline(list(contract), contract, options), scratch_path(spark, "pipeline")
+    pipe.write().save(path)
+    again = Pipeline.load(path)
+    assert [type(s) for s in again.getStages()] == [HandleNulls, RemoveDuplicates]
+    assert again.getStages()[0].getOrDefault("exactMedian") is True
+    assert rows(again.fit(nulls).transform(nulls)) == rows(pipe.fit(nulls).transform(nulls))
