@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+import yaml
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -118,13 +119,26 @@ def run_gold(spark: SparkSession, job: Gold) -> str:
 
 
 LAYERS: dict[str, Callable[[SparkSession, Any], str]] = {"bronze": run_bronze, "silver": run_silver, "gold": run_gold}
+KINDS: dict[str, type] = {"bronze": Bronze, "silver": Silver, "gold": Gold}
+
+
+def load_jobs(path: str) -> dict[str, list[Any]]:
+    """Jobs from a YAML file: under each layer's name, a list of what its job class takes."""
+    with open(path, encoding="utf-8") as f:
+        layers = yaml.safe_load(f) or {}
+    _known(layers)
+    return {layer: [KINDS[layer](**job) for job in jobs or ()] for layer, jobs in layers.items()}
+
+
+def _known(layers: Iterable[str]) -> None:
+    unknown = [layer for layer in layers if layer not in LAYERS]
+    if unknown:
+        raise ValueError("unknown layer: " + ", ".join(unknown))
 
 
 def run_layers(
     spark: SparkSession, jobs: Mapping[str, Sequence[Any]], layers: Sequence[str] = tuple(LAYERS)
 ) -> list[str]:
     """Run the jobs of each layer in turn and give back the tables written; the first error ends it."""
-    unknown = [layer for layer in layers if layer not in LAYERS]
-    if unknown:
-        raise ValueError("unknown layer: " + ", ".join(unknown))
+    _known(layers)
     return [LAYERS[layer](spark, job) for layer in layers for job in jobs.get(layer, ())]

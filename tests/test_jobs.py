@@ -1,8 +1,11 @@
 import json
 
 import pytest
+import yaml
 
 from terrace import Bronze, Gold, Silver, read_table, run_bronze, run_layers, run_silver
+from terrace.__main__ import main
+from terrace.plans.jobs import load_jobs
 
 COLUMNS = ["id", "first_name", "last_name", "email", "gender", "ip_address"]
 SCHEMA = {"columns": [{"name": n} for n in COLUMNS]}
@@ -95,3 +98,19 @@ def test_all_layers(spark, jobs):
     assert run_layers(spark, {"silver": [silver]}, ["silver"]) == [silver.table]
     with pytest.raises(ValueError, match="platinum"):
         run_layers(spark, {}, ["platinum"])
+
+
+def test_jobs_from_a_file(spark, jobs, tmp_path):
+    raw, silver, gold = ({**vars(job)} for job in jobs)
+    path = tmp_path / "jobs.yaml"
+    silver["steps"] = list(silver["steps"])
+    path.write_text(yaml.safe_dump({"bronze": [raw], "silver": [silver], "gold": [gold]}))
+    tables = [job.table for job in jobs]
+    assert main([str(path), "bronze"]) == tables[:1]
+    assert main([str(path)]) == tables
+    assert sorted(map(tuple, read_table(spark, tables[2]).collect()), key=repr) == [("F", 1, 1), ("M", 2, 2)]
+    path.write_text("platinum: []")
+    with pytest.raises(ValueError, match="platinum"):
+        load_jobs(str(path))
+    with pytest.raises(SystemExit):
+        main([])
