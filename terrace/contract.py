@@ -117,6 +117,12 @@ def validate_contract(contract: Mapping[str, Any], columns: Iterable[str] | None
         else:
             errors.append("normalize_timestamp: must be a map with input_col and format")
 
+    lemmas = mapping("lemmatize")
+    if lemmas:
+        need("lemmatize", [lemmas.get("key"), lemmas.get("text")])
+        if not isinstance(lemmas.get("dictionary"), str):
+            errors.append("lemmatize: dictionary must name a table")
+
     if errors:
         raise ValueError("; ".join(errors))
     return dict(contract)

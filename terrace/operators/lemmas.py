@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.functions import column, delimiter_pattern
-from terrace.operators.base import require_columns
+from terrace.functions import column, delimiter_pattern, quote_table
+from terrace.operators.base import Step, require_columns
 from terrace.scratch import scratch_path
 
 # A dictionary up to this size is sent whole to every executor.
@@ -76,3 +76,18 @@ def lemmatize(df: DataFrame, key: str, text: str, dictionary: DataFrame, delimit
         .alias(text)
     )
     return texts.select(*[lemmatized if n == text else F.col("row").getField(n).alias(n) for n in df.columns])
+
+
+class Lemmatize(Step):
+    """The same as a step: ``{key, text, dictionary}``, where ``dictionary`` names a table or view."""
+
+    section_name = "lemmatize"
+
+    def input_columns(self) -> list[str]:
+        return [self.rules["key"], self.rules["text"]] if self.rules else []
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        if not self.rules:
+            return df
+        dictionary = df.sparkSession.table(quote_table(self.rules["dictionary"]))
+        return lemmatize(df, self.rules["key"], self.rules["text"], dictionary, self.rules.get("delimiter") or " ")

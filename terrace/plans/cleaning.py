@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from terrace.operators import (
     ConvertTypes,
     HandleNulls,
+    Lemmatize,
     NormalizeText,
     NormalizeTimestamp,
     RemoveDuplicates,
@@ -26,6 +27,7 @@ STEPS: dict[str, type] = {
     "null_handling": HandleNulls,
     "normalize_text": NormalizeText,
     "normalize_timestamp": NormalizeTimestamp,
+    "lemmatize": Lemmatize,
 }
 
 

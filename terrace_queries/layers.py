@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace_queries.ingest import new_table, orders_text, schema_of
 from terrace_queries.registry import query, table
-from terrace import Bronze, Gold, Silver, read_table, run_bronze, run_layers, run_silver
+from terrace import Bronze, Gold, Silver, clean, read_table, run_bronze, run_layers, run_silver
 from terrace.operators.features import (
     build_features,
     category_counts,
@@ -180,7 +182,10 @@ def lemmatize_names(spark: SparkSession, sf: str) -> DataFrame:
     parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
     tokens = parts.select(F.explode(F.split("p_name", " ")).alias("token")).distinct()
     dictionary = tokens.where("length(token) % 2 = 0").selectExpr("token", "concat(token, '_', length(token)) AS lemma")
-    return lemmatize(parts, "p_partkey", "p_name", dictionary)
+    view = f"lemmas_{uuid.uuid4().hex}"
+    dictionary.createOrReplaceTempView(view)
+    rules = {"lemmatize": {"key": "p_partkey", "text": "p_name", "dictionary": view}}
+    return clean(parts, ["lemmatize"], rules)
 
 
 @query(

@@ -61,10 +61,11 @@ def test_all_errors_come_together():
         "null_handling": {"a": ["mean"]},
         "normalize_text": "absent",
         "normalize_timestamp": {"format": "yyyy"},
+        "lemmatize": {"key": "lost", "text": "a", "dictionary": 1},
     }
     with pytest.raises(ValueError) as e:
         validate_contract(bad, ["a"])
-    for word in ("nope", "gone", "some", "missing", "['mean']", "absent", "None"):
+    for word in ("nope", "gone", "some", "missing", "['mean']", "absent", "None", "lost", "dictionary"):
         assert word in str(e.value)
 
 

@@ -153,6 +153,7 @@ def test_timestamps(spark):
         ("null_handling", {"nope": 1}),
         ("normalize_text", ["nope"]),
         ("normalize_timestamp", {"input_col": "nope"}),
+        ("lemmatize", {"key": "id", "text": "nope", "dictionary": "d"}),
     ],
 )
 def test_missing_columns_are_named(spark, step, section):
