@@ -15,7 +15,8 @@ def test_names():
 
 
 def test_places():
-    for a, b in [("/a b/c", "file:/a b/c/"), ("file:///a", "file:/a"), ("/a", "hdfs://n:1/a"), ("s3a://x/a", "s3a://x/a/")]:
+    same = [("/a b/c", "file:/a b/c/"), ("file:///a", "file:/a"), ("/a", "hdfs://n:1/a"), ("s3a://x/a", "s3a://x/a/")]
+    for a, b in same:
         assert _same_place(a, b) and _same_place(b, a)
     for a, b in [("/a", "/b"), ("s3a://x/a", "s3a://y/a"), ("s3a://x/a", "file:/a"), ("hdfs://n/a", "hdfs://n/a/b")]:
         assert not _same_place(a, b)
