@@ -4,8 +4,8 @@ import pytest
 from oracle import connect, duckdb_result, spark_result
 
 import __spark_entry__ as entry_module
-
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+from terrace_queries import ORACLE as SQL
+from terrace_queries import QUERIES
 
 
 @pytest.fixture(scope="module")
