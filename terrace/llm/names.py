@@ -1,0 +1,11 @@
+"""Column names that do not clash with a table's own."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or that with a number after it, whatever the table does not have yet in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for i in range(len(taken) + 1) if (n := f"{name}{i or ''}").lower() not in taken)
