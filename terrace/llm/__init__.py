@@ -1 +1,8 @@
 """Operators that turn a corpus of texts, pages and conversations into training data."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package go to executors by value, so that it need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
