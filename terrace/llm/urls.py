@@ -43,11 +43,11 @@ def canonical(url: Column) -> Column:
     return F.when(url.isNotNull(), F.concat(at, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
-def _block(key: Column) -> Column:
+def block_of(key: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(key), 46)
 
 
-def _masks(key: Column) -> list[Column]:
+def masks_of(key: Column) -> list[Column]:
     """Two bits in each word of the block, from slices of a second hash."""
     bits = F.xxhash64(key, F.lit(1))
     slot = lambda i: F.shiftrightunsigned(bits, 6 * i).bitwiseAND(F.lit(63)).cast("int")
@@ -57,8 +57,8 @@ def _masks(key: Column) -> list[Column]:
 
 def blocked_bloom(keys: DataFrame, key: str) -> DataFrame:
     """The filter as a table: a row for each block in use (``block``, ``word0`` ..). Null keys are not in it."""
-    masks = [m.alias(f"word{j}") for j, m in enumerate(_masks(F.col(key)))]
-    rows = keys.where(F.col(key).isNotNull()).select(_block(F.col(key)).alias("block"), *masks)
+    masks = [m.alias(f"word{j}") for j, m in enumerate(masks_of(F.col(key)))]
+    rows = keys.where(F.col(key).isNotNull()).select(block_of(F.col(key)).alias("block"), *masks)
     return rows.groupBy("block").agg(*[F.bit_or(f"word{j}").alias(f"word{j}") for j in range(WORDS)])
 
 
@@ -105,8 +105,8 @@ def filter_urls(
     bloom = blocked_bloom(keys, key).select(F.col("block").alias(at), *blocks)
     bits = [free(f"word{j}_") for j in range(WORDS)]
     probe = judged.where(F.col(action).isNull() & F.col(key).isNotNull())
-    held = reduce(lambda a, b: a & b, [F.col(b).bitwiseAND(m) == m for b, m in zip(bits, _masks(F.col(key)))])
-    probed = probe.join(F.broadcast(bloom), _block(F.col(key)) == F.col(at), "left")
+    held = reduce(lambda a, b: a & b, [F.col(b).bitwiseAND(m) == m for b, m in zip(bits, masks_of(F.col(key)))])
+    probed = probe.join(F.broadcast(bloom), block_of(F.col(key)) == F.col(at), "left")
     possible = F.coalesce(held, F.lit(False))
 
     columns = [*df.columns, "host", "path", "rule"]
