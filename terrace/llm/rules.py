@@ -140,10 +140,10 @@ def cover(table: list[Cell], statistics: list[str], edges: dict[str, list[float]
 def learn_rules(labelled: DataFrame, statistics: list[str], key: str) -> list[Rule]:
     """A decision list from rows with ``statistics``, ``key`` and ``label`` 0 or 1; empty without rows of label 0.
 
-    Rows with another label, or none, teach nothing. All labelled rows count: two aggregations take them to
+    Rows with another label, or none, or with a null or NaN statistic teach nothing. All labelled rows count: two aggregations take them to
     quantiles and to counts, whose number does not grow with theirs, and the list is found from these.
     """
-    known = labelled.where(F.col("label").isin(0, 1))
+    known = labelled.where(F.col("label").isin(0, 1)).dropna(subset=statistics)
     edges = thresholds(known, statistics)
     if not any(edges.values()):
         return []

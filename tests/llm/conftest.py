@@ -2,8 +2,6 @@ import os
 
 import pytest
 
-from terrace.llm.registry import QUERIES  # noqa: F401  (the package imports before its tests)
-
 
 @pytest.fixture(scope="session")
 def small(sf):

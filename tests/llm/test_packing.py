@@ -11,7 +11,7 @@ from terrace.llm.query_packing import packed
 from terrace.llm.tokens import Ids
 from tokenizers import Tokenizer
 
-from terrace.llm.registry import QUERIES
+from terrace.llm.queries import QUERIES
 
 PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.llm.query_rules import BASE, base_failed, quality_rules, with_shares
-from terrace.llm.registry import QUERIES
+from terrace.llm.queries import QUERIES
 from terrace.llm.rules import Cell, cover, learn_rules, verdict
 from terrace.llm.statistics import text_statistics
 
