@@ -1,0 +1,103 @@
+import random
+
+import numpy as np
+import pytest
+from brute import components, shingles
+from pyspark.sql import functions as F
+
+from terrace.llm.components import connected_components
+from terrace.llm.near_copies import near_copies
+from terrace.llm.shingles import pack, shingle_set, unpack, word_hashes
+
+
+def found(spark, rows, n, percent):
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit(1)).withColumn("key", F.lit("x"))
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_copies(df.repartition(5), "doc_id", "text", n, percent).collect()), key=str)
+
+
+def wanted(rows, n, percent):
+    sets = [shingles(t, n) for _, t in rows]
+    roots = components(sets, percent)
+    smallest = {}
+    for (key, _), root in zip(rows, roots):
+        if key is not None:
+            smallest[root] = min(smallest.get(root, key), key)
+    return sorted(((k, len(s), smallest.get(r) if s else k) for (k, _), s, r in zip(rows, sets, roots)), key=str)
+
+
+def near_group(seed, size, words, copies):
+    """A text, its exact copies, and copies with some words changed, among texts that share passages."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 5)))
+    base = [word() for _ in range(words)]
+    passage = " ".join(word() for _ in range(30))
+    texts = []
+    for _ in range(size):
+        changed = list(base)
+        for _ in range(rng.randint(0, 6)):
+            changed[rng.randrange(words)] = word()
+        texts.append(" ".join(changed))
+    texts += [" ".join(base)] * copies
+    texts += [f"{passage} " + " ".join(word() for _ in range(rng.randint(3, 80))) for _ in range(size)]
+    texts += [passage, passage + " end", passage.upper(), "\t" + passage.replace(" ", "\n")]
+    rng.shuffle(texts)
+    return [(i * 3, t) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed, n, percent", [(1, 4, 85), (2, 5, 80), (3, 3, 60)])
+def test_groups_of_copies(spark, seed, n, percent):
+    rows = near_group(seed, 60, 70, 20)
+    assert found(spark, rows, n, percent) == wanted(rows, n, percent)
+
+
+def test_a_chain_is_one_component(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows, words = [], list(base)
+    for i in range(25):
+        rows.append((100 - i, " ".join(words)))
+        words[2 * i] = f"x{i}"
+    assert found(spark, rows, 4, 85) == wanted(rows, 4, 85)
+    assert {c for _, _, c in found(spark, rows, 4, 85)} == {76}
+
+
+def test_odd_rows(spark):
+    long = "long " + " ".join(f"w{i % 977}" for i in range(60000))
+    rows = [
+        (1, None), (2, ""), (3, " \n\t"), (4, "a"), (5, "A"), (6, "a b"), (7, "a b c"), (8, "A b C"), (9, "a b c d"), (9, "a b c d"),
+        (None, "a b c d"), (None, "alone among all of them"), (11, long), (10, long + " end"), (12, "é É"), (13, "é é"), (14, "x y z"),
+    ]
+    assert found(spark, rows, 4, 85) == wanted(rows, 4, 85)
+
+
+def test_empty_table(spark):
+    assert found(spark, [], 4, 85) == []
+    assert found(spark, [(1, None)], 4, 85) == [(1, 0, 1)]
+
+
+def test_hashes_do_not_depend_on_places_or_pieces(monkeypatch):
+    text = " ".join(f"w{i % 50}" for i in range(5000))
+    whole = word_hashes(text)
+    assert len(set(whole.tolist())) == 50 and (whole[:50] == whole[50:100]).all()
+    monkeypatch.setattr("terrace.llm.shingles.PIECE", 97)
+    assert (word_hashes(text) == whole).all()
+    assert len(shingle_set("a b a b a", 2)) == 2
+
+
+def test_packing_of_numbers():
+    for values in ([], [5], [3, 1, 2], [0, 2**55, -1]):
+        assert unpack(pack(np.array(values, np.int64))).tolist() == values
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    links = [(i, i + 1) for i in range(0, 70)] + [(200, 200 + i) for i in range(1, 40)] + [(300 + i, 300 + (i + 1) % 9) for i in range(9)] + [(5, 5)]
+    df = spark.createDataFrame(links, "a long, b long")
+    kept = []
+
+    def write(rows, name):
+        kept.append(name)
+        return spark.createDataFrame(rows.collect(), rows.schema)
+
+    got = {r["node"]: r["component"] for r in connected_components(df, write).collect()}
+    assert got == {**{i: 0 for i in range(71)}, **{200 + i: 200 for i in range(40)}, **{300 + i: 300 for i in range(9)}}
+    assert len(kept) <= 2 * 12
+    assert connected_components(df.limit(0), write).collect() == []
