@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, FloatType
 
@@ -48,3 +48,9 @@ def is_missing(name: str, dtype: DataType) -> Column:
     """
     c = column(name)
     return c.isNull() | F.isnan(c) if is_fractional(dtype) else c.isNull()
+
+
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, or that with a number after it: one the table has no column of, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for i in range(len(taken) + 1) if (n := f"{name}{i or ''}").lower() not in taken)

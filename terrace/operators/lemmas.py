@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions import column, delimiter_pattern, quote_table
@@ -11,9 +11,6 @@ from terrace.scratch import scratch_path
 
 # A dictionary up to this size is sent whole to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Beyond it, the occurrences of a word are spread over this many groups; adaptive execution splits what
-# is still too large for a task.
-SALTS = 128
 
 
 def _entries(dictionary: DataFrame) -> DataFrame:
@@ -24,19 +21,40 @@ def _entries(dictionary: DataFrame) -> DataFrame:
     return spark.read.parquet(place)
 
 
-def _is_small(dictionary: DataFrame) -> bool:
+def _is_small(dictionary: DataFrame, most: int) -> bool:
     size = F.sum(F.octet_length("token") + F.octet_length("lemma") + 64)
-    return (dictionary.agg(size).first()[0] or 0) <= BROADCAST_BYTES
+    return (dictionary.agg(size).first()[0] or 0) <= most
 
 
-def _salted_join(words: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Left join on the token, of which one may be a third of all words: its rows go to many tasks."""
-    spread = words.withColumn("salt", F.pmod(F.xxhash64("key", "position"), F.lit(SALTS)).cast("int"))
-    copies = dictionary.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return spread.join(copies, ["token", "salt"], "left").drop("salt")
+def _merged(words: DataFrame, rows: DataFrame, split: Column, entries: DataFrame) -> DataFrame:
+    """Left join by shuffle on the token, of which one may be a third of all words.
 
-
-def lemmatize(df: DataFrame, key: str, text: str, dictionary: DataFrame, delimiter: str = " ") -> DataFrame:
+    Tokens with more than a task's share of all words, at most as many as there are tasks, are counted first.
+    Their words go to several tasks each, as do those without a token, and their few entries are copied for it;
+    all other entries are joined as they are.
+    """
+    tasks = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    total = rows.agg(F.sum(F.size(split))).first()[0] or 0
+    counts = rows.select(F.explode(split).alias("token")).groupBy("token").count()
+    hot = {r["token"]: r["count"] for r in counts.where(F.col("count") > F.lit(total / tasks)).collect()}
+    pieces = -(-max(hot.values(), default=1) * tasks // max(total, 1))
+    is_hot = F.col("token").isin(list(hot)) if hot else F.lit(False)
+    spread = F.pmod(F.xxhash64("key", "position"), F.lit(pieces)).cast("int")
+    salt = F.when(is_hot, spread).when(F.col("token").isNull(), F.pmod(F.xxhash64("key"), F.lit(tasks)).cast("int"))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))
+    known = entries.withColumn("salt", F.explode(copies))
+    salted = words.withColumn("salt", F.coalesce(salt, F.lit(0)))
+    return salted.join(known.hint("merge"), ["token", "salt"], "left").drop("salt")
+
+
+def lemmatize(
+    df: DataFrame,
+    key: str,
+    text: str,
+    dictionary: DataFrame,
+    delimiter: str = " ",
+    broadcast_bytes: int | None = None,
+) -> DataFrame:
     """Replace each word of ``text`` that ``dictionary(token, lemma)`` knows by its lemma.
 
     Words are what ``delimiter`` separates; their order and number stay, and a null text stays null.
@@ -44,13 +62,14 @@ def lemmatize(df: DataFrame, key: str, text: str, dictionary: DataFrame, delimit
     meet again in an aggregation by it, so no group is larger than a text, and a key held by two
     rows fails the job. The other columns travel with the first word, not with all of them.
 
-    With a dictionary small enough to broadcast, whole texts are shuffled once, by key, and their
-    words not at all.
+    With a dictionary small enough to broadcast (``broadcast_bytes``, 32 MiB if not given), whole texts are
+    shuffled once, by key, and their words not at all. Beyond that words meet the dictionary in a merge join.
+    The dictionary is written out and measured when this is called, and words are counted where it is large.
     """
     require_columns(df, [key, text])
     require_columns(dictionary, ["token", "lemma"])
     entries = _entries(dictionary)
-    small = _is_small(entries)
+    small = _is_small(entries, BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes)
     row = F.struct(*[column(n) for n in df.columns if n != text])
     rows = df.select(column(key).alias("key"), row.alias("row"), column(text).alias("text"))
     split = F.split("text", delimiter_pattern(delimiter))
@@ -59,7 +78,7 @@ def lemmatize(df: DataFrame, key: str, text: str, dictionary: DataFrame, delimit
         .select("key", "row", F.posexplode_outer(split).alias("position", "token"))
         .withColumn("row", F.when(F.coalesce("position", F.lit(0)) == 0, F.col("row")))
     )
-    found = words.join(F.broadcast(entries), "token", "left") if small else _salted_join(words, entries)
+    found = words.join(F.broadcast(entries), "token", "left") if small else _merged(words, rows, split, entries)
     word = F.struct("position", F.coalesce("lemma", "token").alias("word"))
     texts = (
         found.groupBy("key")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, StringType
 
 from terrace.contract import fill_rule
-from terrace.functions import column, without_nan
+from terrace.functions import column, unused_name, without_nan
 from terrace.operators.base import HasRules, require_columns, require_dataframe
 from terrace.operators.median import ACCURACY, exact_medians
 
@@ -142,7 +142,7 @@ class HandleNulls(HasRules, Estimator, DefaultParamsReadable, DefaultParamsWrita
                 ]
             row = F.struct(*[s.alias(f"s{i}") for i, s in enumerate(stats)])
             # One column holds the sub-query for all fills: named in each, it would be planned for each.
-            learnt = "__learnt"
+            learnt = unused_name(df, "learnt")
             df = df.withColumn(learnt, df.agg(row).scalar())
             fills |= {n: column(learnt)[f"s{i}"] for i, n in enumerate(one_pass)}
             return _fill(df, fills).drop(learnt)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.contract import HOW, as_list, ordering
-from terrace.functions import column, is_missing
+from terrace.functions import column, is_missing, unused_name
 from terrace.operators.base import Step
 
 
@@ -46,7 +46,7 @@ class RemoveDuplicates(Step):
         # `= 1` on a row number lets Spark keep one row per key in each task before the shuffle
         # (WindowGroupLimit), so a hot key is never collected whole.
         first = Window.partitionBy(*[column(k) for k in keys]).orderBy(*[_sort_column(o) for o in order])
-        position = "__position"
+        position = unused_name(df, "position")
         return df.withColumn(position, F.row_number().over(first)).where(column(position) == 1).drop(position)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terrace.contract import as_list
@@ -11,6 +13,12 @@ from terrace.functions.text import DEFAULT_TIMESTAMP_FORMAT
 from terrace.operators.base import Step
 
 
+def _observed(df: DataFrame, observation: Observation, read: Mapping[str, Column]) -> DataFrame:
+    """The table, with a count of the values of each column that are there but cannot be read."""
+    lost = [F.count_if(column(n).isNotNull() & v.isNull()).alias(n) for n, v in read.items()]
+    return df.observe(observation, *lost) if lost else df
+
+
 class ConvertTypes(Step):
     """Cast the named columns to the named types.
 
@@ -31,11 +39,7 @@ class ConvertTypes(Step):
 
     def count_lost(self, df: DataFrame, observation: Observation) -> DataFrame:
         """Count, while the table is being computed anyway, the values each cast will turn to null."""
-        lost = [
-            F.count_if(column(n).isNotNull() & column(n).try_cast(t).isNull()).alias(n)
-            for n, t in (self.rules or {}).items()
-        ]
-        return df.observe(observation, *lost) if lost else df
+        return _observed(df, observation, {n: column(n).try_cast(t) for n, t in (self.rules or {}).items()})
 
 
 class NormalizeText(Step):
@@ -62,11 +66,16 @@ class NormalizeTimestamp(Step):
             raise ValueError("normalize_timestamp needs an input_col")
         return names
 
-    def apply(self, df: DataFrame) -> DataFrame:
-        parsed = {
-            r["input_col"]: parsed_timestamp(
-                column(r["input_col"]), r.get("format") or DEFAULT_TIMESTAMP_FORMAT, self.on_error
-            )
+    def _parsed(self, on_error: str) -> dict[str, Column]:
+        return {
+            r["input_col"]: parsed_timestamp(column(r["input_col"]), r.get("format") or DEFAULT_TIMESTAMP_FORMAT, on_error)
             for r in as_list(self.rules)
         }
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        parsed = self._parsed(self.on_error)
         return df.withColumns(parsed) if parsed else df
+
+    def count_lost(self, df: DataFrame, observation: Observation) -> DataFrame:
+        """Count, while the table is being computed anyway, the values that will not parse."""
+        return _observed(df, observation, self._parsed("null"))

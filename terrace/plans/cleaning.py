@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.ml import Estimator, Pipeline, Transformer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from terrace.operators import (
     ConvertTypes,
@@ -67,10 +68,19 @@ def clean(
     steps: Sequence[str],
     contract: Mapping[str, Any],
     options: Mapping[str, Mapping[str, Any]] | None = None,
+    lost: dict[str, Observation] | None = None,
 ) -> DataFrame:
-    """Run the steps on a table, as one plan that runs when its result is used."""
+    """Run the steps on a table, as one plan that runs when its result is used.
+
+    What a step must know beforehand runs at once: ``exact_median`` its passes, ``lemmatize`` the measuring of its
+    dictionary, a step of the user's own its ``fit``. ``lost`` is filled, by step, with observations of how many
+    values of each column could not be read and became null; they have their counts once the result was used.
+    """
     require_dataframe(df)
-    for stage in build_stages(steps, contract, options):
+    for name, stage in zip(steps, build_stages(steps, contract, options), strict=True):
+        if lost is not None and hasattr(stage, "count_lost") and stage.rules:
+            lost[name] = Observation(f"{name}-{uuid.uuid4().hex}")
+            df = stage.count_lost(df, lost[name])
         if isinstance(stage, HandleNulls):
             df = stage.fill_in_one_plan(df)
         elif isinstance(stage, Estimator):

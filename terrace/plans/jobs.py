@@ -7,12 +7,13 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import yaml
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from terrace.contract import load_contract, load_schema, schema_from_dict, validate_contract
 from terrace.operators.features import Strategy, build_features, join_features, strategy
 from terrace.plans.cleaning import BUILT_IN, clean
+from terrace.scratch import scratch_removed
 from terrace.sources import overwrite_table, read_new_files, read_table, register
 from terrace.streaming import append_new
 
@@ -29,7 +30,7 @@ def _schema(schema: StructType | Mapping[str, Any] | str) -> StructType:
 
 @dataclass
 class Bronze:
-    """New files of one kind into one raw table."""
+    """New files of one kind into one raw table. ``rows_read`` is there after a run."""
 
     table: str
     source: str
@@ -38,13 +39,17 @@ class Bronze:
     file_type: str = "csv"
     partitions: Sequence[str] = ()
     table_format: str = "parquet"
-    tasks_per_file: int | None = None
+    tasks_per_file: int | None = 16
     reader: Mapping[str, Any] = field(default_factory=dict)
+    rows_read: int | None = field(default=None, init=False)
 
 
 @dataclass
 class Silver:
-    """One raw table, cleaned by a contract, into another."""
+    """One raw table, cleaned by a contract, into another.
+
+    After a run, ``lost`` tells, by step and column, how many values could not be read and became null.
+    """
 
     table: str
     source: str
@@ -55,6 +60,7 @@ class Silver:
     options: Mapping[str, Mapping[str, Any]] | None = None
     partitions: Sequence[str] = ()
     table_format: str = "parquet"
+    lost: dict[str, dict[str, int]] | None = field(default=None, init=False)
 
 
 @dataclass
@@ -65,6 +71,7 @@ class Gold:
     location: str
     keys: Sequence[str]
     sources: Mapping[str, Sequence[Mapping[str, Any] | Strategy]]
+    partitions: Sequence[str] = ()
     table_format: str = "parquet"
 
 
@@ -76,7 +83,7 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
     schema = _schema(job.schema)
     home = f"{job.base_path.rstrip('/')}/{job.table.rpartition('.')[2]}"
     stream = read_new_files(spark, job.file_type, job.source, schema, **job.reader)
-    append_new(
+    job.rows_read = append_new(
         stream,
         f"{home}/data",
         f"{home}/_checkpoint",
@@ -103,8 +110,11 @@ def run_silver(spark: SparkSession, job: Silver) -> str:
     # A step of the user's own may make columns that later steps use.
     columns = raw.columns if set(job.steps) <= BUILT_IN else None
     validate_contract({s: contract.get(s) for s in job.steps}, columns)
-    cleaned = clean(raw, job.steps, contract, job.options)
-    overwrite_table(cleaned, job.table, job.location, table_format=job.table_format, partitions=job.partitions)
+    counts: dict[str, Observation] = {}
+    with scratch_removed(spark):
+        cleaned = clean(raw, job.steps, contract, job.options, counts)
+        overwrite_table(cleaned, job.table, job.location, table_format=job.table_format, partitions=job.partitions)
+    job.lost = {step: dict(seen.get) for step, seen in counts.items()}
     return job.table
 
 
@@ -114,7 +124,8 @@ def run_gold(spark: SparkSession, job: Gold) -> str:
         build_features(read_table(spark, source), job.keys, [strategy(s) for s in specs])
         for source, specs in job.sources.items()
     ]
-    overwrite_table(join_features(parts, job.keys), job.table, job.location, table_format=job.table_format)
+    features = join_features(parts, job.keys)
+    overwrite_table(features, job.table, job.location, table_format=job.table_format, partitions=job.partitions)
     return job.table
 
 

@@ -13,6 +13,14 @@ from pyspark.sql.types import StructType
 from terrace.functions import split_by_position
 
 
+# The options that mean something for a built-in file type.
+USED = {
+    "csv": ("delimiter", "header", "multiline"),
+    "json": ("multiline",),
+    "text": ("delimiter", "delimiter_is_regex"),
+}
+
+
 @dataclass(frozen=True)
 class FileOptions:
     """How the files are written."""
@@ -23,6 +31,15 @@ class FileOptions:
     multiline: bool = False
     extra: Mapping[str, Any] = field(default_factory=dict)
 
+    @classmethod
+    def given(cls, file_type: str, options: Mapping[str, Any], extra: Mapping[str, Any]) -> FileOptions:
+        """The options that are not None, which must be among those the file type uses."""
+        told = {k: v for k, v in options.items() if v is not None}
+        unused = sorted(set(told) - set(USED.get(file_type, told)))
+        if unused:
+            raise ValueError(f"{file_type} files have no use for: {', '.join(unused)}")
+        return cls(**told, extra=dict(extra))
+
     def __post_init__(self) -> None:
         if not self.delimiter:
             raise ValueError("the delimiter must not be empty")
@@ -35,8 +52,13 @@ Source = Callable[[DataStreamReader, str, StructType, FileOptions], DataFrame]
 
 
 def _csv(reader: DataStreamReader, path: str, schema: StructType, options: FileOptions) -> DataFrame:
-    """Columns bind by position; short rows end in nulls, long ones are cut, an empty field is null."""
-    return reader.schema(schema).csv(path, sep=options.delimiter, header=options.header, nullValue="")
+    """Columns bind by position; short rows end in nulls, long ones are cut, an empty field is null.
+
+    With ``multiline``, quoted fields may hold line breaks, and a file is one task's.
+    """
+    return reader.schema(schema).csv(
+        path, sep=options.delimiter, header=options.header, nullValue="", multiLine=options.multiline
+    )
 
 
 def _json(reader: DataStreamReader, path: str, schema: StructType, options: FileOptions) -> DataFrame:
@@ -63,28 +85,37 @@ def read_new_files(
     path: str,
     schema: StructType,
     *,
-    delimiter: str = ",",
-    delimiter_is_regex: bool = False,
-    header: bool = True,
-    multiline: bool = False,
+    delimiter: str | None = None,
+    delimiter_is_regex: bool | None = None,
+    header: bool | None = None,
+    multiline: bool | None = None,
     recursive: bool = False,
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: int | None = None,
-    max_file_age: str = "36500d",
+    max_file_age: str | None = None,
+    archive: str | None = None,
     extra: Mapping[str, Any] | None = None,
 ) -> DataFrame:
     """A stream of the files under ``path``, of the declared schema; nothing is inferred.
 
-    Which files are new is the business of the checkpoint the stream is written with. Spark by
-    default forgets a week after the newest file and then passes over older ones, so a file that
-    arrives late would be lost; ``max_file_age`` puts that off. ``max_files_per_trigger`` and
-    ``max_bytes_per_trigger`` cut a large backlog into batches that are committed one by one.
+    An option that the file type has no use for is an error.
+
+    Which files are new is the business of the checkpoint the stream is written with. Spark passes
+    over files older than ``max_file_age`` before the newest one. It is set so long that no late file
+    is lost, at the price that the driver remembers every file; with ``archive``, a directory outside
+    ``path``, files are moved there once read, so that neither the listing nor the memory grows, and
+    the age is a week unless given: a file dated more than that before the newest one is passed over then.
+    ``max_files_per_trigger`` and ``max_bytes_per_trigger`` cut a large backlog into
+    batches that are committed one by one.
     """
     if file_type not in SOURCES:
         raise ValueError(f"unknown file type '{file_type}': use one of {', '.join(sorted(SOURCES))}")
-    options = FileOptions(delimiter, delimiter_is_regex, header, multiline, dict(extra or {}))
+    given = dict(delimiter=delimiter, delimiter_is_regex=delimiter_is_regex, header=header, multiline=multiline)
+    options = FileOptions.given(file_type, given, extra or {})
     settings = {
-        "maxFileAge": max_file_age,
+        "maxFileAge": max_file_age or ("7d" if archive else "36500d"),
+        "cleanSource": "archive" if archive else None,
+        "sourceArchiveDir": archive,
         "recursiveFileLookup": str(recursive).lower() if recursive else None,
         "maxFilesPerTrigger": max_files_per_trigger,
         "maxBytesPerTrigger": max_bytes_per_trigger,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from terrace.functions import column
+from terrace.functions import column, unused_name
 
 
 def _gather(stream: DataFrame, partitions: Sequence[str], tasks: int) -> DataFrame:
@@ -17,7 +17,7 @@ def _gather(stream: DataFrame, partitions: Sequence[str], tasks: int) -> DataFra
     A value held by a third of all rows is so split by where its rows were read: what one task has
     to write of it is bounded by what these few tasks read, however large the batch.
     """
-    group = "__group"
+    group = unused_name(stream, "group")
     grouped = stream.withColumn(group, F.floor(F.spark_partition_id() / tasks))
     return grouped.repartition(*[column(p) for p in partitions], column(group)).drop(group)
 

@@ -108,3 +108,33 @@ def test_exact_medians_narrow_down_to_the_same_value(spark, monkeypatch, few):
     for name in df.columns:
         values = sorted(r[0] for r in df.select(name).collect() if r[0] is not None and r[0] == r[0])
         assert got[name] == (values[(len(values) - 1) // 2] if values else None), name
+
+
+def test_exact_medians_of_numbers_that_doubles_do_not_hold(spark, monkeypatch):
+    monkeypatch.setattr(median_module, "FEW", 100)
+    df = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 < 2 THEN 1700000000000000000 + id ELSE 1700000000000000777 END AS close",
+        "CASE WHEN id < 20001 THEN 1700000000000000001 ELSE 1700000000000000000 + id * 1000 END AS hot",
+        "CASE WHEN id < 17001 THEN CAST('12345678901234567890.123456789012345678' AS DECIMAL(38, 18))"
+        " ELSE CAST(id AS DECIMAL(38, 18)) / 7 END AS d",
+        "CASE id % 2 WHEN 0 THEN -9223372036854775807 + id ELSE 9223372036854775807 - id END AS ends",
+    )
+    got = exact_medians(df, df.columns)
+    for name in df.columns:
+        values = sorted(r[0] for r in df.select(name).collect())
+        assert got[name] == values[(len(values) - 1) // 2], name
+
+
+def test_a_pass_that_leaves_all_rows_fails():
+    bracket = median_module._Bracket(above=1, below=9, rank=5, rows=10)
+    with pytest.raises(RuntimeError, match="not divided"):
+        bracket.narrow([1], [(0, 0)])
+
+
+def test_the_written_copy_is_removed(spark, tmp_path):
+    import os
+
+    base = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = {x for x in os.listdir(base)} if os.path.isdir(base) else set()
+    exact_medians(spark.range(10).toDF("i"), ["i"])
+    assert {x for x in os.listdir(base) if x.startswith("median")} <= before
