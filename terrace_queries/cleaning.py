@@ -21,10 +21,11 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
 
 
-@query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+@query("SELECT DISTINCT * FROM lineitem")
 def dedup_all(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    return clean(df, ["remove_duplicates"], {"remove_duplicates": {"subset_cols": None}})
+    """Whole rows, each there twice."""
+    df = table(spark, sf, "lineitem")
+    return clean(df.unionAll(df), ["remove_duplicates"], {"remove_duplicates": {"subset_cols": None}})
 
 
 @query("SELECT DISTINCT text, lang, source FROM documents")
@@ -48,11 +49,14 @@ def dedup_keys_latest(spark: SparkSession, sf: str) -> DataFrame:
     return clean(table(spark, sf, "events"), ["remove_duplicates"], rules)
 
 
-@query("SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL")
+@query("SELECT l_orderkey, l_linenumber, true AS is_a_row FROM lineitem GROUP BY ALL")
 def dedup_keys_any(spark: SparkSession, sf: str) -> DataFrame:
-    """Which row of a key stays is arbitrary; the keys that stay are not."""
-    rules = {"remove_duplicates": {"subset_cols": ["l_orderkey", "l_linenumber"]}}
-    return clean(table(spark, sf, "lineitem"), ["remove_duplicates"], rules).select("l_orderkey", "l_linenumber")
+    """Which row of a key stays is arbitrary; the keys that stay are not, and each row is one of the table's."""
+    rows = table(spark, sf, "lineitem")
+    kept = clean(rows, ["remove_duplicates"], {"remove_duplicates": {"subset_cols": ["l_orderkey", "l_linenumber"]}})
+    known = rows.distinct().withColumn("is_a_row", F.lit(True))
+    checked = kept.join(known, rows.columns, "left")
+    return checked.select("l_orderkey", "l_linenumber", F.coalesce("is_a_row", F.lit(False)).alias("is_a_row"))
 
 
 @query(
@@ -157,6 +161,21 @@ def fill_median(spark: SparkSession, sf: str) -> DataFrame:
     return clean(df, ["null_handling"], {"null_handling": {"price": "median", "quantity": "median"}}, EXACT)
 
 
+_NANOS = "1700000000000000000 + event_id * 1000003"
+
+
+@query(
+    f"""
+    WITH d AS (SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN {_NANOS} END AS nanos FROM events)
+    SELECT event_id, coalesce(nanos, (SELECT quantile_disc(nanos, 0.5) FROM d)) AS nanos FROM d
+    """
+)
+def fill_median_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers that doubles do not hold."""
+    df = table(spark, sf, "events").selectExpr("event_id", f"CASE WHEN event_id % 4 <> 0 THEN {_NANOS} END AS nanos")
+    return clean(df, ["null_handling"], {"null_handling": {"nanos": "median"}}, EXACT)
+
+
 @query(
     "SELECT count(*) AS filled, true AS within_one_percent FROM lineitem WHERE l_partkey % 4 = 0"
 )
@@ -178,13 +197,13 @@ def fill_median_approx(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    SELECT d.doc_id, coalesce(quality, 0) AS quality, coalesce(toxic, -1) AS toxic,
-           CASE WHEN lang = 'en' THEN 'unknown' ELSE lang END AS lang
+    SELECT d.* REPLACE (CASE WHEN lang = 'en' THEN 'unknown' ELSE lang END AS lang),
+           coalesce(quality, 0) AS quality, coalesce(toxic, -1) AS toxic
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
     """
 )
 def fill_constant(spark: SparkSession, sf: str) -> DataFrame:
-    df = _labelled(spark, sf).selectExpr("doc_id", "quality", "toxic", "nullif(lang, 'en') AS lang")
+    df = _labelled(spark, sf).withColumn("lang", F.expr("nullif(lang, 'en')"))
     return clean(df, ["null_handling"], {"null_handling": {"quality": 0, "toxic": "-1", "lang": "unknown"}})
 
 
@@ -268,13 +287,14 @@ def split_positions(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """
     WITH d AS (SELECT d.*, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
-    SELECT DISTINCT doc_id, lang, CAST(quality AS BIGINT) AS quality, coalesce(CAST(toxic AS VARCHAR), 'none') AS toxic
-    FROM (SELECT doc_id, lang, coalesce(quality, (SELECT round(avg(quality)) FROM d)) AS quality, toxic FROM d)
+    SELECT DISTINCT doc_id, text, lang, source, n_chars, CAST(quality AS BIGINT) AS quality,
+           coalesce(CAST(toxic AS VARCHAR), 'none') AS toxic
+    FROM (SELECT * REPLACE (coalesce(quality, (SELECT round(avg(quality)) FROM d)) AS quality) FROM d)
     """
 )
 def silver_steps(spark: SparkSession, sf: str) -> DataFrame:
     """Deduplicate, convert, fill: the order a clean table is made in by default."""
-    raw = _labelled(spark, sf).selectExpr("doc_id", "lang", "CAST(quality AS STRING) AS quality", "toxic")
+    raw = _labelled(spark, sf).withColumn("quality", F.col("quality").cast("string"))
     contract = {
         "remove_duplicates": {"subset_cols": None},
         "convert_types": {"quality": "decimal(18,0)", "toxic": "string"},

@@ -86,7 +86,8 @@ def ingest_csv_no_header(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 3 <> 0 THEN event_type END AS event_type,
+    SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
+           CAST(user_id AS VARCHAR) AS user_id, CASE WHEN event_id % 3 <> 0 THEN event_type END AS event_type,
            CAST(value AS VARCHAR) AS value, replace(props, ': ', ':') AS props FROM events
     """
 )
@@ -95,19 +96,35 @@ def ingest_json(spark: SparkSession, sf: str) -> DataFrame:
     source = scratch_path(spark, "events-json")
     table(spark, sf, "events").select(
         "event_id",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"),
+        "user_id",
         F.expr("CASE WHEN event_id % 3 <> 0 THEN event_type END AS event_type"),
         "value",
         F.from_json("props", "k int").alias("props"),
     ).write.json(source)
-    return ingest(spark, "json", source, ["event_id", "event_type", "value", "props"])
+    return ingest(spark, "json", source, ["event_id", "ts", "user_id", "event_type", "value", "props"])
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents")
+_DOCUMENTS_AS_TEXT = """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents
+"""
+DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@query(_DOCUMENTS_AS_TEXT)
 def ingest_json_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents, line breaks and all."""
     source = scratch_path(spark, "documents-json")
-    table(spark, sf, "documents").select("doc_id", "text", "lang", "source").write.json(source)
-    return ingest(spark, "json", source, ["doc_id", "text", "lang", "source"])
+    table(spark, sf, "documents").write.json(source)
+    return ingest(spark, "json", source, DOCUMENTS)
+
+
+@query(_DOCUMENTS_AS_TEXT)
+def ingest_csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as CSV, with line breaks inside quotes."""
+    source = scratch_path(spark, "documents-csv")
+    table(spark, sf, "documents").write.csv(source, header=True, quoteAll=True, escape='"')
+    return ingest(spark, "csv", source, DOCUMENTS, reader={"multiline": True, "extra": {"escape": '"'}})
 
 
 @query("SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role, text FROM conversations")
@@ -140,19 +157,28 @@ def ingest_text_regex(spark: SparkSession, sf: str) -> DataFrame:
     return ingest(spark, "text", source, ORDERS, reader={"delimiter": "[|;]+", "delimiter_is_regex": True})
 
 
-@query(
-    """
-    SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_returnflag,
-           count(*) AS copies
-    FROM lineitem GROUP BY ALL
-    """
+LINES = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+]
+_LINES_AS_TEXT = ", ".join(
+    "strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate" if n == "l_shipdate" else f"CAST({n} AS VARCHAR) AS {n}" for n in LINES
 )
+
+
+def lines_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Lineitem as a file would hold it."""
+    lines = table(spark, sf, "lineitem").withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
+    return lines.select(*LINES)
+
+
+@query(f"SELECT {_LINES_AS_TEXT}, count(*) AS copies FROM lineitem GROUP BY ALL")
 def ingest_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Three runs over a growing directory, the last with nothing new: every row lands once."""
-    names = ["l_orderkey", "l_linenumber", "l_returnflag"]
+    names = LINES
     source, schema = scratch_path(spark, "lineitem-csv"), schema_of(*names)
     job = Bronze(new_table("raw"), source, scratch_path(spark, "raw"), schema)
-    rows = table(spark, sf, "lineitem").select(*names)
+    rows = lines_text(spark, sf)
     open_lines = F.col("l_returnflag") == "N"
     for part in (rows.where(open_lines), rows.where(~open_lines), None):
         if part is not None:
@@ -161,83 +187,79 @@ def ingest_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, job.table, schema).groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer")
+CUSTOMERS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+_CUSTOMERS_AS_TEXT = """
+    CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+    CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment
+"""
+
+
+@query(f"SELECT {_CUSTOMERS_AS_TEXT} FROM customer")
 def ingest_recursive(spark: SparkSession, sf: str) -> DataFrame:
     """Files in sub-directories, taken in batches of a few files."""
     source = scratch_path(spark, "customer-csv")
-    names = ["c_custkey", "c_name", "c_mktsegment"]
-    customers = table(spark, sf, "customer").select(*names, F.col("c_nationkey").alias("nation"))
+    customers = table(spark, sf, "customer").select(*CUSTOMERS, F.col("c_nationkey").alias("nation"))
     customers.repartition("nation").write.partitionBy("nation").csv(source, header=True)
-    return ingest(spark, "csv", source, names, reader={"recursive": True, "max_files_per_trigger": 10})
+    return ingest(spark, "csv", source, CUSTOMERS, reader={"recursive": True, "max_files_per_trigger": 10})
 
 
-@query("SELECT l_orderkey, l_partkey, l_extendedprice, l_shipdate FROM lineitem")
+@query("SELECT * FROM lineitem")
 def ingest_registered_source(spark: SparkSession, sf: str) -> DataFrame:
     """A file type added by the user: Parquet, with its own types."""
     register_source("parquet", lambda reader, path, schema, options: reader.schema(schema).parquet(path))
     source, home = scratch_path(spark, "lineitem-parquet"), scratch_path(spark, "typed")
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice", "l_shipdate")
+    rows = table(spark, sf, "lineitem")
     rows.write.parquet(source)
     stream = read_new_files(spark, "parquet", source, rows.schema)
     append_new(stream, f"{home}/data", f"{home}/_checkpoint", ingest_date=None)
     return spark.read.schema(rows.schema).parquet(f"{home}/data")
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING'")
+@query(f"SELECT {_CUSTOMERS_AS_TEXT} FROM customer WHERE c_mktsegment = 'BUILDING'")
 def partitioned_scan(spark: SparkSession, sf: str) -> DataFrame:
     """A filter on the partition column reads that partition's files only."""
     source = scratch_path(spark, "customer-csv")
-    names = ["c_custkey", "c_name", "c_mktsegment"]
-    table(spark, sf, "customer").select(*names).write.csv(source, header=True)
-    raw = ingest(spark, "csv", source, names, partitions=["c_mktsegment"])
-    return raw.where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")
+    table(spark, sf, "customer").select(*CUSTOMERS).write.csv(source, header=True)
+    raw = ingest(spark, "csv", source, CUSTOMERS, partitions=["c_mktsegment"])
+    return raw.where("c_mktsegment = 'BUILDING'")
 
 
-@query(
-    """
-    SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_extendedprice AS VARCHAR) AS l_extendedprice,
-           lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS line FROM lineitem
-    """
-)
+@query(f"SELECT {_LINES_AS_TEXT}, lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS line FROM lineitem")
 def gathered_files(spark: SparkSession, sf: str) -> DataFrame:
     """Few files for each partition; a partition value like 01 stays text."""
     source = scratch_path(spark, "lineitem-csv")
-    table(spark, sf, "lineitem").selectExpr(
-        "l_orderkey", "l_extendedprice", "lpad(CAST(l_linenumber AS STRING), 2, '0') AS line"
-    ).write.csv(source, header=True)
-    names = ["l_orderkey", "l_extendedprice", "line"]
-    return ingest(spark, "csv", source, names, partitions=["line"], tasks_per_file=4)
+    lines = lines_text(spark, sf).withColumn("line", F.expr("lpad(CAST(l_linenumber AS STRING), 2, '0')"))
+    lines.write.csv(source, header=True)
+    return ingest(spark, "csv", source, lines.columns, partitions=["line"], tasks_per_file=4)
 
 
-@query(
-    "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment, true AS dated FROM customer"
-)
+@query(f"SELECT {_CUSTOMERS_AS_TEXT}, true AS dated FROM customer")
 def catalog_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The raw table by its catalog name, load date included."""
     source = scratch_path(spark, "customer-csv")
-    table(spark, sf, "customer").select("c_custkey", "c_mktsegment").write.csv(source, header=True)
-    job = Bronze(new_table("raw"), source, scratch_path(spark, "raw"), schema_of("c_custkey", "c_mktsegment"))
+    table(spark, sf, "customer").select(*CUSTOMERS).write.csv(source, header=True)
+    job = Bronze(new_table("raw"), source, scratch_path(spark, "raw"), schema_of(*CUSTOMERS))
     scanned = read_table(spark, run_bronze(spark, job))
-    return scanned.select("c_custkey", "c_mktsegment", F.col("ingest_date").rlike(r"^\d{4}-\d\d-\d\d$").alias("dated"))
+    return scanned.select(*CUSTOMERS, F.col("ingest_date").rlike(r"^\d{4}-\d\d-\d\d$").alias("dated"))
 
 
-@query("SELECT o_orderkey, o_totalprice * 2 AS doubled, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'")
+@query("SELECT *, o_totalprice * 2 AS doubled FROM orders")
 def overwrite_from_itself(spark: SparkSession, sf: str) -> DataFrame:
     """A table replaced twice, the second time from itself and with other columns."""
     name, home = new_table("clean"), scratch_path(spark, "clean")
     orders = table(spark, sf, "orders")
     overwrite_table(orders, name, home)
-    overwrite_table(read_table(spark, name).where("o_orderstatus <> 'F'"), name, home)
-    changed = read_table(spark, name).selectExpr("o_orderkey", "o_totalprice * 2 AS doubled", "o_orderpriority")
+    overwrite_table(read_table(spark, name).repartition("o_custkey"), name, home)
+    changed = read_table(spark, name).selectExpr("*", "o_totalprice * 2 AS doubled")
     overwrite_table(changed, name, home, partitions=["o_orderpriority"])
     return read_table(spark, name)
 
 
-@query("SELECT p_partkey, p_name, p_brand FROM part")
+@query("SELECT * FROM part")
 def register_existing(spark: SparkSession, sf: str) -> DataFrame:
     """Files already there become a table; registering again changes nothing."""
     name, home = new_table("parts"), scratch_path(spark, "parts")
-    table(spark, sf, "part").select("p_partkey", "p_name", "p_brand").write.parquet(home)
+    table(spark, sf, "part").write.parquet(home)
     register(spark, name, home)
     register(spark, name, home)
     return read_table(spark, name)
@@ -245,10 +267,9 @@ def register_existing(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    WITH d AS (SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN CAST(value AS DECIMAL(12, 2)) END AS value, event_type
-               FROM events)
-    SELECT event_id, CAST(coalesce(value, (SELECT CAST(avg(value) AS DECIMAL(12, 2)) FROM d)) AS DOUBLE) AS value,
-           event_type
+    WITH d AS (SELECT * REPLACE (CASE WHEN event_id % 5 <> 0 THEN CAST(value AS DECIMAL(12, 2)) END AS value) FROM events)
+    SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, CAST(user_id AS VARCHAR) AS user_id, event_type,
+           CAST(coalesce(value, (SELECT CAST(avg(value) AS DECIMAL(12, 2)) FROM d)) AS DOUBLE) AS value, props
     FROM d
     """
 )
@@ -256,8 +277,11 @@ def clean_on_stream(spark: SparkSession, sf: str) -> DataFrame:
     """A model fitted on a table cleans a stream of files."""
     raw = table(spark, sf, "events").selectExpr(
         "CAST(event_id AS STRING) AS event_id",
-        "CASE WHEN event_id % 5 <> 0 THEN CAST(CAST(value AS DECIMAL(12, 2)) AS STRING) END AS value",
+        "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS ts",
+        "CAST(user_id AS STRING) AS user_id",
         "concat(' ', upper(event_type)) AS event_type",
+        "CASE WHEN event_id % 5 <> 0 THEN CAST(CAST(value AS DECIMAL(12, 2)) AS STRING) END AS value",
+        "props",
     )
     contract = {
         "convert_types": {"event_id": "bigint", "value": "decimal(12,2)"},
@@ -266,7 +290,7 @@ def clean_on_stream(spark: SparkSession, sf: str) -> DataFrame:
     }
     model = build_pipeline(list(contract), contract).fit(raw)
     source, home = scratch_path(spark, "events-csv"), scratch_path(spark, "streamed")
-    raw.write.csv(source, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    stream = model.transform(read_new_files(spark, "csv", source, schema_of(*raw.columns)))
+    raw.write.csv(source, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, escape='"')
+    stream = model.transform(read_new_files(spark, "csv", source, schema_of(*raw.columns), extra={"escape": '"'}))
     append_new(stream, f"{home}/data", f"{home}/_checkpoint", ingest_date=None)
     return spark.read.parquet(f"{home}/data").withColumn("value", F.col("value").cast("double"))

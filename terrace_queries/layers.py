@@ -88,6 +88,37 @@ def all_layers(spark: SparkSession, sf: str) -> DataFrame:
     return table_.withColumns({c: F.col(c).cast("double") for c in ("o_totalprice_sum", "o_totalprice_max")})
 
 
+@query(
+    """
+    SELECT 'convert_types' AS step, 'o_totalprice' AS name, count(*) FILTER (o_orderkey % 5 = 0) AS lost FROM orders
+    UNION ALL SELECT 'convert_types', 'o_custkey', 0
+    UNION ALL SELECT 'normalize_timestamp', 'o_orderdate', count(*) FILTER (o_orderkey % 3 = 0) FROM orders
+    UNION ALL SELECT 'read', 'rows', count(*) FROM orders
+    """
+)
+def lost_values(spark: SparkSession, sf: str) -> DataFrame:
+    """How many values a lenient clean table has lost, and how many rows the raw one has read."""
+    source = scratch_path(spark, "orders-csv")
+    orders_text(spark, sf).withColumns(
+        {
+            "o_totalprice": F.expr("CASE WHEN o_orderkey % 5 = 0 THEN 'much' ELSE o_totalprice END"),
+            "o_orderdate": F.expr("CASE WHEN o_orderkey % 3 = 0 THEN 'soon' ELSE o_orderdate END"),
+        }
+    ).write.csv(source, header=True)
+    schema = schema_of(*table(spark, sf, "orders").columns)
+    raw = Bronze(new_table("raw"), source, scratch_path(spark, "raw"), schema)
+    contract = {
+        "remove_duplicates": {"subset_cols": None},
+        "convert_types": {"o_custkey": "bigint", "o_totalprice": "decimal(14,2)"},
+        "normalize_timestamp": {"input_col": "o_orderdate", "format": "yyyy-MM-dd"},
+        "null_handling": {"o_totalprice": "mean"},
+    }
+    silver = Silver(new_table("clean"), raw.table, scratch_path(spark, "clean"), contract, list(contract), schema)
+    run_layers(spark, {"bronze": [raw], "silver": [silver]})
+    rows = [(step, name, n) for step, counts in silver.lost.items() for name, n in counts.items()]
+    return spark.createDataFrame([*rows, ("read", "rows", raw.rows_read)], "step string, name string, lost bigint")
+
+
 _PRICE = "CAST(o_totalprice AS DECIMAL(14, 2))"
 
 
@@ -188,22 +219,34 @@ def lemmatize_names(spark: SparkSession, sf: str) -> DataFrame:
     return clean(parts, ["lemmatize"], rules)
 
 
-@query(
-    """
+_PLURALS = """
     WITH dictionary AS (
       SELECT DISTINCT token, token[:-2] AS lemma FROM (SELECT unnest(string_split(text, ' ')) AS token FROM documents)
       WHERE length(token) > 3 AND token LIKE '%s'),
     words AS (SELECT doc_id, unnest(string_split(text, ' ')) AS token,
                      generate_subscripts(string_split(text, ' '), 1) AS position FROM documents)
-    SELECT w.doc_id, string_agg(coalesce(lemma, w.token), ' ' ORDER BY position) AS text, any_value(lang) AS lang
+    SELECT w.doc_id, string_agg(coalesce(lemma, w.token), ' ' ORDER BY position) AS text, any_value(lang) AS lang,
+           any_value(source) AS source, any_value(n_chars) AS n_chars
     FROM words w LEFT JOIN dictionary d ON w.token = d.token JOIN documents o ON o.doc_id = w.doc_id
     GROUP BY w.doc_id
-    """
-)
-def lemmatize_texts(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole documents, with a dictionary that grows with them: words in s, less the s."""
-    documents = table(spark, sf, "documents").select("doc_id", "text", "lang")
+"""
+
+
+def _plurals(documents: DataFrame) -> DataFrame:
+    """A dictionary that grows with the documents: words in s, less the s."""
     tokens = documents.select(F.explode(F.split("text", " ")).alias("token")).distinct()
     plurals = tokens.where("length(token) > 3 AND token LIKE '%s'")
-    dictionary = plurals.selectExpr("token", "left(token, length(token) - 1) AS lemma")
-    return lemmatize(documents, "doc_id", "text", dictionary)
+    return plurals.selectExpr("token", "left(token, length(token) - 1) AS lemma")
+
+
+@query(_PLURALS)
+def lemmatize_texts(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    return lemmatize(documents, "doc_id", "text", _plurals(documents))
+
+
+@query(_PLURALS)
+def lemmatize_texts_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """As if the dictionary were too large to send to every executor."""
+    documents = table(spark, sf, "documents")
+    return lemmatize(documents, "doc_id", "text", _plurals(documents), broadcast_bytes=0)
