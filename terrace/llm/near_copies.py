@@ -22,8 +22,8 @@ from terrace.llm.components import connected_components
 from terrace.llm.shingles import BITS, pack, set_hash, shingle_set, unpack
 from terrace.scratch import scratch_path
 
-#: N-grams that a task gathers before it sends them to the fragments.
-GATHERED = 4 << 20
+#: N-grams that a task gathers before it sends them to the fragments; what it then holds for them is some 50 MB.
+GATHERED = 1 << 20
 #: Segments whose overlaps are counted separately.
 SEGMENTS = 8
 
@@ -42,7 +42,7 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
 
 
 def _to_fragments(docs: DataFrame, text: str, n: int, bits: int) -> DataFrame:
-    """Rows of a part, some millions of n-grams in one task: for each fragment its n-grams and whose they are.
+    """Rows of a part, about a million n-grams of one task: for each fragment its n-grams and whose they are.
 
     A row for fragment -1 has the part's documents, by their numbers in the input. A part sends a set once, however
     many copies it has.
