@@ -109,3 +109,30 @@ def test_lemmas_need_a_key_that_identifies(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "c")], "k int, t string")
     with pytest.raises(Exception, match="not unique"):
         lemmatize(df, "k", "t", spark.createDataFrame([("a", "b")], "token string, lemma string")).collect()
+
+
+def test_a_large_dictionary_is_not_broadcast(spark, sf):
+    entries = spark.range(1_000_000).selectExpr("concat('token', id) AS token", "concat('lemma', id) AS lemma")
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    plan = lemmatize(documents, "doc_id", "text", entries)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
+
+
+def test_recent_windows_read_what_is_in_them(spark, sales, sf):
+    spec = {"v": ["sum"], "kind": ["count_distinct"]}
+    recent = time_window_aggregates("at", "2024-01-31 00:00:00", [1, 7], spec, recent_only=True)
+    every = time_window_aggregates("at", "2024-01-31 00:00:00", [1, 7], spec)
+    assert [r for r in rows(build_features(sales, ["who"], [every])) if r[1] or r[3]] == rows(build_features(sales, ["who"], [recent]))
+    both = build_features(sales, ["who"], [entity_aggregates({}), recent])
+    assert [tuple(r)[:2] for r in both.orderBy("who").collect()] == [(None, 1), ("a", 3), ("b", 1)]
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    windows = time_window_aggregates("ts", "2024-01-30", [1, 7], {"event_type": ["count_distinct"], "value": ["sum"]}, recent_only=True)
+    plan = build_features(events, ["user_id"], [windows])._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "PushedFilters: [IsNotNull(ts), GreaterThan(ts" in plan
+
+
+def test_null_values_are_not_distinct_ones(spark):
+    at = datetime.datetime(2024, 1, 31)
+    df = spark.createDataFrame([("a", None, at), ("a", "x", at), ("a", "x", at), ("b", None, at)], "who string, v string, at timestamp_ntz")
+    windows = time_window_aggregates("at", "2024-01-31 00:00:00", [1], {"v": ["count_distinct"]})
+    assert rows(build_features(df, ["who"], [windows])) == [("a", 3, 1), ("b", 1, 0)]

@@ -227,3 +227,35 @@ def test_own_file_types(spark, tmp_path):
         assert schema.names == spark.read.parquet(f"{tmp_path}/d").columns
     finally:
         del SOURCES["orc"]
+
+
+@pytest.mark.parametrize(
+    "file_type, options",
+    [("text", {"header": True}), ("text", {"multiline": False}), ("json", {"delimiter": ";"}), ("json", {"header": False}), ("csv", {"delimiter_is_regex": True})],
+)
+def test_options_that_a_file_type_does_not_use_are_refused(spark, tmp_path, file_type, options):
+    with pytest.raises(ValueError, match="no use for"):
+        read_new_files(spark, file_type, str(tmp_path), schema_from_dict({"columns": [{"name": "a"}]}), **options)
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.csv").write_text('a,b\n1,"a\nb"\n2,c\n')
+    schema = schema_from_dict({"columns": [{"name": "a"}, {"name": "b"}]})
+    stream = read_new_files(spark, "csv", str(tmp_path / "in"), schema, multiline=True)
+    append_new(stream, f"{tmp_path}/d", f"{tmp_path}/c", ingest_date=None)
+    rows = spark.read.schema(schema).parquet(f"{tmp_path}/d").collect()
+    assert sorted(map(tuple, rows)) == [("1", "a\nb"), ("2", "c")]
+
+
+def test_files_are_archived_once_read(spark, tmp_path):
+    source, archive = tmp_path / "in", tmp_path / "old"
+    source.mkdir()
+    schema = schema_from_dict({"columns": [{"name": "a"}]})
+    for i in range(3):
+        (source / f"{i}.csv").write_text(f"a\n{i}\n")
+        stream = read_new_files(spark, "csv", str(source), schema, archive=str(archive))
+        append_new(stream, f"{tmp_path}/d", f"{tmp_path}/c", ingest_date=None)
+    assert sorted(r["a"] for r in spark.read.schema(schema).parquet(f"{tmp_path}/d").collect()) == ["0", "1", "2"]
+    # A batch's files move when the next batch has begun.
+    assert len(list(source.glob("*.csv"))) < 3 and list(archive.rglob("*.csv"))

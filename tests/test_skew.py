@@ -73,3 +73,35 @@ def test_statistics_send_one_row_per_task(skewed):
     filled = clean(skewed, ["null_handling"], {"null_handling": {"n": "median", "k": "mean"}})
     learnt = filled.select("n").agg(F.count("n"))
     assert max(shuffled(learnt)) <= TASKS
+
+
+def test_sketches_of_a_median_meet_in_two_levels(spark, monkeypatch):
+    import terrace.operators.nulls as nulls
+
+    monkeypatch.setattr(nulls, "MERGED", 2)
+    row = nulls._learned(spark.range(0, ROWS, 1, TASKS), {"id": "median"}, 250)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        merged, sketched = sorted(shuffled(row))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert 1 < merged <= TASKS // 2 and sketched == TASKS
+    assert abs(row.first()["s0"] - ROWS / 2) < 0.01 * ROWS
+
+
+def test_a_hot_word_meets_a_large_dictionary_in_many_tasks(spark):
+    from terrace.operators.lemmas import lemmatize
+
+    texts = spark.range(0, 3000, 1, TASKS).selectExpr("id AS k", "concat('hot w', id, ' hot v', id % 100) AS t")
+    words = spark.range(2000).selectExpr("concat('w', id) AS token", "'w' AS lemma").union(
+        spark.createDataFrame([("hot", "cold")], "token string, lemma string")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        done = lemmatize(texts, "k", "t", words, broadcast_bytes=0)
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        got = {r["k"]: r["t"] for r in done.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {i: f"cold {'w' if i < 2000 else f'w{i}'} cold v{i % 100}" for i in range(3000)}

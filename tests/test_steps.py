@@ -241,3 +241,18 @@ def test_pipelines_can_be_saved_before_they_are_fitted(spark, nulls):
     assert [type(s) for s in again.getStages()] == [HandleNulls, RemoveDuplicates]
     assert again.getStages()[0].getOrDefault("exactMedian") is True
     assert rows(again.fit(nulls).transform(nulls)) == rows(pipe.fit(nulls).transform(nulls))
+
+
+def test_columns_named_like_the_library_s_own_stay(spark):
+    df = spark.createDataFrame([(1, 2, 3.0, 9), (1, 3, None, 9)], "k int, position int, learnt double, `group` int")
+    rules = {"remove_duplicates": {"subset_cols": ["k"], "order_by": ["position"]}, "null_handling": {"learnt": "mean"}}
+    got = clean(df, list(rules), rules)
+    assert got.columns == df.columns and [tuple(r) for r in got.collect()] == [(1, 2, 3.0, 9)]
+
+
+def test_lost_values_are_counted(spark):
+    df = spark.createDataFrame([("1", "2024-01-01 00:00:00"), ("x", "bad"), (None, None)], "n string, t string")
+    rules = {"convert_types": {"n": "int"}, "normalize_timestamp": {"input_col": "t", "format": "yyyy-MM-dd HH:mm:ss"}}
+    lost = {}
+    clean(df, list(rules), rules, lost=lost).collect()
+    assert {step: seen.get for step, seen in lost.items()} == {"convert_types": {"n": 1}, "normalize_timestamp": {"t": 1}}
