@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -84,13 +85,75 @@ def read_table(spark: SparkSession, table: str, schema: StructType | None = None
     return whole if schema is None else whole.select(*[column(n) for n in schema.names])
 
 
-def _same_layout(df: DataFrame, table: str, table_format: str) -> bool:
-    """Whether the table could hold ``df`` as it is: format, columns and no partitions."""
-    spark = df.sparkSession
-    if any(c.isPartition for c in spark.catalog.listColumns(quote_table(table))):
+def _run(spark: SparkSession, statement: str) -> DataFrame:
+    """Every statement that changes the catalog when a table is replaced."""
+    return spark.sql(statement)
+
+
+def _same_layout(spark: SparkSession, table: str, table_format: str, schema: StructType, partitions: Sequence[str]) -> bool:
+    """Whether the table could hold such rows as it is: format, columns and partitions."""
+    name = quote_table(table)
+    if [c.name for c in spark.catalog.listColumns(name) if c.isPartition] != list(partitions):
         return False
+    columns = [(f.name, f.dataType) for f in spark.table(name).schema]
     provider = _details(spark, table).get("Provider", "")
-    return provider.lower() == table_format.lower() and spark.table(quote_table(table)).schema == df.schema
+    return provider.lower() == table_format.lower() and columns == [(f.name, f.dataType) for f in schema]
+
+
+def _partitions(spark: SparkSession, table: str) -> set[str]:
+    return {r[0] for r in spark.sql(f"SHOW PARTITIONS {quote_table(table)}").collect()}
+
+
+def _partition(entry: str) -> str:
+    """``a=1/b=x`` as a partition in SQL."""
+    values = []
+    for level in entry.split("/"):
+        name, _, value = level.partition("=")
+        text = "NULL" if value == "__HIVE_DEFAULT_PARTITION__" else sql_text(unquote(value))
+        values.append(f"{quote(unquote(name))} = {text}")
+    return f"PARTITION ({', '.join(values)})"
+
+
+def _point_at(spark: SparkSession, table: str, staged: str, version: str, partitions: Sequence[str]) -> None:
+    """Point a table, and one after another its partitions, at new files; it can be read all the while."""
+    name = quote_table(table)
+    new, old = (_partitions(spark, t) if partitions else set() for t in (staged, table))
+    _run(spark, f"ALTER TABLE {name} SET LOCATION {sql_text(version)}")
+    for entry in sorted(new):
+        place = sql_text(f"{version}/{entry}")
+        if entry in old:
+            _run(spark, f"ALTER TABLE {name} {_partition(entry)} SET LOCATION {place}")
+        else:
+            _run(spark, f"ALTER TABLE {name} ADD IF NOT EXISTS {_partition(entry)} LOCATION {place}")
+    for entry in sorted(old - new):
+        _run(spark, f"ALTER TABLE {name} DROP IF EXISTS {_partition(entry)}")
+
+
+def _describe_alike(spark: SparkSession, table: str, staged: str) -> None:
+    """Give the new table the old one's properties and comments, as far as it has the columns."""
+    name, other = quote_table(table), quote_table(staged)
+    for key, value in spark.sql(f"SHOW TBLPROPERTIES {name}").collect():
+        if not key.startswith(("spark.sql.", "transient_", "numFiles", "totalSize")):
+            _run(spark, f"ALTER TABLE {other} SET TBLPROPERTIES ({sql_text(key)} = {sql_text(value)})")
+    if comment := _details(spark, table).get("Comment"):
+        _run(spark, f"COMMENT ON TABLE {other} IS {sql_text(comment)}")
+    there = {c.name for c in spark.catalog.listColumns(other) if not c.isPartition}
+    for c in spark.catalog.listColumns(name):
+        if c.description and c.name in there:
+            _run(spark, f"ALTER TABLE {other} ALTER COLUMN {quote(c.name)} COMMENT {sql_text(c.description)}")
+
+
+def _take_name(spark: SparkSession, table: str, staged: str) -> None:
+    """Let the staged table have the name; the old one has it back if that fails, and goes last."""
+    name, aside = quote_table(table), f"{staged}_old"
+    within = lambda t: ".".join(map(quote, t.split(".")[-2:]))
+    _run(spark, f"ALTER TABLE {name} RENAME TO {within(aside)}")
+    try:
+        _run(spark, f"ALTER TABLE {quote_table(staged)} RENAME TO {within(table)}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {quote_table(aside)} RENAME TO {within(table)}")
+        raise
+    _run(spark, f"DROP TABLE {quote_table(aside)}")
 
 
 def overwrite_table(
@@ -98,10 +161,13 @@ def overwrite_table(
 ) -> str:
     """Replace a table, schema included, and give back where its files now are.
 
-    Plain files go to a new directory under ``location`` and the table is pointed at it when all of
-    them are written. So a table can be replaced from itself, a failed run leaves the old one
-    untouched, and readers at work keep their files; old directories are the caller's to remove.
-    Formats with versions of their own are overwritten in place.
+    Plain files go to a new directory under ``location``, and are a table of another name when all of them are
+    written. Where format, columns and partitions are the same, the table is then pointed at them, without a
+    moment in which it cannot be read; a partitioned table partition by partition, so that a reader may meet
+    some old ones beside new ones. Otherwise the new table takes the name, with the old one's properties and
+    comments. So a table can be replaced from itself, a failed run leaves the old one untouched, and readers at
+    work keep their files; old directories are the caller's to remove. Formats with versions of their own are
+    overwritten in place.
     """
     spark = df.sparkSession
     if partitions:
@@ -116,15 +182,23 @@ def overwrite_table(
     known = spark.catalog.tableExists(quote_table(table))
     if known and _details(spark, table).get("Type", "").upper() == "MANAGED":
         raise ValueError(f"{table} owns its files: dropping it would delete them")
-    stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    version = f"{location.rstrip('/')}/version-{stamp}-{uuid.uuid4().hex[:8]}"
+    stamp = f"{datetime.now(timezone.utc).strftime('%Y%m%dT%H%M%S%f')}-{uuid.uuid4().hex[:8]}"
+    version = f"{location.rstrip('/')}/version-{stamp}"
     writer.mode("errorifexists").save(version)
-    if known and not partitions and _same_layout(df, table, table_format):
-        spark.sql(f"ALTER TABLE {quote_table(table)} SET LOCATION {sql_text(version)}")
-        spark.sql(f"REFRESH TABLE {quote_table(table)}")
-    else:
-        spark.sql(f"DROP TABLE IF EXISTS {quote_table(table)}")
-        ordered = [n for n in df.columns if n not in partitions] + list(partitions)
-        schema = StructType([df.schema[n] for n in ordered])
+    ordered = [n for n in df.columns if n not in partitions] + list(partitions)
+    schema = StructType([df.schema[n] for n in ordered])
+    if not known:
         register(spark, table, version, table_format, schema=schema, partitions=partitions)
+        return version
+    staged = f"{table}__{stamp.replace('-', '_')}"
+    register(spark, staged, version, table_format, schema=schema, partitions=partitions)
+    try:
+        if _same_layout(spark, table, table_format, schema, partitions):
+            _point_at(spark, table, staged, version, partitions)
+        else:
+            _describe_alike(spark, table, staged)
+            _take_name(spark, table, staged)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {quote_table(staged)}")
+    spark.sql(f"REFRESH TABLE {quote_table(table)}")
     return version
