@@ -49,7 +49,8 @@ def _learned(df: DataFrame, kinds: Mapping[str, str], accuracy: int) -> DataFram
 
     For medians, every task sketches its rows; the sketches of ``MERGED`` neighbouring tasks are merged first, and
     then what these merges give, so that no task reads more than a fixed number of others' sketches. Sums and
-    counts for the means go along.
+    counts for the means go along. As the groups of tasks are what they are in a run, Spark takes the row for one
+    that may differ: filters are not pushed below a fill with it, and it cannot stand inside an aggregate.
     """
     types = {n: df.schema[n].dataType for n in kinds}
     values = {n: _values(n, k, types[n]) for n, k in kinds.items()}

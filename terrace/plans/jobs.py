@@ -15,7 +15,8 @@ from terrace.operators.features import Strategy, build_features, join_features,
 from terrace.plans.cleaning import BUILT_IN, clean
 from terrace.scratch import scratch_removed
 from terrace.sources import overwrite_table, read_new_files, read_table, register
-from terrace.streaming import append_new
+from terrace.sources.tables import VERSIONED
+from terrace.streaming import BATCH, append_new
 
 # Fixed value: the steps a clean table gets when the job names none.
 SILVER_STEPS = ("remove_duplicates", "convert_types", "null_handling")
@@ -40,6 +41,7 @@ class Bronze:
     partitions: Sequence[str] = ()
     table_format: str = "parquet"
     tasks_per_file: int | None = 16
+    archive: str | None = None
     reader: Mapping[str, Any] = field(default_factory=dict)
     rows_read: int | None = field(default=None, init=False)
 
@@ -82,7 +84,7 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
     """
     schema = _schema(job.schema)
     home = f"{job.base_path.rstrip('/')}/{job.table.rpartition('.')[2]}"
-    stream = read_new_files(spark, job.file_type, job.source, schema, **job.reader)
+    stream = read_new_files(spark, job.file_type, job.source, schema, archive=job.archive, **job.reader)
     job.rows_read = append_new(
         stream,
         f"{home}/data",
@@ -92,11 +94,12 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
         ingest_date=INGEST_DATE,
         tasks_per_file=job.tasks_per_file,
     )
-    levels = [INGEST_DATE, *job.partitions]
-    fields = {f.name: f for f in [*schema.fields, StructField(INGEST_DATE, StringType())]}
+    batch = [] if job.table_format.lower() in VERSIONED else [BATCH]
+    levels = [INGEST_DATE, *batch, *job.partitions]
+    fields = {f.name: f for f in [*schema.fields, *(StructField(n, StringType()) for n in (INGEST_DATE, *batch))]}
     ordered = StructType([fields[n] for n in fields if n not in levels] + [fields[n] for n in levels])
     data = f"{home}/data"
-    return register(spark, job.table, data, job.table_format, schema=ordered, partitions=levels, streamed=True)
+    return register(spark, job.table, data, job.table_format, schema=ordered, partitions=levels)
 
 
 def run_silver(spark: SparkSession, job: Silver) -> str:

@@ -33,20 +33,19 @@ def register(
     *,
     schema: StructType | None = None,
     partitions: Sequence[str] = (),
-    streamed: bool = False,
 ) -> str:
     """Make the files at ``location`` a table, creating its database first; give back its name.
 
     A table already there must be at the same place: ``IF NOT EXISTS`` alone would quietly leave
     the old one. The file list that the session may have cached is refreshed, and partitions are
-    looked up, but for ``streamed`` files: those are found by the log the stream keeps beside them.
+    looked up.
     """
     name = quote_table(table)
     database, _, _ = table.rpartition(".")
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_table(database)}")
-    # Where a stream has written files, a new table gets the types that its directory names look
-    # like, not the declared ones. So it is declared over nothing and pointed at its files then.
+    # Where there are files, a new table gets the types that its directory names look like, not the
+    # declared ones. So it is declared over nothing and pointed at its files then.
     nothing = f"{location.rstrip('/')}/_declared"
     declare = schema is not None and table_format.lower() not in VERSIONED
     if not spark.catalog.tableExists(name):
@@ -59,12 +58,17 @@ def register(
         spark.sql(f"ALTER TABLE {name} SET LOCATION {sql_text(location)}")
     elif not _same_place(present, location):
         raise ValueError(f"table {table} is at {present}, not at {location}")
-    if partitions and declare and not streamed:
+    if partitions and declare and _exists(spark, location):
         spark.sql(f"MSCK REPAIR TABLE {name}")
     spark.sql(f"REFRESH TABLE {name}")
     return table
 
 
+def _exists(spark: SparkSession, location: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def _same_place(a: str, b: str) -> bool:
     """``file:/a``, ``file:///a/`` and ``/a`` are one place; a path without a scheme is on the default one."""
     (scheme_a, host_a, path_a), (scheme_b, host_b, path_b) = _parts(a), _parts(b)

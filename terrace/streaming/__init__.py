@@ -1,5 +1,5 @@
 """Streams written to tables."""
 
-from terrace.streaming.append import append_new
+from terrace.streaming.append import BATCH, append_new
 
-__all__ = ["append_new"]
+__all__ = ["BATCH", "append_new"]

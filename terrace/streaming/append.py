@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from terrace.functions import column, unused_name
+from terrace.sources.tables import VERSIONED
+
+# The partition level that tells the batches of a stream apart.
+BATCH = "ingest_batch"
 
 
 def _gather(stream: DataFrame, partitions: Sequence[str], tasks: int) -> DataFrame:
@@ -22,8 +26,8 @@ def _gather(stream: DataFrame, partitions: Sequence[str], tasks: int) -> DataFra
     return grouped.repartition(*[column(p) for p in partitions], column(group)).drop(group)
 
 
-def _run(writer: DataStreamWriter, location: str) -> int:
-    query: StreamingQuery = writer.start(location)
+def _run(writer: DataStreamWriter) -> int:
+    query: StreamingQuery = writer.start()
     rows: dict[int, int] = {}
     finished = False
     while not finished:
@@ -33,6 +37,24 @@ def _run(writer: DataStreamWriter, location: str) -> int:
     return sum(rows.values())
 
 
+def write_batch(
+    rows: DataFrame, batch: int, location: str, levels: Sequence[str], table_format: str, stream: str
+) -> None:
+    """Put a batch's rows where no other batch's are; writing it again replaces what it wrote before.
+
+    A format with versions of its own is told which batch this is, and takes it once.
+    """
+    if table_format.lower() in VERSIONED:
+        once = {"txnAppId": stream, "txnVersion": str(batch)}
+        rows.drop(BATCH).write.format(table_format).mode("append").options(**once).partitionBy(
+            *[n for n in levels if n != BATCH]
+        ).save(location)
+        return
+    numbered = rows.withColumn(BATCH, F.lit(str(batch)))
+    writer = numbered.write.format(table_format).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*levels).save(location)
+
+
 def append_new(
     stream: DataFrame,
     location: str,
@@ -46,8 +68,10 @@ def append_new(
     """Append the stream's new rows to the files at ``location`` and give back how many were read.
 
     Runs until nothing is left to read. The checkpoint makes each row land once: it belongs to this
-    location and lies outside it. ``ingest_date`` names a column, the first partition level, that
-    gets the date of the batch; the date is kept with the batch, so a replay does not move rows.
+    location and lies outside it. Every batch has a directory of its own, the partition level
+    ``ingest_batch``, which a replay of the batch overwrites: the files there are the table, for any
+    reader. ``ingest_date`` names a column, the first partition level, that gets the date of the batch;
+    the date is kept with the batch, so a replay does not move rows.
 
     Without ``tasks_per_file`` nothing is shuffled, and every task that reads writes a file for each
     partition value it meets. With many values that makes many small files; then the rows of a value
@@ -61,12 +85,17 @@ def append_new(
         raise ValueError("no such partition column: " + ", ".join(missing))
     if tasks_per_file and levels:
         stream = _gather(stream, levels, tasks_per_file)
+    if BATCH in stream.columns:
+        raise ValueError(f"the files have a column '{BATCH}' of their own")
+    levels = [BATCH, *levels]
     if ingest_date:
         if ingest_date in stream.columns:
             raise ValueError(f"the files have a column '{ingest_date}' of their own: name the load date otherwise")
         stream = stream.withColumn(ingest_date, F.current_date().cast("string"))
         levels = [ingest_date, *levels]
-    writer = stream.writeStream.format(table_format).outputMode("append").option("checkpointLocation", checkpoint)
-    if levels:
-        writer = writer.partitionBy(*levels)
-    return _run(writer.trigger(availableNow=True), location)
+
+    def write(rows: DataFrame, batch: int) -> None:
+        write_batch(rows, batch, location, levels, table_format, checkpoint)
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _run(writer.trigger(availableNow=True))

@@ -186,10 +186,10 @@ def fill_median_approx(spark: SparkSession, sf: str) -> DataFrame:
     )
     filled = clean(df.withColumn("was", F.col("v")), ["null_handling"], {"null_handling": {"v": "median"}})
     median = filled.where("was IS NULL").agg(F.count("v").alias("filled"), F.max("v").alias("median"))
-    ranks = df.agg(
+    ranks = df.withColumn("median", median.select("median").scalar()).agg(
         F.count("v").alias("rows"),
-        F.count_if(F.col("v") < median.select("median").scalar()).alias("less"),
-        F.count_if(F.col("v") <= median.select("median").scalar()).alias("up_to"),
+        F.count_if(F.col("v") < F.col("median")).alias("less"),
+        F.count_if(F.col("v") <= F.col("median")).alias("up_to"),
     )
     low, high = F.col("less") <= 0.51 * F.col("rows"), F.col("up_to") >= 0.49 * F.col("rows")
     return ranks.select(median.select("filled").scalar().alias("filled"), (low & high).alias("within_one_percent"))

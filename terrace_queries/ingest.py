@@ -212,7 +212,7 @@ def ingest_registered_source(spark: SparkSession, sf: str) -> DataFrame:
     rows.write.parquet(source)
     stream = read_new_files(spark, "parquet", source, rows.schema)
     append_new(stream, f"{home}/data", f"{home}/_checkpoint", ingest_date=None)
-    return spark.read.schema(rows.schema).parquet(f"{home}/data")
+    return spark.read.schema(rows.schema).parquet(f"{home}/data").select(*rows.columns)
 
 
 @query(f"SELECT {_CUSTOMERS_AS_TEXT} FROM customer WHERE c_mktsegment = 'BUILDING'")
@@ -293,4 +293,5 @@ def clean_on_stream(spark: SparkSession, sf: str) -> DataFrame:
     raw.write.csv(source, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, escape='"')
     stream = model.transform(read_new_files(spark, "csv", source, schema_of(*raw.columns), extra={"escape": '"'}))
     append_new(stream, f"{home}/data", f"{home}/_checkpoint", ingest_date=None)
-    return spark.read.parquet(f"{home}/data").withColumn("value", F.col("value").cast("double"))
+    cleaned = spark.read.parquet(f"{home}/data").select(*raw.columns)
+    return cleaned.withColumn("value", F.col("value").cast("double"))
