@@ -6,23 +6,20 @@ from pyspark.sql.types import StringType
 from terrace import load_contract, load_schema, schema_from_dict, validate_contract
 from terrace.contract import fill_rule, ordering
 
-PEOPLE = ["id", "first_name", "last_name", "email", "gender", "ip_address", "timestamp_col"]
+GAUGES = ["gauge", "river", "keeper", "level", "read_at"]
 
 CONTRACT = """
 remove_duplicates:
-  subset_cols:
+  subset_cols: [gauge, read_at]
+  order_by: [level desc]
 remove_nulls:
-  subset_cols: [last_name, email]
-  how: any
-convert_types:
-  id: integer
-  first_name: string
-null_handling:
-  first_name: teste
-normalize_text: [first_name, last_name]
+  subset_cols: gauge
+  how: all
+convert_types: {gauge: bigint, level: "decimal(9,2)"}
+null_handling: {level: median, keeper: {value: mean}}
+normalize_text: river
 normalize_timestamp:
-  input_col: timestamp_col
-  format: yyyy-MM-dd HH:mm:ss
+  - {input_col: read_at, format: dd.MM.yyyy HH:mm}
 """
 
 
@@ -39,8 +36,8 @@ def test_contract_file(tmp_path):
     path = tmp_path / "contract.yaml"
     path.write_text(CONTRACT)
     contract = load_contract(str(path))
-    assert contract["remove_duplicates"] == {"subset_cols": None}
-    assert validate_contract(contract, PEOPLE) == contract
+    assert contract["remove_duplicates"] == {"subset_cols": ["gauge", "read_at"], "order_by": ["level desc"]}
+    assert validate_contract(contract, GAUGES) == contract
 
 
 def test_empty_contract_and_empty_sections_are_fine(tmp_path):

@@ -7,46 +7,44 @@ from terrace import Bronze, Gold, Silver, read_table, run_bronze, run_layers, ru
 from terrace.__main__ import main
 from terrace.plans.jobs import load_jobs
 
-COLUMNS = ["id", "first_name", "last_name", "email", "gender", "ip_address"]
+COLUMNS = ["gauge", "river", "keeper", "level", "bank"]
 SCHEMA = {"columns": [{"name": n} for n in COLUMNS]}
 CONTRACT = """
-remove_duplicates:
-  subset_cols:
-remove_nulls:
-  subset_cols: [last_name, email]
-convert_types: {id: integer, first_name: string}
-null_handling: {first_name: teste}
-normalize_text: [first_name, last_name]
+remove_duplicates: {subset_cols: }
+remove_nulls: {subset_cols: [keeper, level]}
+convert_types: {gauge: integer, level: string}
+null_handling: {river: unnamed}
+normalize_text: [river, keeper]
 """
-PEOPLE = """id,first_name,last_name,email,gender,ip_address
-1, Ana ,Lima,a@x,F,1.1.1.1
-1, Ana ,Lima,a@x,F,1.1.1.1
-2,,Souza,b@x,M,1.1.1.2
-x,Rui,,c@x,M,1.1.1.3
+READINGS = """gauge,river,keeper,level,bank
+1, Isar ,Moser,3.5,L
+1, Isar ,Moser,3.5,L
+2,,Huber,2,R
+x,Inn,,4,R
 """
 
 
 @pytest.fixture
 def jobs(tmp_path, database):
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "people.csv").write_text(PEOPLE)
+    (tmp_path / "in" / "readings.csv").write_text(READINGS)
     (tmp_path / "schema.json").write_text(json.dumps(SCHEMA))
     (tmp_path / "contract.yaml").write_text(CONTRACT)
     raw = Bronze(
-        f"{database}_raw.people",
+        f"{database}_raw.readings",
         str(tmp_path / "in"),
         str(tmp_path / "bronze"),
         str(tmp_path / "schema.json"),
-        partitions=["gender"],
+        partitions=["bank"],
     )
     silver = Silver(
-        f"{database}_clean.people", raw.table, str(tmp_path / "silver"), str(tmp_path / "contract.yaml"), schema=SCHEMA
+        f"{database}_clean.readings", raw.table, str(tmp_path / "silver"), str(tmp_path / "contract.yaml"), schema=SCHEMA
     )
     gold = Gold(
-        f"{database}_features.gender",
+        f"{database}_features.bank",
         str(tmp_path / "gold"),
-        ["gender"],
-        {silver.table: [{"strategy": "entity_aggregates", "columns": {"id": ["max"]}, "rows": "people"}]},
+        ["bank"],
+        {silver.table: [{"strategy": "entity_aggregates", "columns": {"gauge": ["max"]}, "rows": "readings"}]},
     )
     return raw, silver, gold
 
@@ -56,20 +54,20 @@ def test_default_steps(spark, jobs):
     run_bronze(spark, raw)
     run_silver(spark, silver)
     got = read_table(spark, silver.table)
-    assert got.columns == COLUMNS and got.schema["id"].dataType.simpleString() == "int"
-    assert sorted(map(tuple, got.select("id", "first_name", "last_name").collect()), key=repr) == [
-        (1, " Ana ", "Lima"),
-        (2, "teste", "Souza"),
-        (None, "Rui", None),
+    assert got.columns == COLUMNS and got.schema["gauge"].dataType.simpleString() == "int"
+    assert sorted(map(tuple, got.select("gauge", "river", "keeper").collect()), key=repr) == [
+        (1, " Isar ", "Moser"),
+        (2, "unnamed", "Huber"),
+        (None, "Inn", None),
     ]
 
 
 def test_rows_that_came_on_two_days_are_duplicates(spark, jobs, tmp_path):
     raw, silver, _ = jobs
     run_bronze(spark, raw)
-    data = tmp_path / "bronze" / "people" / "data"
+    data = tmp_path / "bronze" / "readings" / "data"
     assert len(list(data.glob("ingest_date=*"))) == 1
-    (tmp_path / "in" / "again.csv").write_text(PEOPLE)
+    (tmp_path / "in" / "again.csv").write_text(READINGS)
     run_bronze(spark, raw)
     assert read_table(spark, raw.table).count() == 8
     run_silver(spark, silver)
@@ -90,11 +88,11 @@ def test_all_layers(spark, jobs):
     silver.steps = ["remove_duplicates", "remove_nulls", "convert_types", "null_handling", "normalize_text"]
     tables = run_layers(spark, {"bronze": [raw], "silver": [silver], "gold": [gold]})
     assert tables == [raw.table, silver.table, gold.table]
-    assert sorted(map(tuple, read_table(spark, silver.table).select("id", "first_name", "last_name").collect())) == [
-        (1, "ana", "lima"),
-        (2, "teste", "souza"),
+    assert sorted(map(tuple, read_table(spark, silver.table).select("gauge", "river", "keeper").collect())) == [
+        (1, "isar", "moser"),
+        (2, "unnamed", "huber"),
     ]
-    assert sorted(map(tuple, read_table(spark, gold.table).collect())) == [("F", 1, 1), ("M", 1, 2)]
+    assert sorted(map(tuple, read_table(spark, gold.table).collect())) == [("L", 1, 1), ("R", 1, 2)]
     assert run_layers(spark, {"silver": [silver]}, ["silver"]) == [silver.table]
     with pytest.raises(ValueError, match="platinum"):
         run_layers(spark, {}, ["platinum"])
@@ -108,7 +106,7 @@ def test_jobs_from_a_file(spark, jobs, tmp_path):
     tables = [job.table for job in jobs]
     assert main([str(path), "bronze"]) == tables[:1]
     assert main([str(path)]) == tables
-    assert sorted(map(tuple, read_table(spark, tables[2]).collect()), key=repr) == [("F", 1, 1), ("M", 2, 2)]
+    assert sorted(map(tuple, read_table(spark, tables[2]).collect()), key=repr) == [("L", 1, 1), ("R", 2, 2)]
     path.write_text("platinum: []")
     with pytest.raises(ValueError, match="platinum"):
         load_jobs(str(path))
