@@ -8,13 +8,13 @@ counting the overlap of their segments fragment by fragment, and summing the cou
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,16 +44,16 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
 def _to_fragments(docs: DataFrame, text: str, n: int, bits: int) -> DataFrame:
     """Rows of a part, about a million n-grams of one task: for each fragment its n-grams and whose they are.
 
-    A row for fragment -1 has the part's documents, by their numbers in the input. A part sends a set once, however
-    many copies it has.
+    A part sends a set once, however many copies it has. Its name is made of the task's place and a number, so that
+    a task that runs again, over the same rows, sends the same.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
-        count = 0
+        count, done, task = 0, 0, TaskContext.get().partitionId()
 
         def part() -> pa.RecordBatch:
-            name = uuid.uuid4().hex
+            name = f"{task}-{done}"
             sets, grams = np.array(list(held), np.int64), list(held.values())
             sizes = np.array([len(g) for g in grams], np.int64)
             all_grams, owners = np.concatenate(grams), np.repeat(np.arange(len(sets)), sizes)
@@ -79,7 +79,7 @@ def _to_fragments(docs: DataFrame, text: str, n: int, bits: int) -> DataFrame:
                     count += len(grams)
                 if count >= GATHERED:
                     yield part()
-                    held, count = {}, 0
+                    held, count, done = {}, 0, done + 1
         if held:
             yield part()
 
@@ -224,7 +224,8 @@ def near_copies(df: DataFrame, key: str, text: str, n: int = 5, percent: int = 8
     Sets of distinct word n-grams (``shingle_set``) are linked where 100 times their intersection is at least
     ``percent`` times their union; ``component_id`` is the smallest key that links lead to, the row's own included.
     A text without words has an empty set and a component of its own. Repeated rows and copies are one set; null
-    keys never are the smallest; other columns are left out. Every whole text counts.
+    keys never are the smallest; other columns are left out. Every whole text counts. ``df`` must give the same
+    rows when a task runs again, as a table does.
 
     N-grams are hashed to 56 bits and sets to 64; what a hash may join wrongly is a few in 10 to the 17 pairs.
     """
