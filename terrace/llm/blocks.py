@@ -20,22 +20,28 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 #: What an element says its content is, by its tag or by words of its class, id or role; the first that fits.
 KINDS = {
-    "hidden": (frozenset(), r"hidden|visually-?hidden|sr-only"),
-    "comments": (frozenset(), r"comments?|replies|reply|respond|disqus|discussion|guestbook"),
-    "advert": (frozenset(), r"ads?|adverts?|advertisement|advertising|adsbox|sponsor(ed)?|promo(tion)?|banner-?ad"),
+    "hidden": (frozenset(), r"hidden|visually-?hidden|sr-only|d-none"),
+    "comments": (frozenset(), r"\w*comments?\w*|replies|reply|respond|disqus|discussion|guestbook"),
+    "advert": (
+        frozenset(), r"ad(s|sense|slot|box|unit|block|wrap|wrapper|vert\w*)?|sponsor(ed|s)?|promo(tion|ted)?|banner-?ad",
+    ),
     "notice": (
         frozenset(("dialog",)),
-        r"cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|paywall|disclaimer|banner|newsletter|subscribe|share|sharing|social|toast",
+        r"cookies?\w*|consent|gdpr|notice\w*|notification|alert|popup|modal|overlay|paywall|disclaimer|banner|newsletter\w*"
+        r"|subscribe|subscription|share|sharing|social|toast",
     ),
-    "navigation": (frozenset(("nav", "menu")), r"nav(bar|igation)?|menu|breadcrumbs?|pagination|pager|toc|tabs?|skip"),
-    "footer": (frozenset(("footer",)), r"footer|copyright|colophon|contentinfo|credits"),
+    "navigation": (frozenset(("nav", "menu")), r"\w*nav(bar|igation)?|\w*menu|breadcrumbs?|pagination|pager|toc|tabs?|skip"),
+    "footer": (frozenset(("footer",)), r"\w*footer|copyright|colophon|contentinfo|credits"),
     "sidebar": (
-        frozenset(("aside",)), r"sidebar|aside|related|recommend(ed|ations)?|widgets?|complementary|trending|popular|more-?stories",
+        frozenset(("aside",)),
+        r"\w*sidebar|aside|related\w*|recommend(ed|ations)?|widgets?|complementary|trending|popular|more-?stories",
     ),
-    "form": (frozenset(("form", "fieldset", "button", "label", "legend", "search")), r"form|search(box)?|login|signup"),
-    "header": (frozenset(("header",)), r"header|masthead|topbar|site-?title|logo"),
+    "form": (frozenset(("form", "fieldset", "button", "label", "legend", "search")), r"\w*form|search(box|bar)?|login|signup"),
+    "header": (frozenset(("header",)), r"\w*header|masthead|topbar|site-?title|logo"),
     "article": (frozenset(("article", "main")), r"article(-?body)?|main(-?content)?|content|post(-?body)?|entry(-?content)?|story"),
 }
+#: Words that make a class one of the layout, which holds the main text too.
+_LAYOUT = re.compile(r"(?:^|[\s_-])(?:wrap|wrapper|layout|container|has|with|no|grid|page|columns?)(?=$|[\s_-])", re.I)
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({SILENT})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
@@ -74,13 +80,15 @@ def _kind(tag: str, attributes: str, around: str | None) -> str | None:
         return "hidden"
     own = _BY_TAG.get(tag)
     names = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)) if attributes else ""
+    if tag == "main":
+        return own
     if own == "article":
-        if tag == "article" and re.search(r"(?:^|\s)comment", names, re.I):
+        if re.search(r"(?:^|\s)comment", names, re.I):
             return "comments"
         return own if around in _LEFT_OPEN else around
     if own and not (own == "header" and around == "article"):
         return own
-    if tag in ("html", "body"):
+    if tag in ("html", "body") or names and _LAYOUT.search(names):
         return around
     for kind, words in _BY_WORD.items() if names else ():
         if words.search(names) and not (kind == "header" and around == "article"):

@@ -31,6 +31,16 @@ PAGES = [
     ("<article><form><input> <p>Enter mail</p></form><p title='a > b'>kept</p></article></div></p>", "kept"),
     ("<article><p>" + "word " * 200000 + "</p></article>", " ".join(["word"] * 200000)),
     ("<" * 20000, "<" * 20000),
+    (
+        "<div class='content-sidebar-wrap'><main class='content'><h1>A</h1><p>Text of it.</p></main>"
+        "<aside><article>teaser</article></aside><ol class='commentlist'><li>me too</li></ol></div><div id='siteFooter'>x</div>",
+        "A\nText of it.",
+    ),
+    (
+        "<div role='navigation'>Go</div><div id='mainContent'><p>One.</p><div class='adsense'>Buy</div><p>Two <i>in</i>line.</p>"
+        "<p hidden>never</p><div class='related-posts'><p>See also this</p></div></div><div class='cookieBar'>Yes?</div>",
+        "One.\nTwo inline.",
+    ),
     ("<a href='" * 3000, None),
 ]
 
