@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm.contamination import find_contamination
-from terrace.llm.names import free_name
+from terrace.functions import unused_name
 from terrace.llm.near_copies import near_copies
 from terrace.llm.quality import grade_quality, train_quality
 from terrace.llm.query_classifiers import TOP_GRADE, graded
@@ -34,13 +34,13 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score below a half, by a model of the labelled ones among them."""
     model = train_toxicity(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
-    score = free_name(docs, "score")
+    score = unused_name(docs, "score")
     return score_toxicity(docs, "text", model, score).where(F.col(score) < 0.5).select(*docs.columns)
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """The documents with a name for each: the id, null ones last, and a hash of the text."""
-    key = free_name(docs, "key")
+    key = unused_name(docs, "key")
     name = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.xxhash64("text").alias("said"))
     return docs.withColumn(key, name), key
 

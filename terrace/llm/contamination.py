@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.names import free_name
+from terrace.functions import unused_name
 from terrace.llm.urls import WORDS as BLOOM_WORDS
 from terrace.llm.urls import block_of, blocked_bloom, masks_of
 from terrace.llm.words import lower_ascii, split_words
@@ -132,7 +132,7 @@ def find_contamination(
     small = _bytes(windows) <= broadcast_bytes
     words = split_words(lower_ascii(F.col(text)), SEPARATORS)
     kept = [c for c in docs.columns if c != text]
-    one = docs.select(F.struct(*[docs[c] for c in kept], F.xxhash64(docs[text]).alias(free_name(docs, "h"))).alias("row"), words.alias("words"))
+    one = docs.select(F.struct(*[docs[c] for c in kept], F.xxhash64(docs[text]).alias(unused_name(docs, "h"))).alias("row"), words.alias("words"))
     one = one.withColumn("n_words", F.size("words"))
 
     sizes = [n for n in range(1, SHINGLE) if not windows.where(F.col("size") == n).isEmpty()] + [SHINGLE]

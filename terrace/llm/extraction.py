@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.blocks import KINDS, Block, text_blocks
-from terrace.llm.names import free_name
+from terrace.functions import unused_name
 
 FEATURES = [
     "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "heading",
@@ -167,7 +167,7 @@ def extract_main_text(df: DataFrame, html: str, tree: Tree | None = None) -> Dat
     empty text. Columns of the two names are replaced, others stay; repeated rows are extracted each. No shuffle, and
     a task holds a batch of pages.
     """
-    copy = free_name(df, "copy")
+    copy = unused_name(df, "copy")
     kept = df.withColumn(copy, F.col(html)).drop("text", "n_chars")
     out = kept.drop(copy).schema.add("text", "string").add("n_chars", "long")
     known = tree or block_tree()

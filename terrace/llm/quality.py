@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.hashing import Features, Grams, Rows, minimise, sigmoid
-from terrace.llm.names import free_name
+from terrace.functions import unused_name
 from terrace.llm.sampling import fit_in_one_task, labelled_sample
 
 GRAMS = Grams(sizes=(1, 2, 3), bits=16, fold_case=False)
@@ -94,7 +94,7 @@ def train_quality(docs: DataFrame, grades: DataFrame, key: str, text: str, grade
             weights, cuts = fit_ordinal(Rows.of(rows, WIDTH), np.array(known), top)
         return np.concatenate([cuts, weights]).astype("<f4").tobytes()
 
-    y = free_name(docs, "label")
+    y = unused_name(docs, "label")
     sample = labelled_sample(docs.select(key, text), grades, key, grade, list(range(top + 1)))
     return fit_in_one_task(sample.withColumnRenamed("label", y), text, y, features, fit)
 
@@ -125,7 +125,7 @@ def grade_quality(
             names = [*batch.schema.names[:-1], "expected_grade", "tail_probability"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    copy = free_name(df, "copy")
+    copy = unused_name(df, "copy")
     schema = df.schema.add("expected_grade", "double").add("tail_probability", "double")
     graded = df.withColumn(copy, F.col(text)).mapInArrow(grades, schema)
     return graded.withColumn("kept", F.col("tail_probability") >= least_probability)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.names import free_name
+from terrace.functions import unused_name
 from terrace.llm.words import split_words
 
 SPACES = r"\x20\x09-\x0D"
@@ -56,7 +56,7 @@ def text_statistics(df: DataFrame, text: str) -> DataFrame:
     """
     df = df.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals")
     said = F.coalesce(F.col(text), F.lit(""))
-    words, lines, bits, hashes, places = (free_name(df, f"_{n}") for n in ("words", "lines", "bits", "hashes", "places"))
+    words, lines, bits, hashes, places = (unused_name(df, f"_{n}") for n in ("words", "lines", "bits", "hashes", "places"))
     sound = F.filter(F.split(said, "\n"), lambda x: F.translate(x, " \t\n\x0b\x0c\r", "") != "")
     split = df.withColumns({words: split_words(said, SPACES), lines: sound})
     counted = split.withColumns(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.hashing import Features, Grams, Rows, minimise, sigmoid
-from terrace.llm.names import free_name
+from terrace.functions import unused_name
 from terrace.llm.sampling import fit_in_one_task, labelled_sample
 
 GRAMS = Grams(sizes=(3, 5, 7), bits=18, fold_case=True)
@@ -88,7 +88,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, key: str, text: str, labe
 
     A model is 1 MB whatever the corpus. Null labels and keys teach nothing; a null text is an empty one.
     """
-    y = free_name(docs, "label")
+    y = unused_name(docs, "label")
     sample = labelled_sample(docs.select(key, text), labels, key, label, [0, 1]).withColumnRenamed("label", y)
     return fit_in_one_task(sample, text, y, features, _fit)
 
@@ -113,6 +113,6 @@ def score_toxicity(df: DataFrame, text: str, model: bytes, score: str = "score")
             columns = [*batch.columns[:-1], pa.array(found, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], score])
 
-    copy = free_name(df, "copy")
+    copy = unused_name(df, "copy")
     schema = df.schema.add(score, "double")
     return df.withColumn(copy, F.col(text)).mapInArrow(scores, schema)

@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.names import free_name
+from terrace.functions import unused_name
 from terrace.llm.shared_files import NewFile, open_file
 
 #: Fixed values of the format: the magic number of the skippable frame that holds the dictionary.
@@ -159,7 +159,7 @@ def with_revisits(df: DataFrame, key: str, payload: str, least_bytes: int = 0) -
     The largest keys are combined before the shuffle, so that a payload that a third of the rows share is one
     row per task there. Rows meet them in a join that adaptive execution splits where one payload is hot.
     """
-    digest, first, at = (free_name(df, n) for n in ("digest", "first_key", "at"))
+    digest, first, at = (unused_name(df, n) for n in ("digest", "first_key", "at"))
     known = df.withColumn(digest, _digest(F.col(payload)))
     firsts = (
         known.where(F.octet_length(payload) >= least_bytes)
