@@ -255,9 +255,10 @@ def near_copies(df: DataFrame, key: str, text: str, n: int = 5, percent: int = 8
 
     keyed = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     rows = write(keyed.mapInArrow(sized, f"key {kind.simpleString()}, n_shingles long, node long"), "sets")
-    own = rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = own.where("component IS NOT NULL").groupBy("component").agg(F.min("key").alias("component_id"))
+    filled, empty = rows.where(F.col("node").isNotNull()), rows.where(F.col("node").isNull())
+    own = filled.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    smallest = own.groupBy("component").agg(F.min("key").alias("component_id"))
     whole = own.join(write(smallest, "smallest"), "component", "left")  # from a table, so that a hot component can be split
-    return whole.select(
-        F.col("key").alias(key), "n_shingles", F.coalesce("component_id", F.when(F.col("n_shingles") == 0, F.col("key"))).alias("component_id")
-    )
+    alone = empty.withColumn("component_id", F.col("key"))
+    both = whole.select("key", "n_shingles", "component_id").unionByName(alone.select("key", "n_shingles", "component_id"))
+    return both.withColumnRenamed("key", key)

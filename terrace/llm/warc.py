@@ -149,12 +149,13 @@ def read_records(uri: str, chunk: int = 1 << 20) -> Iterator[bytes]:
 
 
 def _digest(payload: Column) -> Column:
-    return F.unhex(F.sha1(payload))
+    return F.unhex(F.sha1(F.coalesce(payload, F.lit(b""))))
 
 
 def with_revisits(df: DataFrame, key: str, payload: str, least_bytes: int = 0) -> DataFrame:
     """Adds ``refers_to``: of rows with equal payloads of ``least_bytes`` or more, the largest key; null for
-    rows of that key itself (so for repeated rows of it), for smaller payloads, and for null keys.
+    rows of that key itself (so for repeated rows of it), for smaller payloads, and for null keys. A null payload
+    is an empty one.
 
     The largest keys are combined before the shuffle, so that a payload that a third of the rows share is one
     row per task there. Rows meet them in a join that adaptive execution splits where one payload is hot.
@@ -162,7 +163,7 @@ def with_revisits(df: DataFrame, key: str, payload: str, least_bytes: int = 0) -
     digest, first, at = (unused_name(df, n) for n in ("digest", "first_key", "at"))
     known = df.withColumn(digest, _digest(F.col(payload)))
     firsts = (
-        known.where(F.octet_length(payload) >= least_bytes)
+        known.where(F.coalesce(F.octet_length(payload), F.lit(0)) >= least_bytes)
         .groupBy(F.col(digest).alias(at))
         .agg(F.max(key).alias(first))
     )

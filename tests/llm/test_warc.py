@@ -40,6 +40,12 @@ def test_round_trip(spark):
             assert (r["record_type"], r["refers_to"], bytes(r["payload"])) == ("response", None, payload)
 
 
+def test_null_payloads_are_empty_ones(spark):
+    _, back = archived(spark, [(1, "u", None), (2, "u", b""), (3, "u", None)])
+    got = sorted((r["record_id"], r["record_type"], r["payload_bytes"], r["refers_to"]) for r in back)
+    assert got == [("1", "revisit", 0, "3"), ("2", "revisit", 0, "3"), ("3", "response", 0, None)]
+
+
 def test_least_bytes(spark):
     _, back = archived(spark, ROWS, least=1)
     assert all(r["record_type"] == "response" for r in back if r["payload_bytes"] == 0)
