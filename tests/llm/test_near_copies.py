@@ -101,3 +101,22 @@ def test_components_of_paths_stars_and_rings(spark):
     assert got == {**{i: 0 for i in range(71)}, **{200 + i: 200 for i in range(40)}, **{300 + i: 300 for i in range(9)}}
     assert len(kept) <= 2 * 12
     assert connected_components(df.limit(0), write).collect() == []
+
+
+def test_a_large_group_is_not_expanded_into_its_pairs(spark, monkeypatch):
+    """300 texts, all alike: what is verified grows with the texts, not with their pairs."""
+    import terrace.llm.near_copies as module
+
+    base = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join([*base[:40], f"own{i}", *base[41:]])) for i in range(300)]
+    checked = []
+    verified = module._verified
+
+    def counted(pairs, active, percent):
+        checked.append(pairs.count())
+        return verified(pairs, active, percent)
+
+    monkeypatch.setattr(module, "_verified", counted)
+    got = found(spark, rows, 4, 80)
+    assert {c for _, _, c in got} == {0}
+    assert checked[0] <= 2 * 300 and checked[1] == 0

@@ -83,3 +83,21 @@ def test_equal_rows_and_null_statistics(spark):
     rows = [(i, None if i % 5 == 0 else 1.0, i % 2) for i in range(60)]
     df = spark.createDataFrame(rows, "k long, s double, label int")
     assert learn_rules(df, ["s"], "k") == []
+
+
+def test_statistics_need_no_shuffle_and_no_python(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    plan = text_statistics(docs, "text")._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Exchange", "Python", "Arrow", "Generate"))
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_rules_become_one_conditional_expression(spark):
+    rows = [(i, float(i % 10), float(i % 7), int(i % 10 < 7)) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, s double, t double, label int")
+    rules = learn_rules(df, ["s", "t"], "k")
+    assert [str(r) for r in rules] == ["s > 6"]
+    said = str(verdict(rules))
+    assert said.count("WHEN") == 1 and "ELSE true" in said
+    judged = df.select("label", verdict(rules).alias("v")).distinct().collect()
+    assert {(r["label"], r["v"]) for r in judged} == {(1, True), (0, False)}
