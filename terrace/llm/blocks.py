@@ -20,7 +20,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 #: What an element says its content is, by its tag or by words of its class, id or role; the first that fits.
 KINDS = {
-    "hidden": (frozenset(), r"hidden|visually-?hidden|sr-only|d-none"),
+    "hidden": (frozenset(), ""),  # see _unseen
     "comments": (frozenset(), r"\w*comments?\w*|replies|reply|respond|disqus|discussion|guestbook"),
     "advert": (
         frozenset(), r"ad(s|sense|slot|box|unit|block|wrap|wrapper|vert\w*)?|sponsor(ed|s)?|promo(tion|ted)?|banner-?ad",
@@ -48,8 +48,12 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*>",
     re.S | re.I,
 )
-_NAMED = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_UNSEEN = re.compile(r"\bhidden\b(?!\s*-)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s/>=\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NAMING = ("class", "id", "role", "itemprop")
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([\w-]+)", re.I)
+#: Whole words of a class that hide an element, and those that show it again on wider screens.
+_HIDING = re.compile(r"(?:is-)?hidden|visually-?hidden(?:-focusable)?|sr-only(?:-focusable)?|d-none", re.I)
+_SHOWING = re.compile(r"(?:\w+:|d-(?:sm|md|lg|xl|xxl)-)(?:block|inline\S*|flex|grid|table\S*|contents|not-sr-only)", re.I)
 _BY_WORD = {kind: re.compile(rf"(?:^|[\s_-])(?:{words})(?=$|[\s_-])", re.I) for kind, (_, words) in KINDS.items() if words}
 _BY_TAG = {tag: kind for kind, (tags, _) in KINDS.items() for tag in tags}
 
@@ -74,12 +78,34 @@ class Block:
 _LEFT_OPEN = (None, "article", "advert", "notice", "header")
 
 
-def _kind(tag: str, attributes: str, around: str | None) -> str | None:
+def _attributes(said: str) -> dict[str, str]:
+    """Values by name in lower case, the first of each name; those without a value have an empty one."""
+    found: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(said):
+        if name:
+            found.setdefault(name.lower(), a or b or c)
+    return found
+
+
+def _unseen(attributes: dict[str, str]) -> bool:
+    """Whether an element says that it is not shown: by its attributes, its style or a whole word of its class."""
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    if (shown := _DISPLAY.findall(attributes.get("style", ""))) and shown[-1].lower() == "none":
+        return True
+    words = attributes.get("class", "").split()
+    return any(map(_HIDING.fullmatch, words)) and not any(map(_SHOWING.fullmatch, words))
+
+
+def _kind(tag: str, said: str, around: str | None) -> str | None:
     """The kind of an element's content, or that of what is around it."""
-    if attributes and _UNSEEN.search(attributes):
+    if tag in ("html", "body"):  # without them there is no page, whatever a script does to them later
+        return around
+    attributes = _attributes(said) if said else {}
+    if attributes and _unseen(attributes):
         return "hidden"
     own = _BY_TAG.get(tag)
-    names = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)) if attributes else ""
+    names = " ".join(attributes[n] for n in _NAMING if n in attributes)
     if tag == "main":
         return own
     if own == "article":
@@ -88,7 +114,7 @@ def _kind(tag: str, attributes: str, around: str | None) -> str | None:
         return own if around in _LEFT_OPEN else around
     if own and not (own == "header" and around == "article"):
         return own
-    if tag in ("html", "body") or names and _LAYOUT.search(names):
+    if names and _LAYOUT.search(names):
         return around
     for kind, words in _BY_WORD.items() if names else ():
         if words.search(names) and not (kind == "header" and around == "article"):

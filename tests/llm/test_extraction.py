@@ -78,3 +78,24 @@ def test_tree_fits_its_table():
 def test_blocks_know_their_links():
     first, second = text_blocks("<p>say <a href=1>two words</a></p><a href=2><div>all linked</div></a>")
     assert (first.words, first.link_words, second.link_density) == (3, 2, 1.0)
+
+
+UNSEEN = ["hidden", "HIDDEN=''", "aria-hidden='true'", "style='color:red; display : none'", "class='a hidden b'", "class=sr-only"]
+SEEN = [
+    "style='overflow:hidden'", "class='overflow-hidden'", "class='lg:hidden'", 'aria-hidden="false"', "title='a hidden gem'",
+    "data-state='hidden'", "data-class='hidden'", "id='hidden'", "class='hidden-xs'", "class='hidden md:block'",
+    "class='d-none d-lg-flex'", "title=\"style='display:none'\"", "style='display:none;display:block'", "alt='x' 'hidden'",
+]
+
+
+@pytest.mark.parametrize("said", SEEN)
+@pytest.mark.parametrize("page", ["<body {0}><article>{1}</article>", "<div {0}><article>{1}</article></div>", "<article {0}>{1}</article>"])
+def test_elements_that_are_shown_keep_their_text(page, said):
+    text = "<h1>A title</h1><p>Some words of the text.</p>"
+    assert main_text(page.format(said, text), block_tree()) == "A title\nSome words of the text."
+
+
+@pytest.mark.parametrize("said", UNSEEN)
+def test_elements_that_are_not_shown(said):
+    page = f"<body {said}><article><p>Some words of the text.</p><div {said}>never</div></article><div {said}><article>nor this</article></div>"
+    assert main_text(page, block_tree()) == "Some words of the text."
