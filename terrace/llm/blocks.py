@@ -9,7 +9,12 @@ from dataclasses import dataclass
 # Fixed values of HTML: elements without content, those whose content is no text of the page, those that begin and
 # end a block, and those that an element of the same group ends.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = "script|style|template|noscript|iframe|svg|math|textarea|select|title|canvas|object|video|audio"
+SILENT = frozenset(
+    "script style template noscript iframe svg math textarea select title canvas object video audio".split()
+)
+#: Those of them that end with what is around them, where they have no end tag or a slash for one; the others go on to
+#: the end of the page.
+EMBEDDED = frozenset("svg math select canvas object video audio".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure"
     " footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section"
@@ -44,10 +49,9 @@ KINDS = {
 _LAYOUT = re.compile(r"(?:^|[\s_-])(?:wrap|wrapper|layout|container|has|with|no|grid|page|columns?)(?=$|[\s_-])", re.I)
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({SILENT})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*>",
-    re.S | re.I,
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*>", re.S
 )
+_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in SILENT}
 _ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s/>=\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAMING = ("class", "id", "role", "itemprop")
 _DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([\w-]+)", re.I)
@@ -134,6 +138,7 @@ def text_blocks(page: str | None) -> list[Block]:
     parts: list[str] = []
     linked: list[str] = []
     links, at = -1, 0  # the depth at which a link began
+    endless: set[str] = set()  # silent elements without an end tag from here on
 
     def end() -> None:
         nonlocal parts, linked
@@ -150,13 +155,24 @@ def text_blocks(page: str | None) -> list[Block]:
             if links >= 0:
                 linked.append(text)
 
-    for m in _TOKEN.finditer(page):
+    def past(tag: str, start: int) -> int:
+        """Where the content of a silent element ends that begins here."""
+        if tag not in endless:
+            if found := _END[tag].search(page, start):
+                return found.end()
+            endless.add(tag)
+        return start if tag in EMBEDDED else len(page)
+
+    while m := _TOKEN.search(page, at):
         say(page[at : m.start()])
         at = m.end()
-        if not (tag := m[3]):
+        if not (tag := m[2]):
             continue
-        tag, closing = tag.lower(), bool(m[2])
-        if tag == "a":
+        tag, closing = tag.lower(), bool(m[1])
+        if tag in SILENT:
+            if not closing and not (tag in EMBEDDED and m[3].endswith("/")):
+                at = past(tag, at)
+        elif tag == "a":
             links = -1 if closing else len(stack)
         elif tag == "br":
             parts.append(" ")
@@ -171,7 +187,7 @@ def text_blocks(page: str | None) -> list[Block]:
                     stack.pop()
                 if tag in GROUPS and stack and stack[-1][0] in GROUPS[tag].split():
                     stack.pop()
-                stack.append((tag, _kind(tag, m[4], stack[-1][1] if stack else None)))
+                stack.append((tag, _kind(tag, m[3], stack[-1][1] if stack else None)))
             if len(stack) < links:  # what was around an open link has ended
                 links = -1
     say(page[at:])

@@ -99,3 +99,25 @@ def test_elements_that_are_shown_keep_their_text(page, said):
 def test_elements_that_are_not_shown(said):
     page = f"<body {said}><article><p>Some words of the text.</p><div {said}>never</div></article><div {said}><article>nor this</article></div>"
     assert main_text(page, block_tree()) == "Some words of the text."
+
+
+BETWEEN = [
+    "<svg class='i'/>", "<svg/>", "<math/>", "<SVG class='i' />", "<video-player src='x'></video-player>", "<title-bar>", "<template-x>", "<!-->",
+    "<!--->", "<!-- c --!>", "<!---->", "<video src='x'>", "<audio/>", "<svg><path d='M0'/><text>never</text></svg >",
+    "<script>if (a</b>c) '</scripts>'</script x>", "<style>p{}</style\n>", "<object data='x'><svg/>never</object>",
+]
+
+
+@pytest.mark.parametrize("between", BETWEEN)
+def test_nothing_after_an_element_without_an_end_is_lost(between):
+    page = f"<article><p>Words before it.</p>{between}<p>The main text after it.</p></article>"
+    assert main_text(page, block_tree()) == "Words before it.\nThe main text after it."
+
+
+def test_what_is_cut_off_within_a_script_is_no_text():
+    assert main_text("<article><p>Words before it.</p><script>var a = 1;<p>b</p>", block_tree()) == "Words before it."
+
+
+def test_many_elements_without_an_end_take_no_longer():
+    blocks = text_blocks("<p>a<video><svg>" * 50000)
+    assert len(blocks) == 50000
