@@ -21,6 +21,10 @@ WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Letters, digits and signs whose kind all Unicode versions agree on: Latin and general punctuation.
 _PLAIN = re.compile(r"[^\x00-ɏ‐-‧‰-⁞€]")
 
+#: The fast library goes back over a run of white space and overflows its stack at about a million characters.
+LONG_RUN = 100_000
+_LONG_SPACE = re.compile(rf"(?<!\s)\s{{{LONG_RUN}}}")
+
 
 def _byte_of() -> dict[str, int]:
     """Byte-level BPE's letter for each byte: printable ones stand for themselves, the rest follow at 256."""
@@ -33,7 +37,8 @@ class Ids:
     """Ids of texts by a byte-level BPE tokenizer's file, special tokens in texts included, none added.
 
     The file's vocabulary runs in a second library too, which is several times as fast and gives the same ids
-    where both know each letter's kind; texts with other letters or special tokens go through the first.
+    where both know each letter's kind; texts with other letters, special tokens or very long runs of white space
+    go through the first.
     """
 
     def __init__(self, path: str):
@@ -47,7 +52,8 @@ class Ids:
         self.fast = tiktoken.Encoding("file", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
     def of(self, text: str) -> list[int]:
-        if _PLAIN.search(text) or any(t in text for t in self.special):
+        spaced = len(text) >= LONG_RUN and _LONG_SPACE.search(text)
+        if spaced or _PLAIN.search(text) or any(t in text for t in self.special):
             return self.full.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 

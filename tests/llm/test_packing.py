@@ -30,6 +30,13 @@ def test_ids_are_those_of_the_tokenizer(ids):
         assert ids.of(text) == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("run", ["\n" * 2_000_000, " " * 2_000_000, "\n \t" * 700_000, " " * 100_000, " " * 99_999])
+def test_ids_of_very_long_white_space(ids, run):
+    whole = Tokenizer.from_file(PATH)
+    for text in (f"some words{run}and more", run):
+        assert ids.of(text) == whole.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 4), max_size=6), st.integers(0, 60))
 def test_fullest_is_the_fullest(counts, room):
