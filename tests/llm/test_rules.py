@@ -39,6 +39,16 @@ def test_statistics_of_odd_texts(spark):
     assert text_statistics(df.limit(0), "text").collect() == []
 
 
+def test_windows_whose_hashes_agree_in_the_bits_that_are_kept(spark):
+    a, b = "x y w1694337", "x y w6581336"  # 43 low bits of the hash are the same
+    said = [f"{a} . {b}", f"{a} . {b} , {a}", f"{a} . {b} , {b} ; {a}", f"{b} . {a} , {b}"]
+    df = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    parts = [F.xxhash64(*[F.lit(w) for w in t.split()]).bitwiseAND((1 << 43) - 1) for t in (a, b)]
+    assert df.select(parts[0] == parts[1]).first()[0]
+    got = {r["doc_id"]: r["n_repeat_words"] for r in text_statistics(df, "text").collect()}
+    assert got == {i: brute(t)[4] for i, t in enumerate(said)} and got[0] == 0
+
+
 def test_query_statistics_and_accuracy(spark, sf):
     got = {r["doc_id"]: r for r in QUERIES["op6_quality_rules"](spark, sf).collect()}
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
