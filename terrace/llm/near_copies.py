@@ -218,8 +218,27 @@ def near_copy_links(active: DataFrame, percent: int, write) -> DataFrame:
     return connected_components(starred.unionByName(more), write)
 
 
-def near_copies(df: DataFrame, key: str, text: str, n: int = 5, percent: int = 80) -> DataFrame:
-    """A row per row of ``df``: its key, ``n_shingles`` and ``component_id``.
+def near_copy_pairs(active: DataFrame, percent: int, write) -> DataFrame:
+    """Every link among active sets, once (``a`` below ``b``): a large group is expanded into all its pairs."""
+    places = active.select("node", "size", F.inline("prefix")).select("gram", "node", "size", "place")
+    others = places.select(
+        "gram", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place")
+    )
+    met = places.join(others, "gram").where(F.col("node") < F.col("other"))
+    return _verified(write(_pairs(met, percent), "pairs"), active, percent)
+
+
+def _links_of(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``n_links`` of each node: rows of the sets linked to it, and the other rows of its own."""
+    copies = sets.groupBy("node").agg(F.count("*").alias("copies"))
+    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = ends.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("linked"))
+    linked = F.coalesce("linked", F.lit(0)) + F.col("copies") - 1
+    return copies.join(others, "node", "left").select("node", linked.alias("n_links"))
+
+
+def near_copies(df: DataFrame, key: str, text: str, n: int = 5, percent: int = 80, links: bool = False) -> DataFrame:
+    """A row per row of ``df``: its key, ``n_shingles`` and ``component_id``; with ``links``, ``n_links`` too.
 
     Sets of distinct word n-grams (``shingle_set``) are linked where 100 times their intersection is at least
     ``percent`` times their union; ``component_id`` is the smallest key that links lead to, the row's own included.
@@ -227,6 +246,9 @@ def near_copies(df: DataFrame, key: str, text: str, n: int = 5, percent: int = 8
     keys never are the smallest; other columns are left out. Every whole text counts. ``df`` must give the same
     rows when a task runs again, as a table does.
 
+    ``n_links`` is the number of other rows whose sets are linked to the row's own directly, equal sets included, and
+    0 without words. It takes every pair of similar sets, where components alone take a few for each set.
+
     N-grams are hashed to 56 bits and sets to 64; what a hash may join wrongly is a few in 10 to the 17 pairs.
     """
     spark = df.sparkSession
@@ -260,5 +282,10 @@ def near_copies(df: DataFrame, key: str, text: str, n: int = 5, percent: int = 8
     smallest = own.groupBy("component").agg(F.min("key").alias("component_id"))
     whole = own.join(write(smallest, "smallest"), "component", "left")  # from a table, so that a hot component can be split
     alone = empty.withColumn("component_id", F.col("key"))
-    both = whole.select("key", "n_shingles", "component_id").unionByName(alone.select("key", "n_shingles", "component_id"))
+    names = ["key", "n_shingles", "component_id"]
+    if links:
+        counts = write(_links_of(filled, write(near_copy_pairs(active, percent, write), "all-links")), "n-links")
+        whole, alone = whole.join(counts, "node"), alone.withColumn("n_links", F.lit(0).cast("long"))
+        names.append("n_links")
+    both = whole.select(*names).unionByName(alone.select(*names))
     return both.withColumnRenamed("key", key)

@@ -50,6 +50,32 @@ def test_groups_of_copies(spark, seed, n, percent):
     assert found(spark, rows, n, percent) == wanted(rows, n, percent)
 
 
+def with_links(spark, rows, n, percent):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return sorted(((r["doc_id"], r["n_links"]) for r in near_copies(df, "doc_id", "text", n, percent, links=True).collect()), key=str)
+
+
+def wanted_links(rows, n, percent):
+    sets = [shingles(t, n) for _, t in rows]
+    near = lambda a, b: a and b and 100 * len(a & b) >= percent * len(a | b)
+    return sorted(((k, sum(bool(near(s, t)) for j, t in enumerate(sets) if j != i)) for i, ((k, _), s) in enumerate(zip(rows, sets))), key=str)
+
+
+@pytest.mark.parametrize("seed, n, percent", [(1, 4, 85), (3, 3, 60)])
+def test_links_of_groups_of_copies(spark, seed, n, percent):
+    rows = near_group(seed, 60, 70, 20)
+    assert with_links(spark, rows, n, percent) == wanted_links(rows, n, percent)
+
+
+def test_links_within_a_component_and_of_odd_rows(spark):
+    base = [f"w{i}" for i in range(100)]
+    chain = [" ".join([*(f"x{j}" for j in range(2 * i)), *base[2 * i :]]) for i in range(5)]
+    rows = [(1, None), (2, ""), (3, "a b"), (3, "A b"), (None, "a b"), (4, "alone"), *((10 + i, t) for i, t in enumerate(chain))]
+    got = with_links(spark, rows, 4, 85)
+    assert got == wanted_links(rows, 4, 85) and len(set(c for _, c in got)) > 2
+    assert with_links(spark, [(1, None)], 4, 85) == [(1, 0)]
+
+
 def test_a_chain_is_one_component(spark):
     base = [f"w{i}" for i in range(60)]
     rows, words = [], list(base)
