@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from terrace.contract import load_contract, load_schema, schema_from_dict, validate_contract
 from terrace.operators.features import Strategy, build_features, join_features, strategy
 from terrace.plans.cleaning import BUILT_IN, clean
+from terrace.plans.incremental import clean_new_batches
 from terrace.scratch import scratch_removed
 from terrace.sources import overwrite_table, read_new_files, read_table, register
 from terrace.sources.tables import VERSIONED
@@ -51,6 +52,9 @@ class Silver:
     """One raw table, cleaned by a contract, into another.
 
     After a run, ``lost`` tells, by step and column, how many values could not be read and became null.
+
+    With ``buckets``, a run cleans the raw table's new batches only, and rewrites those of so many buckets by key that
+    they fall into (``clean_new_batches``); ``rewritten`` tells which.
     """
 
     table: str
@@ -62,7 +66,9 @@ class Silver:
     options: Mapping[str, Mapping[str, Any]] | None = None
     partitions: Sequence[str] = ()
     table_format: str = "parquet"
+    buckets: int | None = None
     lost: dict[str, dict[str, int]] | None = field(default=None, init=False)
+    rewritten: list[int] | None = field(default=None, init=False)
 
 
 @dataclass
@@ -109,6 +115,8 @@ def run_silver(spark: SparkSession, job: Silver) -> str:
     different days is then a duplicate.
     """
     contract = load_contract(job.contract) if isinstance(job.contract, str) else job.contract
+    if job.buckets is not None:
+        return _run_silver_by_batch(spark, job, contract)
     raw = read_table(spark, job.source, None if job.schema is None else _schema(job.schema))
     # A step of the user's own may make columns that later steps use.
     columns = raw.columns if set(job.steps) <= BUILT_IN else None
@@ -121,6 +129,19 @@ def run_silver(spark: SparkSession, job: Silver) -> str:
     return job.table
 
 
+def _run_silver_by_batch(spark: SparkSession, job: Silver, contract: Mapping[str, Any]) -> str:
+    if job.partitions or job.table_format.lower() != "parquet" or job.buckets < 1:
+        raise ValueError("a table kept by batch is Parquet, partitioned by its buckets only, of which there is one at least")
+    schema = None if job.schema is None else _schema(job.schema)
+    validate_contract({s: contract.get(s) for s in job.steps}, schema.names if schema else None)
+    counts: dict[str, Observation] = {}
+    job.rewritten = clean_new_batches(
+        spark, job.source, job.table, job.location, job.steps, contract, job.options, schema, job.buckets, counts
+    )
+    job.lost = {step: dict(seen.get) for step, seen in counts.items()}
+    return job.table
+
+
 def run_gold(spark: SparkSession, job: Gold) -> str:
     """Build the feature table and register it."""
     parts = [

@@ -119,6 +119,44 @@ def lost_values(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([*rows, ("read", "rows", raw.rows_read)], "step string, name string, lost bigint")
 
 
+@query(
+    """
+    WITH came AS (
+      SELECT *, 1 AS version FROM orders WHERE o_orderkey % 3 <> 0
+      UNION ALL SELECT *, 2 FROM orders WHERE o_orderkey % 2 = 0
+      UNION ALL SELECT *, 0 FROM orders WHERE o_orderkey % 5 = 0 UNION ALL SELECT *, 1 FROM orders WHERE o_orderkey % 3 = 0),
+    latest AS (SELECT * FROM came QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC) = 1)
+    SELECT o_orderkey, o_custkey, o_orderstatus,
+           CAST(CAST(o_totalprice AS DECIMAL(14, 2)) + 1000 * version AS VARCHAR) AS o_totalprice,
+           strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+           CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority ELSE 'none' END AS o_orderpriority, version
+    FROM latest
+    """
+)
+def silver_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches with newer, repeated and late older versions of orders, each cleaned as it comes."""
+    source = scratch_path(spark, "orders-csv")
+    orders = orders_text(spark, sf)
+
+    def version(n: int) -> DataFrame:
+        price = F.expr(f"CAST(CAST(o_totalprice AS DECIMAL(14, 2)) + {1000 * n} AS STRING)")
+        return orders.withColumns({"o_totalprice": price, "version": F.lit(str(n))})
+
+    newer = version(2).where("o_orderkey % 2 = 0")
+    late = version(0).where("o_orderkey % 5 = 0").unionAll(version(1).where("o_orderkey % 3 = 0"))
+    schema = schema_of(*orders.columns, "version")
+    contract = _ORDERS_CONTRACT | {"remove_duplicates": {"subset_cols": ["o_orderkey"], "order_by": ["version desc"]}}
+    contract["convert_types"] = contract["convert_types"] | {"version": "int"}
+    raw = Bronze(new_table("raw"), source, scratch_path(spark, "raw"), schema)
+    silver = Silver(new_table("clean"), raw.table, scratch_path(spark, "clean"), contract, schema=schema, buckets=16)
+    for batch in (version(1).where("o_orderkey % 3 <> 0"), newer.unionAll(newer), late):
+        batch.write.mode("append").csv(source, header=True)
+        run_bronze(spark, raw)
+        run_silver(spark, silver)
+    cleaned = read_table(spark, silver.table, schema)
+    return cleaned.withColumns({n: F.col(n).cast("string") for n in ("o_totalprice", "o_orderdate")})
+
+
 _PRICE = "CAST(o_totalprice AS DECIMAL(14, 2))"
 
 

@@ -1,0 +1,163 @@
+"""A clean table kept batch by batch."""
+
+import glob
+import os
+
+import pytest
+
+from terrace import Bronze, Silver, read_table, run_bronze, run_silver
+from terrace.plans import incremental
+
+COLUMNS = ["id", "version", "level", "note"]
+SCHEMA = {"columns": [{"name": n} for n in COLUMNS]}
+CONTRACT = {
+    "remove_duplicates": {"subset_cols": ["id"], "order_by": ["version desc"]},
+    "convert_types": {"id": "int", "level": "double"},
+    "null_handling": {"note": "none"},
+}
+BUCKETS = 8
+
+
+@pytest.fixture
+def home(tmp_path, database):
+    (tmp_path / "in").mkdir()
+    raw = Bronze(f"{database}.raw", str(tmp_path / "in"), str(tmp_path / "bronze"), SCHEMA)
+    clean = Silver(f"{database}.clean", raw.table, str(tmp_path / "clean"), CONTRACT, schema=SCHEMA, buckets=BUCKETS)
+    return tmp_path, raw, clean
+
+
+def deliver(spark, home, name, rows):
+    path, raw, _ = home
+    (path / "in" / f"{name}.csv").write_text("\n".join([",".join(COLUMNS), *(",".join(map(str, r)) for r in rows)]) + "\n")
+    run_bronze(spark, raw)
+
+
+def held(spark, home):
+    rows = read_table(spark, home[2].table).select(*COLUMNS).collect()
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+def rebuilt(spark, home):
+    path, raw, clean = home
+    whole = Silver(f"{clean.table}_whole", raw.table, str(path / "whole"), CONTRACT, schema=SCHEMA)
+    run_silver(spark, whole)
+    return sorted((tuple(r) for r in read_table(spark, whole.table).select(*COLUMNS).collect()), key=repr)
+
+
+def files(home):
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{home[0]}/clean/**/*.parquet", recursive=True) if "/clean/silver" in f}
+
+
+def test_batches_give_what_a_rebuild_gives(spark, home):
+    deliver(spark, home, "a", [(i, 1, i / 2, "") for i in range(40)])
+    run_silver(spark, home[2])
+    assert home[2].rewritten == list(range(BUCKETS)) and held(spark, home) == rebuilt(spark, home)
+    deliver(spark, home, "b", [(3, 2, "x", "late"), (3, 1, 7, "same"), (99, 1, 1, ""), ("", 1, 5, "")])
+    run_silver(spark, home[2])
+    assert 0 < len(home[2].rewritten) <= 3 and held(spark, home) == rebuilt(spark, home)
+    assert home[2].lost["convert_types"]["level"] == 1
+    deliver(spark, home, "c", [(3, 0, 8, "older"), ("", 2, 6, "n"), (3, 2, "x", "late")])
+    run_silver(spark, home[2])
+    assert held(spark, home) == rebuilt(spark, home)
+
+
+def test_only_buckets_of_new_keys_are_written(spark, home):
+    deliver(spark, home, "a", [(i, 1, 1, "") for i in range(200)])
+    run_silver(spark, home[2])
+    before = files(home)
+    deliver(spark, home, "b", [(17, 2, 2, "")])
+    run_silver(spark, home[2])
+    (bucket,) = home[2].rewritten
+    new = [f for f in files(home) if f not in before]
+    assert len(new) == 1 and f"silver_bucket={bucket}/" in new[0]
+    assert all(files(home)[f] == t for f, t in before.items())
+
+
+def test_a_repeated_run_changes_nothing(spark, home):
+    deliver(spark, home, "a", [(1, 1, 1, ""), (2, 1, 1, "")])
+    run_silver(spark, home[2])
+    before, rows = files(home), held(spark, home)
+    run_silver(spark, home[2])
+    assert home[2].rewritten == [] and files(home) == before and held(spark, home) == rows
+
+
+@pytest.mark.parametrize("lost_at", ["add_commit", "_point"])
+def test_a_lost_run_is_made_good(spark, home, monkeypatch, lost_at):
+    deliver(spark, home, "a", [(i, 1, 1, "") for i in range(20)])
+    run_silver(spark, home[2])
+    deliver(spark, home, "b", [(i, 2, 2, "") for i in range(0, 20, 5)])
+    real, calls = getattr(incremental, lost_at), []
+
+    def fails(*args):
+        calls.append(1)
+        # `_point` is called first to make sure of the last commit
+        if lost_at == "_point" and len(calls) == 1:
+            return real(*args)
+        raise OSError("lost")
+
+    monkeypatch.setattr(incremental, lost_at, fails)
+    with pytest.raises(OSError, match="lost"):
+        run_silver(spark, home[2])
+    monkeypatch.setattr(incremental, lost_at, real)
+    run_silver(spark, home[2])
+    assert held(spark, home) == rebuilt(spark, home)
+
+
+def test_the_table_comes_back_to_a_new_catalog(spark, home):
+    deliver(spark, home, "a", [(i, 1, 1, "") for i in range(20)])
+    run_silver(spark, home[2])
+    rows = held(spark, home)
+    spark.sql(f"DROP TABLE {home[2].table}")
+    run_silver(spark, home[2])
+    assert held(spark, home) == rows
+
+
+def test_without_an_order_the_earlier_batch_stays(spark, home):
+    clean = home[2]
+    clean.contract = CONTRACT | {"remove_duplicates": {"subset_cols": ["id"]}}
+    deliver(spark, home, "a", [(1, 1, 1, "first")])
+    run_silver(spark, clean)
+    deliver(spark, home, "b", [(1, 2, 2, "second"), (2, 1, 1, "")])
+    run_silver(spark, clean)
+    assert held(spark, home) == [(1, "1", 1.0, "first"), (2, "1", 1.0, "none")]
+
+
+def test_rows_dropped_after_the_deduplication_stay_dropped(spark, home):
+    clean = home[2]
+    clean.steps = ("remove_duplicates", "remove_nulls")
+    clean.contract = {"remove_duplicates": {"subset_cols": ["id"], "order_by": ["version desc"]}, "remove_nulls": {"subset_cols": ["level"]}}
+    deliver(spark, home, "a", [(1, 2, "", "a")])
+    run_silver(spark, clean)
+    assert held(spark, home) == []
+    deliver(spark, home, "b", [(1, 1, 5, "b")])
+    run_silver(spark, clean)
+    assert held(spark, home) == []  # the newer version is known to be without a level
+
+
+def test_whole_rows_as_keys(spark, home):
+    clean = home[2]
+    clean.contract = CONTRACT | {"remove_duplicates": {"subset_cols": None}}
+    deliver(spark, home, "a", [(1, 1, 1, "x"), (1, 1, 1, "x")])
+    run_silver(spark, clean)
+    deliver(spark, home, "b", [(1, 1, 1, "x"), (1, 1, 1, "y")])
+    run_silver(spark, clean)
+    assert held(spark, home) == [(1, "1", 1.0, "x"), (1, "1", 1.0, "y")]
+
+
+def test_what_cannot_be_kept_by_batch(spark, home):
+    clean = home[2]
+    deliver(spark, home, "a", [(1, 1, 1, "")])
+    for change, said in [
+        ({"contract": CONTRACT | {"null_handling": {"level": "mean"}}}, "mean"),
+        ({"steps": ("convert_types",)}, "remove_duplicates"),
+        ({"steps": ("remove_duplicates", "lemmatize")}, "one row at a time"),
+        ({"partitions": ["note"]}, "buckets"),
+        ({"buckets": 0}, "at least"),
+    ]:
+        job = Silver(**{n: getattr(clean, n) for n in ("table", "source", "location", "contract", "steps", "schema", "buckets")} | change)
+        with pytest.raises(ValueError, match=said):
+            run_silver(spark, job)
+    run_silver(spark, clean)
+    clean.buckets = 9
+    with pytest.raises(ValueError, match="another contract"):
+        run_silver(spark, clean)
