@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ from terrace.operators.features import (
     join_features,
     time_window_aggregates,
 )
+from terrace.operators.as_of import join_as_of
 from terrace.operators.lemmas import lemmatize
+from terrace.operators.tiles import features_from_tiles, read_tiles, write_tiles
 from terrace.scratch import scratch_path
 
 _CLEAN_ORDERS = """
@@ -236,6 +239,59 @@ def gold_feature_table(spark: SparkSession, sf: str) -> DataFrame:
     return joined.withColumns({c: F.col(c).cast("double") for c in ("amount_sum_7d", "price_sum")})
 
 
+@query(
+    """
+    WITH e AS (SELECT *, make_timestamp(epoch_us(TIMESTAMP '1995-01-01')
+                      + 80 * (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01'))) AS moment FROM events),
+         o AS (SELECT o_custkey AS user_id, o_orderdate, max(o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus,
+                      arg_max(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY o_custkey, o_orderdate)
+    SELECT event_id, e.user_id, event_type, value, props, ts, moment, o_orderkey, o_orderstatus, o_totalprice
+    FROM e ASOF LEFT JOIN o ON e.user_id = o.user_id AND e.moment >= o.o_orderdate
+    """
+)
+def gold_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Each event with its user's last order as of then, a month of events being spread over the years of orders."""
+    moment = F.expr("TIMESTAMP_NTZ'1995-01-01 00:00:00' + 80 * (ts - TIMESTAMP_NTZ'2024-01-01 00:00:00')")
+    events = table(spark, sf, "events").withColumn("moment", moment)
+    orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", "user_id")
+    values = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    return join_as_of(events, orders, ["user_id"], "moment", "o_orderdate", values, ties=["o_orderkey"], slice_hours=24 * 90)
+
+
+_INSTANTS = ["2024-01-10 12:00:00", "2024-01-20 00:00:00", "2024-01-30 18:30:00"]
+
+
+def _tiles_sql(as_of: str) -> str:
+    features = []
+    for n in (1, 7):
+        inside = f"ts > TIMESTAMP '{as_of}' - INTERVAL {n} DAY AND ts <= TIMESTAMP '{as_of}'"
+        features.append(f"count(*) FILTER ({inside}) AS rows_{n}d, count(amount) FILTER ({inside}) AS amount_count_{n}d")
+        features += [f"CAST({a}(amount) FILTER ({inside}) AS DOUBLE) AS amount_{a}_{n}d" for a in ("sum", "min", "max")]
+        features.append(f"avg(event_id) FILTER ({inside}) AS event_id_avg_{n}d")
+    return f"""SELECT '{as_of}' AS as_of, user_id, {", ".join(features)} FROM amounts
+               WHERE ts > TIMESTAMP '{as_of}' - INTERVAL 7 DAY AND ts <= TIMESTAMP '{as_of}' GROUP BY user_id"""
+
+
+@query(
+    "WITH amounts AS (SELECT *, CAST(value AS DECIMAL(12, 2)) AS amount FROM events) " + " UNION ALL ".join(map(_tiles_sql, _INSTANTS))
+)
+def gold_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Features as of three instants from one table of tiles, whose last days were written after, and again."""
+    events = table(spark, sf, "events").withColumn("amount", F.col("value").cast("decimal(12,2)"))
+    columns = {"amount": ["count", "sum", "min", "max"], "event_id": ["avg"]}
+    name, place = new_table("tiles"), scratch_path(spark, "tiles")
+    for days in ("ts < '2024-01-16'", "ts >= '2024-01-14'"):
+        write_tiles(events.where(days), name, place, ["user_id"], "ts", columns)
+    tiles = read_tiles(spark, name)
+    parts = []
+    for as_of in _INSTANTS:
+        features = features_from_tiles(tiles, events, ["user_id"], "ts", as_of, [1, 7], columns)
+        parts.append(features.withColumn("as_of", F.lit(as_of)))
+    whole = reduce(DataFrame.unionByName, parts)
+    exact = [c for c in whole.columns if c.startswith("amount_") and "count" not in c]
+    return whole.withColumns({c: F.col(c).cast("double") for c in exact})
+
+
 @query(
     """
     WITH words AS (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS token,
