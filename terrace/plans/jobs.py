@@ -16,6 +16,7 @@ from terrace.plans.cleaning import BUILT_IN, clean
 from terrace.plans.incremental import clean_new_batches
 from terrace.scratch import scratch_removed
 from terrace.sources import overwrite_table, read_new_files, read_table, register
+from terrace.sources.files import passed_over
 from terrace.sources.tables import VERSIONED
 from terrace.streaming import BATCH, append_new
 
@@ -32,7 +33,11 @@ def _schema(schema: StructType | Mapping[str, Any] | str) -> StructType:
 
 @dataclass
 class Bronze:
-    """New files of one kind into one raw table. ``rows_read`` is there after a run."""
+    """New files of one kind into one raw table. ``rows_read`` is there after a run.
+
+    With an ``archive``, or a ``max_file_age`` among the reader's options, ``passed_over`` counts the files that were left
+    behind unread for good (``terrace.sources.files.passed_over`` names them).
+    """
 
     table: str
     source: str
@@ -45,6 +50,7 @@ class Bronze:
     archive: str | None = None
     reader: Mapping[str, Any] = field(default_factory=dict)
     rows_read: int | None = field(default=None, init=False)
+    passed_over: int | None = field(default=None, init=False)
 
 
 @dataclass
@@ -100,6 +106,9 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
         ingest_date=INGEST_DATE,
         tasks_per_file=job.tasks_per_file,
     )
+    if job.archive or job.reader.get("max_file_age"):
+        kept = {n: job.reader[n] for n in ("max_file_age", "recursive") if n in job.reader}
+        job.passed_over = passed_over(spark, job.source, f"{home}/_checkpoint", **kept).count()
     batch = [] if job.table_format.lower() in VERSIONED else [BATCH]
     levels = [INGEST_DATE, *batch, *job.partitions]
     fields = {f.name: f for f in [*schema.fields, *(StructField(n, StringType()) for n in (INGEST_DATE, *batch))]}

@@ -7,12 +7,15 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
 from terrace.functions import split_by_position
 
 
+# Old enough for any file; what Spark takes for the age of files to pass over.
+AGE = "36500d"
 # The options that mean something for a built-in file type.
 USED = {
     "csv": ("delimiter", "header", "multiline"),
@@ -101,10 +104,10 @@ def read_new_files(
     An option that the file type has no use for is an error.
 
     Which files are new is the business of the checkpoint the stream is written with. Spark passes
-    over files older than ``max_file_age`` before the newest one. It is set so long that no late file
-    is lost, at the price that the driver remembers every file; with ``archive``, a directory outside
-    ``path``, files are moved there once read, so that neither the listing nor the memory grows, and
-    the age is a week unless given: a file dated more than that before the newest one is passed over then.
+    over files older than ``max_file_age`` before the newest one. Unless given, it is so long that no late file
+    is lost, at the price that the driver remembers the name of every file; ``passed_over`` tells what a shorter
+    one leaves behind. With ``archive``, a directory outside ``path``, files are moved there once read, so that the
+    listing does not grow.
     ``max_files_per_trigger`` and ``max_bytes_per_trigger`` cut a large backlog into
     batches that are committed one by one.
     """
@@ -113,7 +116,7 @@ def read_new_files(
     given = dict(delimiter=delimiter, delimiter_is_regex=delimiter_is_regex, header=header, multiline=multiline)
     options = FileOptions.given(file_type, given, extra or {})
     settings = {
-        "maxFileAge": max_file_age or ("7d" if archive else "36500d"),
+        "maxFileAge": max_file_age or AGE,
         "cleanSource": "archive" if archive else None,
         "sourceArchiveDir": archive,
         "recursiveFileLookup": str(recursive).lower() if recursive else None,
@@ -123,3 +126,28 @@ def read_new_files(
     }
     reader = spark.readStream.options(**{k: v for k, v in settings.items() if v is not None})
     return SOURCES[file_type](reader, path, schema, options)
+
+
+def passed_over(
+    spark: SparkSession, path: str, checkpoint: str, *, max_file_age: str | None = None, recursive: bool = False
+) -> DataFrame:
+    """``file`` and ``modified`` of the files under ``path`` that no run with this checkpoint has read or will read.
+
+    These are files that were changed, or put there again under the same name, after they were read, and files older
+    than ``max_file_age`` before the newest one read. Files that wait for the next run are not among them. Listing and
+    log are compared as tables.
+    """
+    given = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
+    # file:///a and file:/a are one file.
+    plain = lambda c: F.regexp_replace(c, r"^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/").alias("file")
+    here = given.select(
+        plain("_metadata.file_path"), F.unix_millis("_metadata.file_modification_time").alias("at")
+    )
+    log = spark.read.text(f"{checkpoint.rstrip('/')}/sources/0").where("value LIKE '{%'")
+    read = log.select(F.from_json("value", "path string, timestamp long").alias("f"))
+    read = read.groupBy(plain("f.path")).agg(F.max("f.timestamp").alias("read_at"))
+    age = spark._jvm.org.apache.spark.network.util.JavaUtils.timeStringAsSec(max_file_age or AGE) * 1000
+    oldest = read.agg((F.max("read_at") - F.lit(age)).alias("oldest")).select("oldest").scalar()
+    left = here.join(read, "file", "left").withColumn("oldest", oldest)
+    lost = (F.col("read_at") != F.col("at")) | (F.col("read_at").isNull() & (F.col("at") < F.col("oldest")))
+    return left.where(lost).select("file", F.timestamp_millis("at").alias("modified"))

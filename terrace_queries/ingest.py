@@ -203,6 +203,25 @@ def ingest_recursive(spark: SparkSession, sf: str) -> DataFrame:
     return ingest(spark, "csv", source, CUSTOMERS, reader={"recursive": True, "max_files_per_trigger": 10})
 
 
+@query(f"SELECT {ORDERS_AS_TEXT}, {_SOME_NULL}, 0 AS passed_over FROM orders")
+def ingest_archived(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that are moved away once read; later ones carry dates of years before."""
+    source, schema = scratch_path(spark, "orders-csv"), schema_of(*ORDERS)
+    job = Bronze(new_table("raw"), source, scratch_path(spark, "raw"), schema, archive=scratch_path(spark, "archive"))
+    orders = orders_text(spark, sf)
+    place = spark._jvm.org.apache.hadoop.fs.Path(source)
+    files, known = place.getFileSystem(spark._jsc.hadoopConfiguration()), set()
+    for part in range(3):
+        orders.where(f"o_orderkey % 3 = {part}").write.mode("append").csv(source, header=True)
+        for f in files.listStatus(place):
+            if f.getPath().getName() not in known:
+                known.add(f.getPath().getName())
+                files.setTimes(f.getPath(), f.getModificationTime() - part * 400 * 86_400_000, -1)
+        run_bronze(spark, job)
+        run_bronze(spark, job)  # once more, without new files
+    return read_table(spark, job.table, schema).withColumn("passed_over", F.lit(job.passed_over))
+
+
 @query("SELECT * FROM lineitem")
 def ingest_registered_source(spark: SparkSession, sf: str) -> DataFrame:
     """A file type added by the user: Parquet, with its own types."""

@@ -261,6 +261,36 @@ def test_files_are_archived_once_read(spark, tmp_path):
     assert len(list(source.glob("*.csv"))) < 3 and list(archive.rglob("*.csv"))
 
 
+@pytest.mark.parametrize("age, rows, left", [(None, ["0", "1", "2"], 0), ("7d", ["0", "1"], 1)])
+def test_late_files_are_read_or_counted(spark, tmp_path, database, age, rows, left):
+    source = tmp_path / "in here"
+    source.mkdir()
+    schema = schema_from_dict({"columns": [{"name": "a"}]})
+    reader = {"max_file_age": age} if age else {}
+    job = Bronze(f"{database}.t", str(source), str(tmp_path / "out"), schema, archive=str(tmp_path / "old"), reader=reader)
+    for name, days in (("0", 0), ("1", 3), ("2", 30)):
+        (source / f"{name}+.csv").write_text(f"a\n{name}\n")
+        then = os.path.getmtime(source / f"{name}+.csv") - days * 86400
+        os.utime(source / f"{name}+.csv", (then, then))
+        run_bronze(spark, job)
+    assert sorted(r["a"] for r in read_table(spark, job.table).collect()) == rows
+    assert job.passed_over == left and job.rows_read == (1 if age is None else 0)
+
+
+def test_a_file_changed_after_it_was_read_is_counted(spark, tmp_path, database):
+    source = tmp_path / "in"
+    source.mkdir()
+    schema = schema_from_dict({"columns": [{"name": "a"}]})
+    job = Bronze(f"{database}.t", str(source), str(tmp_path / "out"), schema, reader={"max_file_age": "7d"})
+    (source / "a.csv").write_text("a\n1\n")
+    run_bronze(spark, job)
+    assert job.passed_over == 0
+    (source / "a.csv").write_text("a\n2\n")
+    os.utime(source / "a.csv", (os.path.getmtime(source / "a.csv") + 5,) * 2)
+    run_bronze(spark, job)
+    assert (job.rows_read, job.passed_over) == (0, 1)
+
+
 def test_a_batch_written_again_replaces_itself_and_any_reader_sees_the_table(spark, tmp_path, database):
     from terrace.streaming.append import write_batch
 
