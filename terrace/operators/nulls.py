@@ -16,6 +16,7 @@ from pyspark.sql.types import DataType, DecimalType, IntegralType, NumericType,
 from terrace.contract import fill_rule
 from terrace.functions import column, unused_name, without_nan
 from terrace.operators.base import HasRules, require_columns, require_dataframe
+from terrace.operators.batch_statistics import fills_from
 from terrace.operators.median import exact_medians
 
 ON_EMPTY = ("fail", "keep")
@@ -89,7 +90,8 @@ class HandleNulls(HasRules, Estimator, DefaultParamsReadable, DefaultParamsWrita
     (deduplication) runs once for both the statistics and the rows.
 
     The median is approximate (rank error 1/``accuracy``) unless ``exact_median``. A column with
-    nothing but nulls fails, or stays as it is with ``on_empty="keep"``.
+    nothing but nulls fails, or stays as it is with ``on_empty="keep"``. With ``statistics``, where ``run_bronze`` keeps
+    those of its batches, means and medians are those of all rows ingested, and the table is not read for them.
     """
 
     section_name = "null_handling"
@@ -97,6 +99,7 @@ class HandleNulls(HasRules, Estimator, DefaultParamsReadable, DefaultParamsWrita
     exactMedian: Param = Param(Params._dummy(), "exactMedian", "take the exact median, in several passes")
     accuracy: Param = Param(Params._dummy(), "accuracy", "the approximate median is off by 1/accuracy in rank at most")
     onEmpty: Param = Param(Params._dummy(), "onEmpty", "fail or keep: what to do where there is nothing to learn")
+    statistics: Param = Param(Params._dummy(), "statistics", "where the statistics of the batches ingested are, if anywhere")
 
     def __init__(
         self,
@@ -105,11 +108,14 @@ class HandleNulls(HasRules, Estimator, DefaultParamsReadable, DefaultParamsWrita
         exact_median: bool = False,
         accuracy: int = ACCURACY,
         on_empty: str = "fail",
+        statistics: str | None = None,
     ):
         super().__init__(contract, on_error)
+        if statistics and exact_median:
+            raise ValueError("the statistics of batches give no exact median")
         if on_empty not in ON_EMPTY:
             raise ValueError(f"on_empty must be fail or keep, not '{on_empty}'")
-        self._set(exactMedian=exact_median, accuracy=accuracy, onEmpty=on_empty)
+        self._set(exactMedian=exact_median, accuracy=accuracy, onEmpty=on_empty, statistics=statistics or "")
 
     def _split(self, df: DataFrame) -> tuple[dict[str, str], dict[str, Any]]:
         """The columns to learn, with their kind, and the constants; both checked against the table."""
@@ -118,7 +124,7 @@ class HandleNulls(HasRules, Estimator, DefaultParamsReadable, DefaultParamsWrita
         require_columns(df, rules)
         learned = {n: kind for n, (kind, _) in rules.items() if kind != "constant"}
         constants = {n: c for n, (kind, c) in rules.items() if kind == "constant"}
-        if learned and df.isStreaming:
+        if learned and df.isStreaming and not self.getOrDefault("statistics"):
             raise ValueError("means and medians are learnt from a table, not a stream: fit first, then use the model")
         for n, kind in learned.items():
             _values(n, kind, df.schema[n].dataType)
@@ -148,6 +154,10 @@ class HandleNulls(HasRules, Estimator, DefaultParamsReadable, DefaultParamsWrita
 
     def _fit(self, dataset: DataFrame) -> HandleNullsModel:
         learned, constants = self._split(dataset)
+        if place := self.getOrDefault("statistics"):
+            types = {n: dataset.schema[n].dataType for n in learned}
+            values = fills_from(dataset.sparkSession, place, learned, types) if learned else {}
+            return HandleNullsModel(self._checked(values), constants)
         values = self._exact(dataset, learned)
         if one_pass := {n: k for n, k in learned.items() if n not in values}:
             row = self._row(dataset, one_pass)
@@ -163,6 +173,8 @@ class HandleNulls(HasRules, Estimator, DefaultParamsReadable, DefaultParamsWrita
 
     def fill_in_one_plan(self, df: DataFrame) -> DataFrame:
         """Fill from a scalar sub-query over the same table; nothing runs until the result is used."""
+        if self.getOrDefault("statistics"):
+            return self._fit(df).transform(df)
         learned, constants = self._split(df)
         exact = self._exact(df, learned)
         fills = {n: F.lit(c) for n, c in constants.items()}

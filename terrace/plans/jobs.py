@@ -7,10 +7,11 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import yaml
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from terrace.contract import load_contract, load_schema, schema_from_dict, validate_contract
+from terrace.operators.batch_statistics import write_statistics
 from terrace.operators.features import Strategy, build_features, join_features, strategy
 from terrace.plans.cleaning import BUILT_IN, clean
 from terrace.plans.incremental import clean_new_batches
@@ -37,6 +38,9 @@ class Bronze:
 
     With an ``archive``, or a ``max_file_age`` among the reader's options, ``passed_over`` counts the files that were left
     behind unread for good (``terrace.sources.files.passed_over`` names them).
+
+    ``statistics`` is a cleaning contract: what its means and medians need is kept, batch by batch, in the directory
+    ``statistics`` beside the data, where the step ``null_handling`` takes it from with its option of that name.
     """
 
     table: str
@@ -48,6 +52,7 @@ class Bronze:
     table_format: str = "parquet"
     tasks_per_file: int | None = 16
     archive: str | None = None
+    statistics: Mapping[str, Any] | str | None = None
     reader: Mapping[str, Any] = field(default_factory=dict)
     rows_read: int | None = field(default=None, init=False)
     passed_over: int | None = field(default=None, init=False)
@@ -97,6 +102,11 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
     schema = _schema(job.schema)
     home = f"{job.base_path.rstrip('/')}/{job.table.rpartition('.')[2]}"
     stream = read_new_files(spark, job.file_type, job.source, schema, archive=job.archive, **job.reader)
+    told = load_contract(job.statistics) if isinstance(job.statistics, str) else job.statistics
+
+    def keep_statistics(rows: DataFrame, batch: int) -> None:
+        write_statistics(rows, batch, f"{home}/statistics", told)
+
     job.rows_read = append_new(
         stream,
         f"{home}/data",
@@ -105,6 +115,7 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
         table_format=job.table_format,
         ingest_date=INGEST_DATE,
         tasks_per_file=job.tasks_per_file,
+        also=keep_statistics if told else None,
     )
     if job.archive or job.reader.get("max_file_age"):
         kept = {n: job.reader[n] for n in ("max_file_age", "recursive") if n in job.reader}

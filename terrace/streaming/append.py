@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +64,7 @@ def append_new(
     table_format: str = "parquet",
     ingest_date: str | None = "ingest_date",
     tasks_per_file: int | None = None,
+    also: Callable[[DataFrame, int], None] | None = None,
 ) -> int:
     """Append the stream's new rows to the files at ``location`` and give back how many were read.
 
@@ -76,6 +77,9 @@ def append_new(
     Without ``tasks_per_file`` nothing is shuffled, and every task that reads writes a file for each
     partition value it meets. With many values that makes many small files; then the rows of a value
     that this many tasks read go to one file.
+
+    ``also`` is called with each batch's rows and number once they are written, and again when a batch is replayed: what
+    it writes must replace what it wrote before. It reads the batch's files again.
     """
     if checkpoint.rstrip("/") == location.rstrip("/") or checkpoint.startswith(location.rstrip("/") + "/"):
         raise ValueError("the checkpoint must lie outside the table's directory")
@@ -96,6 +100,8 @@ def append_new(
 
     def write(rows: DataFrame, batch: int) -> None:
         write_batch(rows, batch, location, levels, table_format, checkpoint)
+        if also:
+            also(rows, batch)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _run(writer.trigger(availableNow=True))

@@ -160,6 +160,42 @@ def silver_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return cleaned.withColumns({n: F.col(n).cast("string") for n in ("o_totalprice", "o_orderdate")})
 
 
+@query(
+    """
+    WITH d AS (SELECT event_id, user_id, CASE WHEN event_id % 5 <> 0 THEN CAST(value AS DECIMAL(12, 2)) END AS value FROM events)
+    SELECT event_id, user_id, CAST(coalesce(value, (SELECT CAST(avg(value) AS DECIMAL(12, 2)) FROM d)) AS DOUBLE) AS value,
+           event_id % 4 = 0 AS missing, true AS near_the_median
+    FROM d
+    """
+)
+def fill_from_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """A mean and a median of three batches, from their sums and sketches; the median is a percent off in rank at most."""
+    source = scratch_path(spark, "events-csv")
+    events = table(spark, sf, "events").selectExpr(
+        "event_id", "user_id", "CASE WHEN event_id % 5 <> 0 THEN CAST(value AS DECIMAL(12, 2)) END AS value",
+        "CASE WHEN event_id % 4 <> 0 THEN value END AS amount",
+    )
+    contract = {
+        "convert_types": {"event_id": "bigint", "user_id": "bigint", "value": "decimal(12,2)", "amount": "double"},
+        "null_handling": {"value": "mean", "amount": "median"},
+    }
+    raw = Bronze(new_table("raw"), source, scratch_path(spark, "raw"), schema_of(*events.columns), statistics=contract)
+    for part in range(3):
+        events.where(f"event_id % 3 = {part}").write.mode("append").csv(source, header=True)
+        run_bronze(spark, raw)
+    kept = f"{raw.base_path}/{raw.table.rpartition('.')[2]}/statistics"
+    options = {"null_handling": {"statistics": kept}}
+    silver = Silver(new_table("clean"), raw.table, scratch_path(spark, "clean"), contract, list(contract), raw.schema, options)
+    cleaned = read_table(spark, run_silver(spark, silver))
+    filled = F.when(F.col("event_id") % 4 == 0, F.col("amount"))
+    known = cleaned.where("event_id % 4 <> 0").withColumn("median", cleaned.agg(F.max(filled).alias("m")).select("m").scalar())
+    share = known.agg(F.avg((F.col("amount") < F.col("median")).cast("double")).alias("share")).select("share").scalar()
+    return cleaned.select(
+        "event_id", "user_id", F.col("value").cast("double").alias("value"), (F.col("event_id") % 4 == 0).alias("missing"),
+        share.between(0.49, 0.51).alias("near_the_median"),
+    )
+
+
 _PRICE = "CAST(o_totalprice AS DECIMAL(14, 2))"
 
 
