@@ -26,14 +26,19 @@ def _gather(stream: DataFrame, partitions: Sequence[str], tasks: int) -> DataFra
     return grouped.repartition(*[column(p) for p in partitions], column(group)).drop(group)
 
 
-def _run(writer: DataStreamWriter) -> int:
+def _run(writer: DataStreamWriter, late: dict[str, int] | None) -> int:
     query: StreamingQuery = writer.start()
     rows: dict[int, int] = {}
+    dropped: dict[int, int] = {}
     finished = False
     while not finished:
         # Spark keeps the last progress reports only, hence the look in between.
         finished = query.awaitTermination(1)
-        rows.update({p["batchId"]: p["numInputRows"] for p in query.recentProgress})
+        for p in query.recentProgress:
+            rows[p["batchId"]] = p["numInputRows"]
+            dropped[p["batchId"]] = sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"])
+    if late is not None:
+        late["rows"] = sum(dropped.values())
     return sum(rows.values())
 
 
@@ -65,6 +70,7 @@ def append_new(
     ingest_date: str | None = "ingest_date",
     tasks_per_file: int | None = None,
     also: Callable[[DataFrame, int], None] | None = None,
+    late: dict[str, int] | None = None,
 ) -> int:
     """Append the stream's new rows to the files at ``location`` and give back how many were read.
 
@@ -79,7 +85,8 @@ def append_new(
     that this many tasks read go to one file.
 
     ``also`` is called with each batch's rows and number once they are written, and again when a batch is replayed: what
-    it writes must replace what it wrote before. It reads the batch's files again.
+    it writes must replace what it wrote before. It reads the batch's files again. ``late`` is given, as ``rows``, how
+    many rows a step that remembers (``remove_duplicates`` on a stream) has dropped as too late.
     """
     if checkpoint.rstrip("/") == location.rstrip("/") or checkpoint.startswith(location.rstrip("/") + "/"):
         raise ValueError("the checkpoint must lie outside the table's directory")
@@ -104,4 +111,4 @@ def append_new(
             also(rows, batch)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _run(writer.trigger(availableNow=True))
+    return _run(writer.trigger(availableNow=True), late)

@@ -314,3 +314,24 @@ def clean_on_stream(spark: SparkSession, sf: str) -> DataFrame:
     append_new(stream, f"{home}/data", f"{home}/_checkpoint", ingest_date=None)
     cleaned = spark.read.parquet(f"{home}/data").select(*raw.columns)
     return cleaned.withColumn("value", F.col("value").cast("double"))
+
+
+@query("SELECT event_id, user_id, event_type, CAST(value AS DOUBLE) AS value, ts, 0 AS late FROM events")
+def dedup_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as they come in three deliveries that overlap, some twice in one, deduplicated on the way in."""
+    source, home = scratch_path(spark, "events-json"), scratch_path(spark, "streamed")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", F.col("ts").cast("string").alias("ts"))
+    contract = {
+        "convert_types": {"event_id": "bigint", "user_id": "bigint", "value": "double", "ts": "timestamp_ntz"},
+        "remove_duplicates": {"subset_cols": ["event_id"]},
+    }
+    options = {"remove_duplicates": {"time": "ts", "within": "15 days"}}
+    model = build_pipeline(list(contract), contract, options).fit(events)
+    late = {}
+    for first, last in ((1, 12), (10, 22), (20, 30)):
+        part = events.where(F.dayofmonth(F.col("ts").cast("timestamp_ntz")).between(first, last))
+        part.unionAll(part.where("event_id % 3 = 0")).write.mode("append").json(source)
+        stream = model.transform(read_new_files(spark, "json", source, schema_of(*events.columns)))
+        append_new(stream, f"{home}/data", f"{home}/_checkpoint", ingest_date=None, late=late)
+    stored = spark.read.parquet(f"{home}/data").select(*events.columns)
+    return stored.withColumn("late", F.lit(late["rows"]))

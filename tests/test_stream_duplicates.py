@@ -1,0 +1,107 @@
+"""Duplicates on streams: what is remembered, and for how long."""
+
+import json
+from datetime import datetime, timedelta
+
+import pytest
+
+from terrace import append_new, build_pipeline, read_new_files, schema_from_dict
+
+SCHEMA = schema_from_dict({"columns": [{"name": n} for n in ("id", "at", "note")]})
+START = datetime(2024, 5, 1)
+
+
+class Feed:
+    """Files of rows ``(id, hours since the start, note)``, each delivery one run."""
+
+    def __init__(self, spark, home, keys=("id",), kind="timestamp_ntz", within="1 day"):
+        self.spark, self.home = spark, home
+        (home / "in").mkdir()
+        contract = {"convert_types": {"at": kind}, "remove_duplicates": {"subset_cols": list(keys)}}
+        options = {"remove_duplicates": {"time": "at", "within": within}}
+        self.model = build_pipeline(list(contract), contract, options).fit(spark.createDataFrame([], SCHEMA))
+        self.late, self.files = {}, 0
+
+    def deliver(self, *rows):
+        lines = [json.dumps({"id": i, "at": h if h is None else str(START + timedelta(hours=h)), "note": n}) for i, h, n in rows]
+        (self.home / "in" / f"{self.files}.json").write_text("\n".join(lines) + "\n")
+        self.files += 1
+        stream = self.model.transform(read_new_files(self.spark, "json", str(self.home / "in"), SCHEMA))
+        append_new(stream, f"{self.home}/d", f"{self.home}/c", ingest_date=None, late=self.late)
+
+    def held(self):
+        rows = self.spark.read.parquet(f"{self.home}/d").select("id", "note").collect()
+        return {tuple(r) for r in rows} if len({tuple(r) for r in rows}) == len(rows) else rows
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_duplicates_within_and_across_deliveries(spark, tmp_path, kind):
+    feed = Feed(spark, tmp_path, kind=kind)
+    feed.deliver(("1", 0, "a"), ("1", 0, "a"), ("2", 1, "b"), (None, 1, "n"))
+    feed.deliver(("2", 2, "later"), ("3", 2, "c"), (None, 2, "later"))
+    feed.deliver(("1", 0, "again"))
+    assert feed.held() == {("1", "a"), ("2", "b"), ("3", "c"), (None, "n")}
+    assert feed.late == {"rows": 0}
+
+
+def test_a_key_is_forgotten_and_a_late_row_is_dropped_and_counted(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.deliver(("1", 0, "a"))
+    feed.deliver(("2", 100, "b"))
+    feed.deliver(("1", 101, "a key that is new again"))
+    assert feed.held() == {("1", "a"), ("1", "a key that is new again"), ("2", "b")}
+    feed.deliver(("1", 1, "a duplicate, late"), ("9", 2, "no duplicate, late"), ("8", 99, "in time"))
+    assert feed.held() == {("1", "a"), ("1", "a key that is new again"), ("2", "b"), ("8", "in time")}
+    assert feed.late == {"rows": 2}
+
+
+def test_what_is_remembered_does_not_grow(spark, tmp_path, monkeypatch):
+    from terrace.streaming import append
+
+    kept = []
+    real = append._run
+
+    def watched(writer, late):
+        start = writer.start
+        queries = []
+        writer.start = lambda *a: queries.append(start(*a)) or queries[0]
+        rows = real(writer, late)
+        kept.append(queries[0].lastProgress["stateOperators"][0]["numRowsTotal"])
+        return rows
+
+    monkeypatch.setattr(append, "_run", watched)
+    feed = Feed(spark, tmp_path)
+    for day in range(0, 12, 3):
+        feed.deliver(*[(f"{day}-{i}", 24 * day, "x") for i in range(20)])
+    assert len(feed.held()) == 80 and max(kept) <= 40
+
+
+def test_rows_without_a_time_are_let_through(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.deliver(("1", None, "a"), ("1", None, "b"), ("1", 0, "c"))
+    feed.deliver(("1", None, "d"), ("2", 0, "e"))
+    assert feed.held() == {("1", "a"), ("1", "b"), ("1", "c"), ("1", "d"), ("2", "e")}
+
+
+def test_whole_rows(spark, tmp_path):
+    feed = Feed(spark, tmp_path, keys=())
+    feed.deliver(("1", 0, "a"), ("1", 0, "a"), ("1", 0, "b"))
+    feed.deliver(("1", 0, "a"))
+    assert feed.held() == {("1", "a"), ("1", "b")}
+
+
+def test_what_a_stream_must_be_told(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = read_new_files(spark, "json", str(tmp_path / "in"), SCHEMA)
+    rules = {"remove_duplicates": {"subset_cols": ["id"]}}
+    step = lambda contract, **o: build_pipeline(["remove_duplicates"], contract, {"remove_duplicates": o}).getStages()[0]
+    with pytest.raises(ValueError, match="remember"):
+        step(rules).transform(stream)
+    with pytest.raises(ValueError, match="both"):
+        step(rules, time="at")
+    with pytest.raises(ValueError, match="convert it"):
+        step(rules, time="at", within="1 day").transform(stream)
+    with pytest.raises(ValueError, match="order_by"):
+        step({"remove_duplicates": {"subset_cols": ["id"], "order_by": ["at"]}}, time="at", within="1 day").transform(stream)
+    table = spark.createDataFrame([("1", "x", "y"), ("1", "x", "z")], SCHEMA)
+    assert step(rules, time="at", within="1 day").transform(table).count() == 1
