@@ -31,8 +31,17 @@ def delimiter_pattern(delimiter: str, is_regex: bool = False) -> str:
 
 
 def split_by_position(
-    df: DataFrame, names: Sequence[str], delimiter: str, is_regex: bool = False, value: str = "value"
+    df: DataFrame,
+    names: Sequence[str],
+    delimiter: str,
+    is_regex: bool = False,
+    value: str = "value",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Split ``value`` and name piece i by the i-th name: missing pieces are null, extra ones dropped."""
-    pieces = df.select(F.split(column(value), delimiter_pattern(delimiter, is_regex)).alias("pieces"))
-    return pieces.select(*[F.get("pieces", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    """Split ``value`` and name piece i by the i-th name: missing pieces are null, extra ones dropped.
+
+    Of other columns only those to ``keep`` stay.
+    """
+    kept = [column(n) for n in keep]
+    pieces = df.select(F.split(column(value), delimiter_pattern(delimiter, is_regex)).alias("pieces"), *kept)
+    return pieces.select(*[F.get("pieces", F.lit(i)).alias(n) for i, n in enumerate(names)], *kept)

@@ -39,6 +39,9 @@ class Bronze:
     With an ``archive``, or a ``max_file_age`` among the reader's options, ``passed_over`` counts the files that were left
     behind unread for good (``terrace.sources.files.passed_over`` names them).
 
+    With ``quarantine``, records that do not fit the schema are rows of another table, named ``.._rejected``, with their
+    ``file``, ``text`` and ``reason``, instead of rows of nulls in this one.
+
     ``statistics`` is a cleaning contract: what its means and medians need is kept, batch by batch, in the directory
     ``statistics`` beside the data, where the step ``null_handling`` takes it from with its option of that name.
     """
@@ -52,6 +55,7 @@ class Bronze:
     table_format: str = "parquet"
     tasks_per_file: int | None = 16
     archive: str | None = None
+    quarantine: bool = False
     statistics: Mapping[str, Any] | str | None = None
     reader: Mapping[str, Any] = field(default_factory=dict)
     rows_read: int | None = field(default=None, init=False)
@@ -101,7 +105,7 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
     """
     schema = _schema(job.schema)
     home = f"{job.base_path.rstrip('/')}/{job.table.rpartition('.')[2]}"
-    stream = read_new_files(spark, job.file_type, job.source, schema, archive=job.archive, **job.reader)
+    stream = read_new_files(spark, job.file_type, job.source, schema, archive=job.archive, quarantine=job.quarantine, **job.reader)
     told = load_contract(job.statistics) if isinstance(job.statistics, str) else job.statistics
 
     def keep_statistics(rows: DataFrame, batch: int) -> None:
@@ -116,6 +120,7 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
         ingest_date=INGEST_DATE,
         tasks_per_file=job.tasks_per_file,
         also=keep_statistics if told else None,
+        quarantine=f"{home}/rejected" if job.quarantine else None,
     )
     if job.archive or job.reader.get("max_file_age"):
         kept = {n: job.reader[n] for n in ("max_file_age", "recursive") if n in job.reader}
@@ -124,6 +129,9 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
     levels = [INGEST_DATE, *batch, *job.partitions]
     fields = {f.name: f for f in [*schema.fields, *(StructField(n, StringType()) for n in (INGEST_DATE, *batch))]}
     ordered = StructType([fields[n] for n in fields if n not in levels] + [fields[n] for n in levels])
+    if job.quarantine:
+        told = StructType([StructField(n, StringType()) for n in ("file", "text", "reason", INGEST_DATE, *batch)])
+        register(spark, f"{job.table}_rejected", f"{home}/rejected", job.table_format, schema=told, partitions=[INGEST_DATE, *batch])
     data = f"{home}/data"
     return register(spark, job.table, data, job.table_format, schema=ordered, partitions=levels)
 

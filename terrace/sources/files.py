@@ -6,16 +6,20 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from terrace.functions import split_by_position
+from terrace.functions import column, delimiter_pattern, split_by_position
 
 
 # Old enough for any file; what Spark takes for the age of files to pass over.
 AGE = "36500d"
+# The column that tells where a record is from and why it could not be read; null for the others.
+REJECTED = "rejected"
+# What Spark's readers put the text of such a record into.
+_RAW = "rejected_record"
 # The options that mean something for a built-in file type.
 USED = {
     "csv": ("delimiter", "header", "multiline"),
@@ -33,15 +37,18 @@ class FileOptions:
     header: bool = True
     multiline: bool = False
     extra: Mapping[str, Any] = field(default_factory=dict)
+    quarantine: bool = False
 
     @classmethod
-    def given(cls, file_type: str, options: Mapping[str, Any], extra: Mapping[str, Any]) -> FileOptions:
+    def given(
+        cls, file_type: str, options: Mapping[str, Any], extra: Mapping[str, Any], quarantine: bool = False
+    ) -> FileOptions:
         """The options that are not None, which must be among those the file type uses."""
         told = {k: v for k, v in options.items() if v is not None}
         unused = sorted(set(told) - set(USED.get(file_type, told)))
         if unused:
             raise ValueError(f"{file_type} files have no use for: {', '.join(unused)}")
-        return cls(**told, extra=dict(extra))
+        return cls(**told, extra=dict(extra), quarantine=quarantine)
 
     def __post_init__(self) -> None:
         if not self.delimiter:
@@ -59,19 +66,40 @@ def _csv(reader: DataStreamReader, path: str, schema: StructType, options: FileO
 
     With ``multiline``, quoted fields may hold line breaks, and a file is one task's.
     """
-    return reader.schema(schema).csv(
-        path, sep=options.delimiter, header=options.header, nullValue="", multiLine=options.multiline
-    )
+    told = dict(sep=options.delimiter, header=options.header, nullValue="", multiLine=options.multiline)
+    if options.quarantine:
+        rows = _with_raw(reader, schema).csv(path, **told)
+        return _rejecting(rows, column(_RAW), F.lit(f"not {len(schema)} fields")).drop(_RAW)
+    return reader.schema(schema).csv(path, **told)
 
 
 def _json(reader: DataStreamReader, path: str, schema: StructType, options: FileOptions) -> DataFrame:
     """Columns bind by name; a missing key is null, a malformed record all null, a nested value its text."""
+    if options.quarantine:
+        rows = _with_raw(reader, schema).json(path, multiLine=options.multiline)
+        return _rejecting(rows, column(_RAW), F.lit("not a JSON object")).drop(_RAW)
     return reader.schema(schema).json(path, multiLine=options.multiline)
 
 
 def _text(reader: DataStreamReader, path: str, schema: StructType, options: FileOptions) -> DataFrame:
     """Lines split by position. A header line is data and an empty piece stays empty."""
-    return split_by_position(reader.text(path), schema.names, options.delimiter, options.delimiter_is_regex)
+    lines = reader.text(path)
+    if options.quarantine:
+        pieces, wanted = F.size(F.split("value", delimiter_pattern(options.delimiter, options.delimiter_is_regex))), len(schema)
+        reason = F.concat(pieces.cast("string"), F.lit(f" pieces, not {wanted}"))
+        told = _rejecting(lines, F.when(pieces != wanted, F.col("value")), reason)
+        return split_by_position(told, schema.names, options.delimiter, options.delimiter_is_regex, keep=[REJECTED])
+    return split_by_position(lines, schema.names, options.delimiter, options.delimiter_is_regex)
+
+
+def _with_raw(reader: DataStreamReader, schema: StructType) -> DataStreamReader:
+    return reader.schema(StructType([*schema, StructField(_RAW, StringType())])).option("columnNameOfCorruptRecord", _RAW)
+
+
+def _rejecting(rows: DataFrame, text: Column, reason: Column) -> DataFrame:
+    """The rows with ``rejected``: file, text and reason of a record whose ``text`` is there, else null."""
+    told = F.struct(F.col("_metadata.file_path").alias("file"), text.alias("text"), reason.alias("reason"))
+    return rows.withColumn(REJECTED, F.when(text.isNotNull(), told))
 
 
 SOURCES: dict[str, Source] = {"csv": _csv, "json": _json, "text": _text}
@@ -97,6 +125,7 @@ def read_new_files(
     max_bytes_per_trigger: int | None = None,
     max_file_age: str | None = None,
     archive: str | None = None,
+    quarantine: bool = False,
     extra: Mapping[str, Any] | None = None,
 ) -> DataFrame:
     """A stream of the files under ``path``, of the declared schema; nothing is inferred.
@@ -110,11 +139,19 @@ def read_new_files(
     listing does not grow.
     ``max_files_per_trigger`` and ``max_bytes_per_trigger`` cut a large backlog into
     batches that are committed one by one.
+
+    With ``quarantine``, records that do not fit the schema are told by one more column, ``rejected``, with their file,
+    text and the reason: CSV lines and text lines with another number of fields, and JSON that does not parse or is no
+    object. ``append_new`` keeps them apart. Without it their fields are null or cut, and their text is lost.
     """
     if file_type not in SOURCES:
         raise ValueError(f"unknown file type '{file_type}': use one of {', '.join(sorted(SOURCES))}")
     given = dict(delimiter=delimiter, delimiter_is_regex=delimiter_is_regex, header=header, multiline=multiline)
-    options = FileOptions.given(file_type, given, extra or {})
+    if quarantine and file_type not in USED:
+        raise ValueError(f"nothing tells which records of {file_type} files do not fit")
+    if quarantine and {REJECTED, _RAW} & {n.lower() for n in schema.names}:
+        raise ValueError(f"the files have a column '{REJECTED}' or '{_RAW}' of their own")
+    options = FileOptions.given(file_type, given, extra or {}, quarantine)
     settings = {
         "maxFileAge": max_file_age or AGE,
         "cleanSource": "archive" if archive else None,

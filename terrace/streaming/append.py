@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from terrace.functions import column, unused_name
+from terrace.sources.files import REJECTED
 from terrace.sources.tables import VERSIONED
 
 # The partition level that tells the batches of a stream apart.
@@ -71,6 +73,7 @@ def append_new(
     tasks_per_file: int | None = None,
     also: Callable[[DataFrame, int], None] | None = None,
     late: dict[str, int] | None = None,
+    quarantine: str | None = None,
 ) -> int:
     """Append the stream's new rows to the files at ``location`` and give back how many were read.
 
@@ -87,6 +90,9 @@ def append_new(
     ``also`` is called with each batch's rows and number once they are written, and again when a batch is replayed: what
     it writes must replace what it wrote before. It reads the batch's files again. ``late`` is given, as ``rows``, how
     many rows a step that remembers (``remove_duplicates`` on a stream) has dropped as too late.
+
+    ``quarantine`` is another place, for the records that a stream of ``read_new_files(.., quarantine=True)`` could not
+    read: ``file``, ``text`` and ``reason``, by batch as the rows are, and replaced with them when a batch is replayed.
     """
     if checkpoint.rstrip("/") == location.rstrip("/") or checkpoint.startswith(location.rstrip("/") + "/"):
         raise ValueError("the checkpoint must lie outside the table's directory")
@@ -105,10 +111,24 @@ def append_new(
         stream = stream.withColumn(ingest_date, F.current_date().cast("string"))
         levels = [ingest_date, *levels]
 
+    if (quarantine is not None) != (REJECTED in stream.columns):
+        raise ValueError("a stream that tells what it could not read needs a place for it, and no other does")
+    date = [ingest_date] if ingest_date else []
+
     def write(rows: DataFrame, batch: int) -> None:
-        write_batch(rows, batch, location, levels, table_format, checkpoint)
+        if quarantine:
+            # Files are parsed once for both places.
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            told = rows.where(column(REJECTED).isNotNull()).select(*map(column, date), f"{REJECTED}.*")
+            write_batch(told, batch, quarantine, [*date, BATCH], table_format, f"{checkpoint}-rejected")
+            read = rows.where(column(REJECTED).isNull()).drop(REJECTED)
+        else:
+            read = rows
+        write_batch(read, batch, location, levels, table_format, checkpoint)
         if also:
-            also(rows, batch)
+            also(read, batch)
+        if quarantine:
+            rows.unpersist()
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _run(writer.trigger(availableNow=True), late)

@@ -335,3 +335,53 @@ def dedup_stream(spark: SparkSession, sf: str) -> DataFrame:
         append_new(stream, f"{home}/data", f"{home}/_checkpoint", ingest_date=None, late=late)
     stored = spark.read.parquet(f"{home}/data").select(*events.columns)
     return stored.withColumn("late", F.lit(late["rows"]))
+
+
+_FIELDS = ["CAST(o_orderkey AS VARCHAR)", "CAST(o_custkey AS VARCHAR)", "o_orderstatus",
+           "CAST(CAST(o_totalprice AS DECIMAL(14, 2)) AS VARCHAR)", "strftime(o_orderdate, '%Y-%m-%d')", "o_orderpriority"]
+_GOOD = "o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0"
+
+
+def _quarantine_sql(kind: str, sep: str) -> str:
+    if kind == "json":
+        line = "'{' || " + " || ',' || ".join(f"""'"{n}":"' || {f} || '"'""" for n, f in zip(ORDERS, _FIELDS))
+        reason = "'not a JSON object'"
+    else:
+        short = f" || '{sep}' || ".join(_FIELDS[:5])
+        line = f"{short} || CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE '{sep}' || o_orderpriority || '{sep}more' END"
+        reason = "'not 6 fields'" if kind == "csv" else "CASE WHEN o_orderkey % 11 = 0 THEN '5' ELSE '7' END || ' pieces, not 6'"
+    fields = ", ".join(f"{f} AS {n}" for f, n in zip(_FIELDS, ORDERS))
+    return f"""
+        SELECT '{kind}' AS kind, {fields}, NULL AS text, NULL AS reason FROM orders WHERE {_GOOD}
+        UNION ALL SELECT '{kind}', NULL, NULL, NULL, NULL, NULL, NULL, {line}, {reason} FROM orders WHERE NOT ({_GOOD})"""
+
+
+_KINDS = {"csv": ";", "json": ",", "text": "|"}
+
+
+@query(" UNION ALL ".join(_quarantine_sql(kind, sep) for kind, sep in _KINDS.items()))
+def ingest_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with a field too few or too many and JSON cut short, apart from the rows, in two deliveries."""
+    orders = table(spark, sf, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS o_orderkey", "CAST(o_custkey AS STRING) AS o_custkey", "o_orderstatus",
+        "CAST(CAST(o_totalprice AS DECIMAL(14, 2)) AS STRING) AS o_totalprice",
+        "date_format(o_orderdate, 'yyyy-MM-dd') AS o_orderdate", "o_orderpriority",
+    )
+    parts = []
+    for kind, sep in _KINDS.items():
+        if kind == "json":
+            pairs = [F.concat(F.lit(f'"{n}":"'), F.col(n), F.lit('"')) for n in ORDERS]
+            line = F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.expr(f"IF({_GOOD}, '}}', '')"))
+        else:
+            last = F.expr(f"CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN {_GOOD} THEN o_orderpriority ELSE concat(o_orderpriority, '{sep}more') END")
+            line = F.concat_ws(sep, *ORDERS[:5], last)
+        source, reader = scratch_path(spark, f"orders-{kind}"), {} if kind == "json" else {"delimiter": sep}
+        reader |= {"header": False} if kind == "csv" else {}
+        job = Bronze(new_table("raw"), source, scratch_path(spark, "raw"), schema_of(*ORDERS), kind, reader=reader, quarantine=True)
+        for part in (0, 1):
+            orders.where(f"o_orderkey % 2 = {part}").select(line.alias("value")).write.mode("append").text(source)
+            run_bronze(spark, job)
+        rows = read_table(spark, job.table).select(*ORDERS)
+        rejected = read_table(spark, f"{job.table}_rejected").select("text", "reason")
+        parts.append(rows.unionByName(rejected, allowMissingColumns=True).withColumn("kind", F.lit(kind)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
