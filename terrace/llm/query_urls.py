@@ -35,7 +35,7 @@ WITH parts AS (
            p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS params
   FROM pages),
 forms AS (
-  SELECT *, CASE WHEN url IS NOT NULL THEN
+  SELECT *, CASE WHEN NOT contains(url, '://') THEN url WHEN url IS NOT NULL THEN
            regexp_replace(regexp_replace(host, '^www\\.', ''), ':(80|443)$', '') || regexp_replace(path, '/+$', '')
            || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS form
   FROM parts)

@@ -33,14 +33,15 @@ def path(url: Column) -> Column:
 
 def canonical(url: Column) -> Column:
     """One form for the spellings of a URL: no scheme, ``www.``, default port, closing slash, tracking
-    parameters or fragment, and parameters in order. Null for null, empty where there is no ``://``."""
+    parameters or fragment, and parameters in order. Null for null; without a ``://``, what is given, as it is."""
     params = F.array_sort(
         F.filter(F.split(F.regexp_extract(url, _PARTS, 3), "&"), lambda p: (p != "") & ~p.rlike(_TRACKING))
     )
     query = F.array_join(params, "&")
     place = F.regexp_replace(F.regexp_replace(host(url), r"^www\.", ""), r":(80|443)$", "")
     at = F.concat(place, F.regexp_replace(path(url), "/+$", ""))
-    return F.when(url.isNotNull(), F.concat(at, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
+    whole = F.concat(at, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    return F.when(F.contains(url, F.lit("://")), whole).otherwise(url)
 
 
 def block_of(key: Column) -> Column:
@@ -86,7 +87,7 @@ def filter_urls(
     A rule decides where one fits; elsewhere a row is blocked where its canonical URL is that of a listed one.
     The blocked Bloom filter passes all such rows and a few others, and only those that pass are shuffled, for
     a hash join on the canonical URL that decides exactly. Columns of these four names are replaced. Null or
-    malformed URLs have empty host and path, no rule, and are allowed unless listed in the same form;
+    malformed URLs have empty host and path, no rule, and are allowed unless listed as they are;
     repeated rows are judged each; an empty list blocks nothing; other columns stay as they are.
     """
     df = df.drop("host", "path", "rule", "verdict")

@@ -71,3 +71,10 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     plan = filter_urls(df, "url", df, "url", RULES)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_malformed_listed_url_blocks_itself_alone(spark):
+    pages = spark.createDataFrame([(u,) for u in ("mailto:x", "foo", "bar baz", "", None, "http://a.net/")], "url string")
+    listed = spark.createDataFrame([("mailto:x",), (None,)], "url string")
+    got = {r.url: r.verdict for r in filter_urls(pages, "url", listed, "url").collect()}
+    assert [u for u, v in got.items() if v == "block"] == ["mailto:x"]
