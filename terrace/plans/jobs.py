@@ -16,9 +16,9 @@ from terrace.operators.features import Strategy, build_features, join_features,
 from terrace.plans.cleaning import BUILT_IN, clean
 from terrace.plans.incremental import clean_new_batches
 from terrace.scratch import scratch_removed
-from terrace.sources import overwrite_table, read_new_files, read_table, register
+from terrace.sources import overwrite_table, read_new_files, read_table
 from terrace.sources.files import passed_over
-from terrace.sources.tables import VERSIONED
+from terrace.sources.tables import VERSIONED, register_batches
 from terrace.streaming import BATCH, append_new
 
 # Fixed value: the steps a clean table gets when the job names none.
@@ -131,9 +131,9 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
     ordered = StructType([fields[n] for n in fields if n not in levels] + [fields[n] for n in levels])
     if job.quarantine:
         told = StructType([StructField(n, StringType()) for n in ("file", "text", "reason", INGEST_DATE, *batch)])
-        register(spark, f"{job.table}_rejected", f"{home}/rejected", job.table_format, schema=told, partitions=[INGEST_DATE, *batch])
+        register_batches(spark, f"{job.table}_rejected", f"{home}/rejected", job.table_format, schema=told, partitions=[INGEST_DATE, *batch])
     data = f"{home}/data"
-    return register(spark, job.table, data, job.table_format, schema=ordered, partitions=levels)
+    return register_batches(spark, job.table, data, job.table_format, schema=ordered, partitions=levels)
 
 
 def run_silver(spark: SparkSession, job: Silver) -> str:

@@ -64,6 +64,67 @@ def register(
     return table
 
 
+#: The table property that names the last batch whose partitions the catalog has.
+LAST_BATCH = "terrace.last_batch"
+#: Partitions named in one statement.
+AT_ONCE = 200
+
+
+def _listed(spark: SparkSession, location: str) -> list[str]:
+    """The names of the partition directories right below a place; every listing of one goes through here."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(location)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return sorted(f.getPath().getName() for f in found if f.isDirectory() and "=" in f.getPath().getName())
+
+
+def _below(spark: SparkSession, location: str, entry: str, depth: int) -> list[str]:
+    if not depth:
+        return [entry]
+    return [e for n in _listed(spark, f"{location}/{entry}") for e in _below(spark, location, f"{entry}/{n}", depth - 1)]
+
+
+def register_batches(
+    spark: SparkSession,
+    table: str,
+    location: str,
+    table_format: str = "parquet",
+    *,
+    schema: StructType,
+    partitions: Sequence[str],
+) -> str:
+    """``register`` for a table of ``append_new``, whose first two partition levels are load date and batch.
+
+    All partitions are looked up when the table is made. From then on a run adds those of the batches that came after
+    the last one added, which a property of the table names: what it lists and states goes with the new batches, however
+    many the table has. A run lost before it added its batches leaves them to the next.
+    """
+    name, place = quote_table(table), location.rstrip("/")
+    if table_format.lower() in VERSIONED or len(partitions) < 2:
+        return register(spark, table, location, table_format, schema=schema, partitions=partitions)
+    known = spark.catalog.tableExists(name)
+    told = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()} if known else {}
+    mark = told.get(LAST_BATCH, "")
+    days = _listed(spark, place) if _exists(spark, place) else []
+    date, _, last = mark.partition("/")
+    number = lambda entry: int(entry.rpartition("=")[2])
+    batches = [f"{day}/{b}" for day in days if not mark or day >= date for b in _listed(spark, f"{place}/{day}")]
+    new = [b for b in batches if not mark or number(b) > int(last)]
+    if not mark:
+        register(spark, table, location, table_format, schema=schema, partitions=partitions)
+    elif not _same_place(found := _details(spark, table).get("Location", location), location):
+        raise ValueError(f"table {table} is at {found}, not at {location}")
+    else:
+        entries = [e for b in new for e in _below(spark, place, b, len(partitions) - 2)]
+        for i in range(0, len(entries), AT_ONCE):
+            added = " ".join(f"{_partition(e)} LOCATION {sql_text(f'{place}/{e}')}" for e in entries[i : i + AT_ONCE])
+            _run(spark, f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+    if new:
+        newest = max(new, key=number)
+        _run(spark, f"ALTER TABLE {name} SET TBLPROPERTIES ({sql_text(LAST_BATCH)} = {sql_text(f'{newest.split("/")[0]}/{number(newest)}')})")
+        _run(spark, f"REFRESH TABLE {name}")
+    return table
+
+
 def _exists(spark: SparkSession, location: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(location)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
