@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions import column, unused_name
 from terrace.operators.base import require_columns
+from terrace.operators.frequent import FrequentCategories
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,7 @@ class TimeWindows:
         return values.groupBy(*key).agg(*[F.count_if(inside[n]).alias(f"{name}_count_distinct_{n}d") for n in self.days])
 
 
-Strategy = Sequence[Column] | TimeWindows
+Strategy = Sequence[Column] | TimeWindows | FrequentCategories
 
 AGGREGATES: dict[str, Callable[[Column], Column]] = {
     "count": F.count,
@@ -103,6 +104,7 @@ STRATEGIES: dict[str, Callable[..., Strategy]] = {
     "entity_aggregates": entity_aggregates,
     "time_window_aggregates": time_window_aggregates,
     "category_counts": category_counts,
+    "frequent_categories": FrequentCategories,
 }
 
 
@@ -135,6 +137,7 @@ def build_features(df: DataFrame, keys: Sequence[str], strategies: Sequence[Stra
     they leave out has null features beside other strategies.
     """
     require_columns(df, keys)
+    strategies = [s.resolved(df) if isinstance(s, FrequentCategories) else s for s in strategies]
     windows = [s for s in strategies if isinstance(s, TimeWindows)]
     shared = [f for s in strategies if not isinstance(s, TimeWindows) for f in s]
     shared += [f for w in windows if not w.recent_only for f in w.aggregates]

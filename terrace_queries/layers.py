@@ -19,6 +19,7 @@ from terrace.operators.features import (
     time_window_aggregates,
 )
 from terrace.operators.as_of import join_as_of
+from terrace.operators.frequent import FrequentCategories
 from terrace.operators.lemmas import lemmatize
 from terrace.operators.tiles import features_from_tiles, read_tiles, write_tiles
 from terrace.scratch import scratch_path
@@ -247,6 +248,25 @@ def gold_category_counts(spark: SparkSession, sf: str) -> DataFrame:
     return build_features(table(spark, sf, "events"), ["user_id"], [category_counts("event_type", _TYPES)])
 
 
+_MIXED = "CASE WHEN event_id % 3 = 0 THEN event_type WHEN event_id % 7 <> 0 THEN props END"
+
+
+@query(
+    f"""
+    WITH mixed AS (SELECT user_id, {_MIXED} AS kind FROM events),
+    often AS (SELECT kind FROM mixed WHERE kind IS NOT NULL GROUP BY kind
+              HAVING count(*) >= 0.03 * (SELECT count(kind) FROM mixed))
+    SELECT user_id, {", ".join(f"count(*) FILTER (kind = '{t}' AND kind IN (FROM often)) AS kind_{t}" for t in _TYPES)},
+           count(*) FILTER (kind IS NOT NULL AND kind NOT IN (FROM often)) AS kind_other
+    FROM mixed GROUP BY user_id
+    """
+)
+def gold_frequent_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """The few frequent ones of a hundred values, which no list names, and the rest as one."""
+    events = table(spark, sf, "events").withColumn("kind", F.expr(_MIXED))
+    return build_features(events, ["user_id"], [FrequentCategories("kind", 0.03)])
+
+
 @query(
     f"""
     WITH a AS (SELECT user_id, {_TYPE_COUNTS}, {_windows_sql([7])} FROM events GROUP BY user_id),
