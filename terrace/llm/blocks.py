@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 # Fixed values of HTML: elements without content, those whose content is no text of the page, those that begin and
@@ -47,10 +48,14 @@ KINDS = {
 }
 #: Words that make a class one of the layout, which holds the main text too.
 _LAYOUT = re.compile(r"(?:^|[\s_-])(?:wrap|wrapper|layout|container|has|with|no|grid|page|columns?)(?=$|[\s_-])", re.I)
+#: Classes that tell what an element is about, has or counts, and not what it is.
+_ABOUT = re.compile(r"(?:category|cat|tag|topic|format|status|type|has|no|with)-.*|.*-(?:count|counter|history)(?:-\d+)?|js-.*|tabs?", re.I)
+#: What stands around a kind of content and nothing else.
+_AROUND = re.compile(r"[_-]+(?:wrap|wrapper|container|holder|outer|inner)$", re.I)
 
-_TOKEN = re.compile(
-    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*>", re.S
-)
+_OPENED = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z][^\s/>]*)")
+_COMMENT_END = re.compile(r"--!?>")
+_MARK = re.compile(r"[>\"']")
 _END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in SILENT}
 _ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s/>=\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAMING = ("class", "id", "role", "itemprop")
@@ -59,6 +64,7 @@ _DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([\w-]+)", re.I)
 _HIDING = re.compile(r"(?:is-)?hidden|visually-?hidden(?:-focusable)?|sr-only(?:-focusable)?|d-none", re.I)
 _SHOWING = re.compile(r"(?:\w+:|d-(?:sm|md|lg|xl|xxl)-)(?:block|inline\S*|flex|grid|table\S*|contents|not-sr-only)", re.I)
 _BY_WORD = {kind: re.compile(rf"(?:^|[\s_-])(?:{words})(?=$|[\s_-])", re.I) for kind, (_, words) in KINDS.items() if words}
+_IS = {kind: re.compile(words, re.I) for kind, (_, words) in KINDS.items() if words and kind != "article"}
 _BY_TAG = {tag: kind for kind, (tags, _) in KINDS.items() for tag in tags}
 
 
@@ -109,7 +115,8 @@ def _kind(tag: str, said: str, around: str | None) -> str | None:
     if attributes and _unseen(attributes):
         return "hidden"
     own = _BY_TAG.get(tag)
-    names = " ".join(attributes[n] for n in _NAMING if n in attributes)
+    words = [w for n in _NAMING if n in attributes for w in attributes[n].split() if not _ABOUT.fullmatch(w)]
+    names = " ".join(words)
     if tag == "main":
         return own
     if own == "article":
@@ -118,6 +125,11 @@ def _kind(tag: str, said: str, around: str | None) -> str | None:
         return own if around in _LEFT_OPEN else around
     if own and not (own == "header" and around == "article"):
         return own
+    for word in words:
+        if (inner := _AROUND.sub("", word)) != word:
+            for kind, whole in _IS.items():
+                if whole.fullmatch(inner) and not (kind == "header" and around == "article"):
+                    return kind
     if names and _LAYOUT.search(names):
         return around
     for kind, words in _BY_WORD.items() if names else ():
@@ -126,6 +138,51 @@ def _kind(tag: str, said: str, around: str | None) -> str | None:
     return around
 
 
+class _Tags:
+    """Finds the tags of a page, in time in proportion to it however broken it is."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")  # no tag ends after this
+        self.stuck: set[int] = set()  # places outside quotes from where on no tag ends outside quotes
+
+    def _close(self, at: int) -> int:
+        """Where the first ``>`` outside quotes stands, from a place outside quotes; -1 if there is none."""
+        seen = []
+        while at not in self.stuck:
+            seen.append(at)
+            if not (m := _MARK.search(self.page, at)):
+                break
+            if m[0] == ">":
+                return m.start()
+            if (closing := self.page.find(m[0], m.end())) < 0:
+                break
+            at = closing + 1
+        self.stuck.update(seen)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str, bool, str] | None:
+        """Begin and end of the next tag or comment, the tag's name, empty for a comment or a tag that its quotes break,
+        whether it is an end tag, and what it says beside its name. None if there are no more."""
+        page = self.page
+        if not (m := _OPENED.search(page, at)):
+            return None
+        opened = m[0]
+        if opened == "<!--":
+            if short := re.compile("-?>").match(page, m.end()):
+                return m.start(), short.end(), "", False, ""
+            found = _COMMENT_END.search(page, m.end())
+            return m.start(), found.end() if found else len(page), "", False, ""
+        if m.end() > self.last:
+            # Only a comment may still begin, as it needs no end.
+            begun = page.find("<!--", m.start() + 1)
+            return None if begun < 0 else self.next(begun)
+        if opened not in ("<!", "<?") and (end := self._close(m.end())) >= 0:
+            closing = opened[1] == "/"
+            return m.start(), end + 1, opened[1 + closing :], closing, page[m.end() : end]
+        return m.start(), page.index(">", m.end()) + 1, "", False, ""
+
+
 def text_blocks(page: str | None) -> list[Block]:
     """The blocks of a page in order, those without text left out.
 
@@ -139,6 +196,8 @@ def text_blocks(page: str | None) -> list[Block]:
     linked: list[str] = []
     links, at = -1, 0  # the depth at which a link began
     endless: set[str] = set()  # silent elements without an end tag from here on
+    opened: Counter[str] = Counter()  # elements on the stack by tag
+    tags = _Tags(page)
 
     def end() -> None:
         nonlocal parts, linked
@@ -163,14 +222,19 @@ def text_blocks(page: str | None) -> list[Block]:
             endless.add(tag)
         return start if tag in EMBEDDED else len(page)
 
-    while m := _TOKEN.search(page, at):
-        say(page[at : m.start()])
-        at = m.end()
-        if not (tag := m[2]):
+    def leave(depth: int) -> None:
+        opened.subtract(tag for tag, _ in stack[depth:])
+        del stack[depth:]
+
+    while found := tags.next(at):
+        start, stop, tag, closing, said = found
+        say(page[at:start])
+        at = stop
+        if not tag:
             continue
-        tag, closing = tag.lower(), bool(m[1])
+        tag = tag.lower()
         if tag in SILENT:
-            if not closing and not (tag in EMBEDDED and m[3].endswith("/")):
+            if not closing and not (tag in EMBEDDED and said.endswith("/")):
                 at = past(tag, at)
         elif tag == "a":
             links = -1 if closing else len(stack)
@@ -179,15 +243,15 @@ def text_blocks(page: str | None) -> list[Block]:
         elif tag in BLOCK:
             end()
             if closing:
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if depth is not None:
-                    del stack[depth:]
+                if opened[tag]:
+                    leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
             elif tag != "hr":
                 if stack and stack[-1][0] == "p":
-                    stack.pop()
+                    leave(len(stack) - 1)
                 if tag in GROUPS and stack and stack[-1][0] in GROUPS[tag].split():
-                    stack.pop()
-                stack.append((tag, _kind(tag, m[3], stack[-1][1] if stack else None)))
+                    leave(len(stack) - 1)
+                stack.append((tag, _kind(tag, said, stack[-1][1] if stack else None)))
+                opened[tag] += 1
             if len(stack) < links:  # what was around an open link has ended
                 links = -1
     say(page[at:])

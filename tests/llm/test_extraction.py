@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from terrace.llm.blocks import text_blocks
@@ -121,3 +122,42 @@ def test_what_is_cut_off_within_a_script_is_no_text():
 def test_many_elements_without_an_end_take_no_longer():
     blocks = text_blocks("<p>a<video><svg>" * 50000)
     assert len(blocks) == 50000
+
+
+MAIN = "The ferry left the harbour before dawn, and the keeper of the light wrote down its name as he had every day."
+
+
+@pytest.mark.parametrize(
+    "opened",
+    [
+        "<div class='post category-social'>", "<div class='story tag-alert'>", "<article class='post comment-count-3'>",
+        "<main><section id='social-history'>", "<article><div class='tabs'>", "<body class='has-sidebar no-banner'><article>",
+    ],
+)
+def test_classes_that_tell_what_a_page_is_about_lose_no_text(opened):
+    assert [b.kind for b in text_blocks(f"{opened}<p>{MAIN}</p>")] == ["article"]
+
+
+@pytest.mark.parametrize(
+    "inner, kind",
+    [("ad-container", "advert"), ("ad-wrapper", "advert"), ("comments-wrapper", "comments"), ("comments-container", "comments")],
+)
+def test_what_stands_around_adverts_and_comments_is_no_layout(inner, kind):
+    for around in ("<article>", "<div class='post'>", "<main>"):
+        blocks = text_blocks(f"{around}<p>{MAIN}</p><div class='{inner}'><p>other</p></div><p>{MAIN}</p>")
+        assert [b.kind for b in blocks] == ["article", kind, "article"]
+
+
+@pytest.mark.parametrize(
+    "broken", ["<a ", "<a href='x", "<a href='x>", "<a href='\">", "<", "<!--", "<!", "<div>", "</p>", "<svg>", "<b<!--"]
+)
+def test_broken_pages_take_time_in_proportion(broken):
+    begun = time.process_time()
+    text_blocks(f"<p>{MAIN}</p>" + broken * (1_000_000 // len(broken)))
+    text_blocks(f"<p>{MAIN}</p>" + broken * (500_000 // len(broken)) + "<div>" * 50_000 + "</p>" * 50_000)
+    assert time.process_time() - begun < 8
+
+
+def test_an_unfinished_comment_takes_the_rest_and_an_unfinished_tag_is_text():
+    assert [b.text for b in text_blocks("<p>a</p> b <c <!-- d")] == ["a", "b <c"]
+    assert [b.text for b in text_blocks("<p>a</p> b <c d")] == ["a", "b <c d"]
