@@ -252,10 +252,12 @@ def _between(rows: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     bound, about = most_bits(percent), ["component", "heart", "reach", "least", "most", "sets"]
     heart = known.select(F.col("node").alias("component"), F.col("sketch").alias("heart"))
     held = rows.join(known, "node")
-    groups = held.join(heart, "component").groupBy("bucket", "component").agg(
-        F.first("heart").alias("heart"), F.max(_apart("sketch", "heart")).alias("reach"),
-        F.min("size").alias("least"), F.max("size").alias("most"), F.count("*").alias("sets"),
-    )
+    # Dealt out by bucket as well as component, so that the join before it can split a hot component.
+    near = held.join(heart, "component").select("bucket", "component", "size", _apart("sketch", "heart").alias("apart"))
+    groups = near.repartition("bucket", "component").groupBy("bucket", "component").agg(
+        F.max("apart").alias("reach"), F.min("size").alias("least"), F.max("size").alias("most"), F.count("*").alias("sets")
+    )
+    groups = groups.join(heart, "component")
     home = groups.select("bucket", *[F.col(c).alias(f"home_{c}") for c in about])
     away = groups.select(F.col("bucket").alias("met"), *[F.col(c).alias(f"away_{c}") for c in about])
     smaller = F.struct("home_sets", "home_component") < F.struct("away_sets", "away_component")
