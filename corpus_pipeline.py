@@ -25,14 +25,22 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are likelier of a grade above junk, by a model of the labelled ones among them."""
+    """Documents that are likelier of a grade above junk, by a model of the labelled ones among them.
+
+    A null text counts as an empty one. Repeated rows are judged alike, and each stays or goes; other columns, and rows
+    without an id, are kept as they are. An empty table gives an empty one.
+    """
     model = train_quality(docs, graded(table(spark, sf_dir, "labels")), "doc_id", "text", "grade", TOP_GRADE)
     rated = grade_quality(docs, "text", model, TOP_GRADE, at_least=1)
     return rated.where("kept").select(*docs.columns)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score below a half, by a model of the labelled ones among them."""
+    """Documents with a score below a half, by a model of the labelled ones among them.
+
+    Nulls, repeated rows, other columns and empty tables are dealt with as by ``good_quality``; a column named ``score``
+    is left alone.
+    """
     model = train_toxicity(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
     score = unused_name(docs, "score")
     return score_toxicity(docs, "text", model, score).where(F.col(score) < 0.5).select(*docs.columns)
@@ -55,7 +63,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
+    """Documents in which no window of a benchmark item occurs.
+
+    Null and empty texts have no words, and stay. Repeated rows stay or go together. Without items, or without documents,
+    all that there are stay.
+    """
     keyed, key = _keyed(docs)
     items = table(spark, sf_dir, "benchmark")
     found = find_contamination(keyed.select(key, "text"), "text", items, "item_id", "text")
@@ -64,7 +76,10 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def in_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of each document's tokens, with the sequence it is packed into."""
+    """A row per piece of each document's tokens, with the sequence it is packed into.
+
+    A null text is packed as an empty one. Each of repeated rows has its own pieces; an empty table gives no rows.
+    """
     return packed(spark, docs.select("doc_id", "text"))
 
 
