@@ -8,6 +8,7 @@ counting the overlap of their segments fragment by fragment, and summing the cou
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 from operator import itemgetter
@@ -24,6 +25,10 @@ from terrace.scratch import scratch_path
 
 #: N-grams that a task gathers before it sends them to the fragments; what it then holds for them is some 50 MB.
 GATHERED = 1 << 20
+#: Bytes of text for a fragment of the order, some three million n-grams, however large the corpus: a task that counts
+#: one holds some 100 MB. A task has several fragments, one after another.
+FRAGMENT_BYTES = 16 << 20
+FRAGMENTS_A_TASK = 4
 #: Segments whose overlaps are counted separately.
 SEGMENTS = 8
 
@@ -44,7 +49,8 @@ def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
 def _to_fragments(docs: DataFrame, text: str, n: int, bits: int) -> DataFrame:
     """Rows of a part, about a million n-grams of one task: for each fragment its n-grams and whose they are.
 
-    A part sends a set once, however many copies it has. Its name is made of the task's place and a number, so that
+    A part sends a set once, however many copies it has. Which sets it has is told in a row of its own, whose fragment
+    is negative: what is sent to the fragments are n-grams alone. A part's name is made of the task's place and a number, so that
     a task that runs again, over the same rows, sends the same.
     """
 
@@ -60,10 +66,11 @@ def _to_fragments(docs: DataFrame, text: str, n: int, bits: int) -> DataFrame:
             order = np.argsort(all_grams, kind="stable")
             all_grams, owners = all_grams[order].view(np.int64), owners[order]
             cuts = np.searchsorted(all_grams >> (BITS - bits), np.arange((1 << bits) + 1))
-            known, long = sets.tobytes(), pack(sizes)
+            known = (name, -1 - zlib.crc32(name.encode()) % (1 << bits), sets.tobytes(), pack(sizes), None, None, None)
             return _batch(
-                [
-                    (name, f, known, long, pack(all_grams[a:b]), pack(owners[a:b]), None)
+                [known]
+                + [
+                    (name, f, None, None, pack(all_grams[a:b]), pack(owners[a:b]), None)
                     for f, (a, b) in enumerate(zip(cuts, cuts[1:]))
                     if b > a
                 ]
@@ -95,6 +102,9 @@ def _counted(sent: DataFrame, tasks: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for fragment, rows in groupby(_rows(batches), key=itemgetter(1)):
+            if fragment < 0:  # which sets parts have
+                yield from (_batch([row]) for row in rows)
+                continue
             waiting, found, times = [], [], []
             for row in rows:
                 grams, met = np.unique(unpack(row[4]), return_counts=True)
@@ -109,12 +119,12 @@ def _counted(sent: DataFrame, tasks: int) -> DataFrame:
             shared, met = grams[first][met > 1], met[met > 1]
             if not len(shared):
                 continue
-            for part, _, sets, sizes, packed, owners, _ in waiting:
+            for part, _, _, _, packed, owners, _ in waiting:
                 grams = unpack(packed)
                 at = np.minimum(np.searchsorted(shared, grams), len(shared) - 1)
                 kept = shared[at] == grams
                 if kept.any():
-                    row = (part, fragment, sets, sizes, pack(grams[kept]), pack(unpack(owners)[kept]), pack(met[at][kept]))
+                    row = (part, fragment, None, None, pack(grams[kept]), pack(unpack(owners)[kept]), pack(met[at][kept]))
                     yield _batch([row])
 
     return sent.repartition(tasks, "fragment").sortWithinPartitions("fragment").mapInArrow(count, _SENT)
@@ -129,11 +139,15 @@ def _active(counted: DataFrame, percent: int, tasks: int) -> DataFrame:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in groupby(_rows(batches), key=itemgetter(0)):
             grams, owners, met = [], [], []
-            for _, _, sets, sizes, packed, whose, times in rows:
+            for _, fragment, known, long, packed, whose, times in rows:
+                if fragment < 0:
+                    sets, sizes = np.frombuffer(known, np.int64), unpack(long)
+                    continue
                 grams.append(unpack(packed))
                 owners.append(unpack(whose))
                 met.append(unpack(times))
-            sets, sizes = np.frombuffer(sets, np.int64), unpack(sizes)
+            if not grams:
+                continue
             grams, owners, met = (np.concatenate(x) for x in (grams, owners, met))
             order = np.lexsort((grams, met, owners))
             grams, owners = grams[order], owners[order]
@@ -188,12 +202,31 @@ def _verified(pairs: DataFrame, active: DataFrame, percent: int) -> DataFrame:
     return whole.where((100 + percent) * F.col("overlap") >= percent * F.col("sizes")).select("a", "b")
 
 
+def _across(labelled: DataFrame, write) -> DataFrame:
+    """Sets of different components that share an n-gram, by n-gram.
+
+    An n-gram's component of most sets is met by the sets of the others, and never joined with itself: what a few
+    outliers share with a large group makes as many rows as the group has sets, not as it has pairs.
+    """
+    sizes = labelled.groupBy("gram", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("gram").agg(F.max(F.struct("n", "component")).alias("largest"), F.count("*").alias("components"))
+    open_ = largest.where("components > 1").select("gram", F.col("largest.component").alias("largest"))
+    left = write(labelled.join(open_, "gram"), "open")
+    others = left.select(
+        "gram", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place"),
+        F.col("component").alias("other_component"),
+    )
+    once = (F.col("other_component") == F.col("largest")) | (F.col("node") < F.col("other"))
+    met = left.where(F.col("component") != F.col("largest")).join(others, "gram")
+    return met.where((F.col("component") != F.col("other_component")) & once)
+
+
 def near_copy_links(active: DataFrame, percent: int, write) -> DataFrame:
     """Components of the links among active sets (``node``, ``component``).
 
     First, each n-gram's sets are compared with one of them, that whose n-gram comes earliest in its order: what is
     alike in a large group mostly is like this one. What then still is in different components is compared pair by
-    pair, so that a group of similar sets never is expanded into all its pairs, and no link is lost.
+    pair (``_across``), so that a component's sets are not paired with each other again, and no link is lost.
     """
     places = active.select("node", "size", F.inline("prefix")).select("gram", "node", "size", "place")
     firsts = (
@@ -206,13 +239,7 @@ def near_copy_links(active: DataFrame, percent: int, write) -> DataFrame:
     known = connected_components(starred, write)
 
     labelled = places.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ = labelled.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    left = write(labelled.join(open_.select("gram"), "gram", "left_semi"), "open")
-    others = left.select(
-        "gram", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("place").alias("other_place"),
-        F.col("component").alias("other_component"),
-    )
-    met = left.join(others, "gram").where((F.col("component") != F.col("other_component")) & (F.col("node") < F.col("other")))
+    met = _across(write(labelled, "labelled"), write)
     pairs = _pairs(met, percent).join(write(starred, "known"), ["a", "b"], "left_anti")
     more = _verified(write(pairs, "pairs"), active, percent)
     return connected_components(starred.unionByName(more), write)
@@ -260,8 +287,9 @@ def near_copies(df: DataFrame, key: str, text: str, n: int = 5, percent: int = 8
         rows.write.parquet(path)
         return spark.read.parquet(path)
 
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(3, tasks.bit_length())
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    bits = max(3, (size // FRAGMENT_BYTES).bit_length())
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (1 << bits) // FRAGMENTS_A_TASK)
     counted = write(_counted(_to_fragments(df, text, n, bits), tasks), "counted")
     active = write(_active(counted, percent, tasks), "active")
     found = near_copy_links(active, percent, write)

@@ -146,3 +146,36 @@ def test_a_large_group_is_not_expanded_into_its_pairs(spark, monkeypatch):
     got = found(spark, rows, 4, 80)
     assert {c for _, _, c in got} == {0}
     assert checked[0] <= 2 * 300 and checked[1] == 0
+
+
+def test_an_outlier_beside_a_large_group_makes_no_pairs_within_it(spark, monkeypatch):
+    """Half of a group of near copies shares a paragraph with one other text: rows met grow with the group, not its pairs."""
+    import terrace.llm.near_copies as module
+
+    def met(copies):
+        base, passage = [f"w{i}" for i in range(80)], [f"p{i}" for i in range(8)]
+        rows = [(i, " ".join([*base[:40], f"own{i}", *base[41:], *(passage if i % 2 else [])])) for i in range(copies)]
+        rows.append((copies, " ".join([*passage, "end"])))
+        kept, across = [], module._across
+
+        def counted(labelled, write):
+            pairs = across(labelled, write)
+            kept.append((labelled.select("gram", "node").count(), pairs.count()))
+            return pairs
+
+        with monkeypatch.context() as m:
+            m.setattr(module, "_across", counted)
+            got = found(spark, rows, 4, 80)
+        assert got == wanted(rows, 4, 80)
+        return kept[0]
+
+    (few, small), (many, large) = met(60), met(120)
+    assert few < many and 0 < small <= 60 and large <= 2.5 * small
+
+
+@pytest.mark.parametrize("fragment_bytes", [64, 1 << 30])
+def test_results_do_not_depend_on_the_number_of_fragments(spark, monkeypatch, fragment_bytes):
+    monkeypatch.setattr("terrace.llm.near_copies.FRAGMENT_BYTES", fragment_bytes)
+    monkeypatch.setattr("terrace.llm.near_copies.GATHERED", 400)
+    rows = near_group(5, 60, 70, 20)
+    assert found(spark, rows, 4, 85) == wanted(rows, 4, 85)
