@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
+#: Features that a sparse matrix is multiplied by at once; what that holds besides the matrix is some 100 MB.
+AT_ONCE = 1 << 22
 #: Texts are hashed in pieces of so many bytes, which overlap by what an n-gram needs.
 PIECE = 1 << 20
 
@@ -72,17 +74,35 @@ class Rows:
     def of(cls, rows: list[Features], width: int) -> Rows:
         """No row may be empty."""
         starts = np.append(0, np.cumsum([len(b) for b, _ in rows])[:-1])
-        return cls(np.concatenate([b for b, _ in rows]).astype(np.int64), np.concatenate([v for _, v in rows]), starts, width)
-
-    @property
-    def lengths(self) -> np.ndarray:
-        return np.diff(np.append(self.starts, len(self.buckets)))
+        return cls(np.concatenate([b for b, _ in rows]), np.concatenate([v for _, v in rows]), starts, width)
+
+    def _blocks(self) -> Iterator[tuple[slice, slice, np.ndarray, np.ndarray]]:
+        """Some neighbouring rows, their features, where each begins among these, and its length."""
+        ends = np.append(self.starts[1:], len(self.buckets))
+        row = 0
+        while row < len(ends):
+            after = max(row + 1, int(np.searchsorted(ends, self.starts[row] + AT_ONCE, "right")))
+            first, last = int(self.starts[row]), int(ends[after - 1])
+            yield slice(row, after), slice(first, last), self.starts[row:after] - first, (ends - self.starts)[row:after]
+            row = after
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(weights[self.buckets] * self.values, self.starts)
+        return np.concatenate(
+            [np.add.reduceat(weights[self.buckets[at]] * self.values[at], starts) for _, at, starts, _ in self._blocks()]
+        )
 
     def transposed_times(self, each: np.ndarray) -> np.ndarray:
-        return np.bincount(self.buckets, np.repeat(each, self.lengths) * self.values, self.width)
+        total = np.zeros(self.width)
+        for rows, at, _, lengths in self._blocks():
+            total += np.bincount(self.buckets[at], np.repeat(each[rows], lengths) * self.values[at], self.width)
+        return total
+
+    def counts(self, each: np.ndarray) -> np.ndarray:
+        """By bucket, the sum of ``each`` over the rows that have it."""
+        total = np.zeros(self.width)
+        for rows, at, _, lengths in self._blocks():
+            total += np.bincount(self.buckets[at], np.repeat(each[rows], lengths), self.width)
+        return total
 
 
 def minimise(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from terrace.llm.hashing import Features, Grams, Rows, minimise, sigmoid
 from terrace.functions import unused_name
-from terrace.llm.sampling import fit_in_one_task, labelled_sample
+from terrace.llm.sampling import ROWS_PER_LABEL, fit_in_one_task, labelled_sample
 
 GRAMS = Grams(sizes=(1, 2, 3), bits=16, fold_case=False)
 
@@ -79,24 +79,27 @@ def fit_ordinal(
     return x[: rows.width].astype(np.float32), thresholds(x[rows.width :]).astype(np.float32)
 
 
-def train_quality(docs: DataFrame, grades: DataFrame, key: str, text: str, grade: str, top: int) -> bytes:
-    """A model of grades 0 to ``top`` by text, fitted to a bounded sample of the graded rows (see ``sampling``).
+def train_quality(
+    docs: DataFrame, grades: DataFrame, key: str, text: str, grade: str, top: int, rows: int = ROWS_PER_LABEL, told: dict | None = None
+) -> bytes:
+    """A model of grades 0 to ``top`` by text, fitted to all of a sample of at most ``rows`` rows of each grade.
 
     Thresholds first, then weights: 256 kB whatever the corpus. Null grades and keys teach nothing; a null text
-    is an empty one. Without rows of two grades at least, every text gets the grade there is, or the top one.
+    is an empty one. Without rows of two grades at least, every text gets the grade there is, or the top one. ``told``
+    is given, as ``rows``, how many rows taught.
     """
 
-    def fit(rows: list[Features], known: list[int]) -> bytes:
+    def fit(taught: list[Features], known: list[int]) -> bytes:
         if len(set(known)) < 2:
             only = known[0] if known else top
             cuts, weights = np.where(np.arange(1, top + 1) <= only, -20.0, 20.0), np.zeros(WIDTH)
         else:
-            weights, cuts = fit_ordinal(Rows.of(rows, WIDTH), np.array(known), top)
+            weights, cuts = fit_ordinal(Rows.of(taught, WIDTH), np.array(known), top)
         return np.concatenate([cuts, weights]).astype("<f4").tobytes()
 
     y = unused_name(docs, "label")
-    sample = labelled_sample(docs.select(key, text), grades, key, grade, list(range(top + 1)))
-    return fit_in_one_task(sample.withColumnRenamed("label", y), text, y, features, fit)
+    sample = labelled_sample(docs.select(key, text), grades, key, grade, list(range(top + 1)), rows)
+    return fit_in_one_task(sample.withColumnRenamed("label", y), text, y, features, fit, told)
 
 
 def grade_quality(

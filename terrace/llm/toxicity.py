@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from terrace.llm.hashing import Features, Grams, Rows, minimise, sigmoid
 from terrace.functions import unused_name
-from terrace.llm.sampling import fit_in_one_task, labelled_sample
+from terrace.llm.sampling import ROWS_PER_LABEL, fit_in_one_task, labelled_sample
 
 GRAMS = Grams(sizes=(3, 5, 7), bits=18, fold_case=True)
 
@@ -28,9 +28,7 @@ def features(text: str | None) -> Features:
 
 def log_count_ratios(rows: Rows, labels: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
     """By bucket, how much likelier it is among rows of label 1 than among those of label 0, as a logarithm."""
-    each = np.repeat(labels, rows.lengths)
-    ones = smoothing + np.bincount(rows.buckets, each, rows.width)
-    zeros = smoothing + np.bincount(rows.buckets, 1 - each, rows.width)
+    ones, zeros = smoothing + rows.counts(labels), smoothing + rows.counts(1 - labels)
     return np.log(ones / ones.sum()) - np.log(zeros / zeros.sum())
 
 
@@ -83,14 +81,17 @@ def _fit(rows: list[Features], labels: list[int]) -> bytes:
     return np.append(constant, weights).astype("<f4").tobytes()
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> bytes:
-    """A model of label 0 or 1 by text, fitted to a bounded sample of the labelled rows (see ``sampling``).
+def train_toxicity(
+    docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, rows: int = ROWS_PER_LABEL, told: dict | None = None
+) -> bytes:
+    """A model of label 0 or 1 by text, fitted to all of a sample of at most ``rows`` rows of each label.
 
-    A model is 1 MB whatever the corpus. Null labels and keys teach nothing; a null text is an empty one.
+    A model is 1 MB whatever the corpus. Null labels and keys teach nothing; a null text is an empty one. ``told`` is
+    given, as ``rows``, how many rows taught.
     """
     y = unused_name(docs, "label")
-    sample = labelled_sample(docs.select(key, text), labels, key, label, [0, 1]).withColumnRenamed("label", y)
-    return fit_in_one_task(sample, text, y, features, _fit)
+    sample = labelled_sample(docs.select(key, text), labels, key, label, [0, 1], rows).withColumnRenamed("label", y)
+    return fit_in_one_task(sample, text, y, features, _fit, told)
 
 
 def score_toxicity(df: DataFrame, text: str, model: bytes, score: str = "score") -> DataFrame:

@@ -8,7 +8,7 @@ from terrace.llm.hashing import PIECE, Grams, Rows, minimise, pack, sigmoid, unp
 from terrace.llm.quality import WIDTH, fit_ordinal, grade_quality, train_quality
 from terrace.llm.quality import features as quality_features
 from terrace.llm.queries import QUERIES
-from terrace.llm.sampling import labelled_sample
+from terrace.llm.sampling import fit_in_one_task, labelled_sample
 from terrace.llm.toxicity import _middle, fit_weights, log_count_ratios, score_toxicity, train_toxicity
 
 MID = "/root/testdata/sf0.1"
@@ -143,3 +143,72 @@ def test_held_out_quality(spark):
     rows = [r for r in QUERIES["op4_quality_classifier"](spark, MID).collect() if r["held_out"] and r["doc_id"] in labels]
     good, junk = [r["kept"] for r in rows if labels[r["doc_id"]]], [r["kept"] for r in rows if not labels[r["doc_id"]]]
     assert sum(good) >= 0.98 * len(good) and sum(junk) <= 0.05 * len(junk)
+
+
+def test_every_sampled_row_teaches_however_long_its_text(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(3000)), i % 2) for i in range(40)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows] + [(0, "again"), (0, "again")], "id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "id long, y int")
+    told = {}
+    train_toxicity(docs, labels, "id", "text", "y", rows=15, told=told)
+    assert told == {"rows": 30}
+    train_quality(docs, labels, "id", "text", "y", 1, rows=100, told=told)
+    assert told == {"rows": 40}
+    fit_in_one_task(docs.limit(0).selectExpr("text", "1 AS y"), "text", "y", quality_features, lambda x, y: b"", told)
+    assert told == {"rows": 0}
+
+
+def test_products_in_blocks_are_those_of_the_whole(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.sort(rng.choice(50, rng.integers(1, 20), replace=False)) for _ in range(30)]
+    rows = Rows.of([(s.astype(np.uint32), rng.random(len(s)).astype(np.float32)) for s in sets], 50)
+    dense, weights, each = np.zeros((30, 50)), rng.random(50), rng.random(30)
+    for i, (a, s) in enumerate(zip(rows.starts, sets)):
+        dense[i, s] = rows.values[a : a + len(s)]
+    for size in (1, 7, 1 << 22):
+        monkeypatch.setattr("terrace.llm.hashing.AT_ONCE", size)
+        assert np.allclose(rows.times(weights), dense @ weights)
+        assert np.allclose(rows.transposed_times(each), each @ dense)
+        assert np.allclose(rows.counts(each), each @ (dense > 0))
+
+
+def test_scores_are_those_of_plain_python(spark):
+    """Ratios, scores, thresholds and tail probabilities again from the model, n-gram by n-gram."""
+    import math
+
+    from terrace.llm.quality import GRAMS as QUALITY
+    from terrace.llm.toxicity import GRAMS as TOXIC
+
+    def bucket(grams, chunk, n):
+        rolling = 0
+        for c in chunk:
+            rolling = (rolling * 0x01000193 + c) % 2**32
+        x = (rolling + n) * 0x9E3779B1 % 2**32
+        x = (x ^ x >> 15) * 0x85EBCA77 % 2**32
+        return x >> (32 - grams.bits)
+
+    def met(grams, text):
+        codes = [32 if 9 <= c <= 13 else c + 32 if grams.fold_case and 65 <= c <= 90 else c for c in b" " + text.encode() + b" "]
+        found = {}
+        for n in grams.sizes:
+            for i in range(len(codes) - n + 1):
+                b = bucket(grams, codes[i : i + n], n)
+                found[b] = found.get(b, 0) + 1
+        return found
+
+    texts = [f"{'awful hateful' if i % 2 else 'nice kind'} words number {i} é" for i in range(40)] + ["", "Nice\tKIND"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "id long, y int")
+    known = np.frombuffer(model := train_toxicity(docs, labels, "id", "text", "y"), "<f4").tolist()
+    got = {r["id"]: r["score"] for r in score_toxicity(docs, "text", model).collect()}
+    for i, text in enumerate(texts):
+        counts = met(TOXIC, text)
+        margin = known[0] + sum(known[1 + b] * math.sqrt(c / sum(counts.values())) for b, c in counts.items())
+        assert math.isclose(got[i], 1 / (1 + math.exp(-margin)), abs_tol=1e-5)
+    known = np.frombuffer(model := train_quality(docs, labels, "id", "text", "y", 1), "<f4").tolist()
+    for r in grade_quality(docs, "text", model, 1, at_least=1).collect():
+        grams, plain = met(QUALITY, texts[r["id"]]), [b for b in quality_features(texts[r["id"]])[0].tolist() if b >= 1 << QUALITY.bits]
+        weight = sum(known[1 + b] for b in grams) / math.sqrt(len(grams)) + sum(known[1 + b] for b in plain)
+        above = 1 / (1 + math.exp(known[0] - weight))
+        assert math.isclose(r["tail_probability"], above, abs_tol=1e-5) and math.isclose(r["expected_grade"], above, abs_tol=1e-5)
+        assert r["kept"] == (r["tail_probability"] >= 0.5)
