@@ -20,6 +20,7 @@ from terrace.sources import overwrite_table, read_new_files, read_table
 from terrace.sources.files import passed_over
 from terrace.sources.tables import VERSIONED, register_batches
 from terrace.streaming import BATCH, append_new
+from terrace.streaming.compaction import TARGET, compact_batches
 
 # Fixed value: the steps a clean table gets when the job names none.
 SILVER_STEPS = ("remove_duplicates", "convert_types", "null_handling")
@@ -98,6 +99,27 @@ class Gold:
     table_format: str = "parquet"
 
 
+def _layout(job: Bronze, schema: StructType) -> tuple[StructType, list[str]]:
+    """A raw table's columns, and those of them that are partition levels."""
+    batch = [] if job.table_format.lower() in VERSIONED else [BATCH]
+    levels = [INGEST_DATE, *batch, *job.partitions]
+    fields = {f.name: f for f in [*schema.fields, *(StructField(n, StringType()) for n in (INGEST_DATE, *batch))]}
+    return StructType([fields[n] for n in fields if n not in levels] + [fields[n] for n in levels]), levels
+
+
+def compact_bronze(spark: SparkSession, job: Bronze, *, through: int | None = None, target: int = TARGET) -> dict[str, int]:
+    """Rewrite the small files of a raw table's closed batches as larger ones, and count both (``compact_batches``).
+
+    Not beside ``run_bronze`` for the same table, nor before a ``Silver`` with buckets has taken the batches that
+    ``through`` allows: what it has not taken must keep its number.
+    """
+    home = f"{job.base_path.rstrip('/')}/{job.table.rpartition('.')[2]}"
+    return compact_batches(
+        spark, f"{home}/data", _layout(job, _schema(job.schema))[0], partitions=job.partitions, ingest_date=INGEST_DATE,
+        table_format=job.table_format, table=job.table, through=through, target=target,
+    )
+
+
 def run_bronze(spark: SparkSession, job: Bronze) -> str:
     """Append the files not seen before, register the table, give back its name.
 
@@ -125,10 +147,8 @@ def run_bronze(spark: SparkSession, job: Bronze) -> str:
     if job.archive or job.reader.get("max_file_age"):
         kept = {n: job.reader[n] for n in ("max_file_age", "recursive") if n in job.reader}
         job.passed_over = passed_over(spark, job.source, f"{home}/_checkpoint", **kept).count()
-    batch = [] if job.table_format.lower() in VERSIONED else [BATCH]
-    levels = [INGEST_DATE, *batch, *job.partitions]
-    fields = {f.name: f for f in [*schema.fields, *(StructField(n, StringType()) for n in (INGEST_DATE, *batch))]}
-    ordered = StructType([fields[n] for n in fields if n not in levels] + [fields[n] for n in levels])
+    ordered, levels = _layout(job, schema)
+    batch = levels[1 : len(levels) - len(job.partitions)]
     if job.quarantine:
         told = StructType([StructField(n, StringType()) for n in ("file", "text", "reason", INGEST_DATE, *batch)])
         register_batches(spark, f"{job.table}_rejected", f"{home}/rejected", job.table_format, schema=told, partitions=[INGEST_DATE, *batch])

@@ -24,6 +24,25 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def full_path(spark: SparkSession, path: str) -> str:
+    """The path as files below it are named: with its scheme, and the folder that a relative one starts from."""
+    files, place = _place(spark, path)
+    return files.makeQualified(place).toString().rstrip("/")
+
+
+def file_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another name, which nothing has yet."""
+    files, place = _place(spark, path)
+    target = _place(spark, to)[1]
+    if files.exists(target) or not files.rename(place, target):
+        raise RuntimeError(f"{path} could not be moved to {to}")
+
+
 def _numbers(spark: SparkSession, folder: str) -> list[int]:
     files, place = _place(spark, folder)
     if not files.exists(place):

@@ -83,6 +83,37 @@ def _below(spark: SparkSession, location: str, entry: str, depth: int) -> list[s
     return [e for n in _listed(spark, f"{location}/{entry}") for e in _below(spark, location, f"{entry}/{n}", depth - 1)]
 
 
+def partition_directories(spark: SparkSession, location: str) -> list[str]:
+    """The names of the partition directories right below a place; none where there is no such place."""
+    return _listed(spark, location) if _exists(spark, location) else []
+
+
+def replace_partitions(
+    spark: SparkSession, table: str, location: str, gone: set[str], there: set[str], depth: int
+) -> None:
+    """Let the catalog have the partitions of the directories ``there``, ``depth`` levels below, instead of those of ``gone``.
+
+    Statements go with these directories, whatever else the table has. A table that is not there is left alone.
+    """
+    name, place = quote_table(table), location.rstrip("/")
+    if not spark.catalog.tableExists(name):
+        return
+    new = {e for entry in there for e in _below(spark, place, entry, depth)}
+    prefix = lambda e: "/".join(e.split("/")[: len(e.split("/")) - depth])
+    days = {d for d, _, _ in (e.rpartition("/") for e in gone)}
+    known = [
+        r[0] for d in sorted(days) for r in spark.sql(f"SHOW PARTITIONS {name} {_partition(d) if d else ''}").collect()
+    ]
+    old = sorted(e for e in known if prefix(e) in gone and e not in new)
+    added = sorted(new - set(known))
+    for i in range(0, len(added), AT_ONCE):
+        parts = " ".join(f"{_partition(e)} LOCATION {sql_text(f'{place}/{e}')}" for e in added[i : i + AT_ONCE])
+        _run(spark, f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+    for i in range(0, len(old), AT_ONCE):
+        _run(spark, f"ALTER TABLE {name} DROP IF EXISTS {', '.join(map(_partition, old[i : i + AT_ONCE]))}")
+    _run(spark, f"REFRESH TABLE {name}")
+
+
 def register_batches(
     spark: SparkSession,
     table: str,

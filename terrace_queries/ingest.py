@@ -13,6 +13,7 @@ from terrace import (
     Bronze,
     append_new,
     build_pipeline,
+    compact_bronze,
     overwrite_table,
     read_new_files,
     read_table,
@@ -187,6 +188,22 @@ def ingest_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, job.table, schema).groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
 
 
+@query(f"SELECT {_LINES_AS_TEXT}, lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS line, true AS few_files FROM lineitem")
+def compacted_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Many small batches by a partition value, whose files then are a few for each value; the newest batch is left alone."""
+    source = scratch_path(spark, "lineitem-csv")
+    lines = lines_text(spark, sf).withColumn("line", F.expr("lpad(CAST(l_linenumber AS STRING), 2, '0')"))
+    lines.repartition(12).write.csv(source, header=True)
+    job = Bronze(
+        new_table("raw"), source, scratch_path(spark, "raw"), schema_of(*lines.columns), partitions=["line"],
+        reader={"max_files_per_trigger": 2},
+    )
+    run_bronze(spark, job)
+    counted = compact_bronze(spark, job)
+    few = 2 * counted["files_after"] <= counted["files_before"]
+    return read_table(spark, job.table, schema_of(*lines.columns)).withColumn("few_files", F.lit(few))
+
+
 CUSTOMERS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 _CUSTOMERS_AS_TEXT = """
     CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
