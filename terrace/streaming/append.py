@@ -21,11 +21,14 @@ def _gather(stream: DataFrame, partitions: Sequence[str], tasks: int) -> DataFra
     """Bring together what ``tasks`` neighbouring tasks read of each partition value, and no more.
 
     A value held by a third of all rows is so split by where its rows were read: what one task has
-    to write of it is bounded by what these few tasks read, however large the batch.
+    to write of it is bounded by what these few tasks read, however large the batch. Where that is more than
+    adaptive execution's advisory size, it goes to several tasks, as each sorts what it writes.
     """
     group = unused_name(stream, "group")
     grouped = stream.withColumn(group, F.floor(F.spark_partition_id() / tasks))
-    return grouped.repartition(*[column(p) for p in partitions], column(group)).drop(group)
+    keys = [*[column(p) for p in partitions], column(group)]
+    adaptive = stream.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    return (grouped.hint("rebalance", *keys) if adaptive else grouped.repartition(*keys)).drop(group)
 
 
 def _run(writer: DataStreamWriter, late: dict[str, int] | None) -> int:
@@ -85,7 +88,7 @@ def append_new(
 
     Without ``tasks_per_file`` nothing is shuffled, and every task that reads writes a file for each
     partition value it meets. With many values that makes many small files; then the rows of a value
-    that this many tasks read go to one file.
+    that this many tasks read go to one file, or to several of adaptive execution's advisory size.
 
     ``also`` is called with each batch's rows and number once they are written, and again when a batch is replayed: what
     it writes must replace what it wrote before. It reads the batch's files again. ``late`` is given, as ``rows``, how

@@ -142,6 +142,22 @@ def test_what_several_tasks_read_is_gathered(land, tmp_path, gather):
     assert len(written) == 1 if gather else len(written) > 1
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_what_is_gathered_of_a_hot_value_goes_to_tasks_of_a_size(spark, land, tmp_path, adaptive):
+    files = {f"{i}.csv": "h,h,h,h\n" + "".join(f"{i}-{n},{n * 7919 % 10007},b,01\n" for n in range(2000)) for i in range(20)}
+    size, before = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set(size, "64k")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        got = land(files=files, partitions=["part"], gather=100)
+    finally:
+        spark.conf.unset(size)
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(got) == len(set(got)) == 40_000
+    written = list((tmp_path / "out").glob("t/data/ingest_date=*/ingest_batch=*/part=01/*.parquet"))
+    assert 2 < len(written) < 20 if adaptive == "true" else len(written) == 1
+
+
 def test_layout_and_load_date(spark, land, tmp_path, database):
     land(files={"a.csv": "h,h,h,h\n1,a,b,01\n"}, partitions=["part"])
     table = read_table(spark, f"{database}.t")
