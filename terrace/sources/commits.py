@@ -43,6 +43,12 @@ def move_folder(spark: SparkSession, path: str, to: str) -> None:
         raise RuntimeError(f"{path} could not be moved to {to}")
 
 
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """The names of the files right below a folder."""
+    files, place = _place(spark, folder)
+    return sorted(f.getPath().getName() for f in files.listStatus(place) if f.isFile())
+
+
 def _numbers(spark: SparkSession, folder: str) -> list[int]:
     files, place = _place(spark, folder)
     if not files.exists(place):

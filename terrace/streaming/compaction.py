@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
@@ -13,7 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from terrace.functions import column, unused_name
-from terrace.sources.commits import add_commit, file_exists, full_path, last_commit, move_folder, remove_folder
+from terrace.sources.commits import (
+    add_commit,
+    file_exists,
+    file_names,
+    full_path,
+    last_commit,
+    make_folder,
+    move_folder,
+    remove_folder,
+)
 from terrace.sources.tables import VERSIONED, partition_directories, replace_partitions
 from terrace.streaming.append import BATCH
 
@@ -47,7 +57,7 @@ def _values(entry: str) -> list[str | None]:
 
 
 def _rewritten(rows: DataFrame, levels: Sequence[str], plan: list[tuple], bins: int) -> DataFrame:
-    """The rows of the planned files, each bin in a task of its own and under the batch that takes it in."""
+    """The rows of the planned files without their partition columns, each bin in the task of its number."""
     name, bin_, into = (unused_name(rows, n) for n in ("file", "bin", "into"))
     keys = [f"key{i}" for i in range(len(levels) + 1)]
     schema = StructType([StructField(k, StringType()) for k in [*keys, into]]).add(bin_, "integer")
@@ -58,8 +68,24 @@ def _rewritten(rows: DataFrame, levels: Sequence[str], plan: list[tuple], bins:
     met = named.join(files, reduce(lambda a, b: a & b, same), "left")
     # A file that nobody has listed would be lost with its folder.
     missing = F.raise_error(F.concat(F.lit("no such file in the plan: "), column(name)))
-    taken = F.coalesce(column(into), missing.cast("string"))
-    return met.repartitionById(bins, F.coalesce(column(bin_), F.lit(0))).withColumn(BATCH, taken).select(*map(column, rows.columns))
+    first, *others = [f for f in rows.schema.fields if f.name not in levels]
+    known = F.when(column(into).isNotNull(), column(first.name)).otherwise(missing.cast(first.dataType)).alias(first.name)
+    return met.repartitionById(bins, F.coalesce(column(bin_), F.lit(0))).select(known, *[column(f.name) for f in others])
+
+
+def _into_folders(spark: SparkSession, staged: str, folders: Sequence[str], suffix: str) -> None:
+    """Move the files of the tasks that wrote them, one for each bin, to the folders of their bins.
+
+    A bin has one value of each partition column. Written by these columns, its rows would all be sorted first.
+    """
+    for f in set(folders):
+        make_folder(spark, f"{staged}/{f}")
+    for name in file_names(spark, staged):
+        if name.endswith(suffix) and not name.startswith(("_", ".")):
+            task = re.match(r"part-(\d+)-", name)
+            if not task or int(task[1]) >= len(folders):
+                raise RuntimeError(f"no task is known to have written {staged}/{name}")
+            move_folder(spark, f"{staged}/{name}", f"{staged}/{folders[int(task[1])]}/{name}")
 
 
 def compact_batches(
@@ -109,7 +135,7 @@ def compact_batches(
         entry, _, file = path.rpartition("/")
         day, _, rest = entry.rpartition(f"{BATCH}=")
         sizes[day.rstrip("/")][int(rest.split("/")[0])].append((path, size))
-    groups, plan, bins = [], [], 0
+    groups, plan, into = [], [], []
     for day, by_batch in sizes.items():
         merged = sorted(n for n, files in by_batch.items() if min(s for _, s in files) < target // 2)
         if len(merged) < 2:
@@ -119,12 +145,12 @@ def compact_batches(
         for n in merged:
             for path, size in by_batch[n]:
                 by_value[path.rpartition("/")[0].partition(f"{BATCH}={n}")[2]].append((path, size))
-        for files in by_value.values():
+        for value, files in by_value.items():
             chosen = fill_bins([s for _, s in files], target)
             for (path, _), b in zip(files, chosen):
                 entry, _, file = path.rpartition("/")
-                plan.append((*_values(entry), file, str(merged[-1]), bins + b))
-            bins += max(chosen) + 1
+                plan.append((*_values(entry), file, str(merged[-1]), len(into) + b))
+            into += [f"{folder(day.rstrip('/'), merged[-1])}{value}"] * (max(chosen) + 1)
     if not plan:
         return nothing
 
@@ -135,11 +161,12 @@ def compact_batches(
     rows = spark.read.format(table_format).schema(whole).option("basePath", location).load(paths)
     number, _ = last_commit(spark, f"{location}/{COMMITS}")
     staged = f"_compacted-{number + 1}"  # a run that is lost before it is committed is written over by the next
-    writer = _rewritten(rows, levels, plan, bins).write.format(table_format).mode("overwrite")
-    writer.option("partitionOverwriteMode", "static").partitionBy(*levels).save(f"{location}/{staged}")
+    writer = _rewritten(rows, levels, plan, len(into)).write.format(table_format).mode("overwrite")
+    writer.save(f"{location}/{staged}")
+    _into_folders(spark, f"{location}/{staged}", into, f".{table_format}")
     add_commit(spark, f"{location}/{COMMITS}", number + 1, {"staged": staged, "groups": groups})
     _finish(spark, location, table, ingest_date, partitions)
-    return {"files_before": len(plan), "files_after": bins}
+    return {"files_before": len(plan), "files_after": len(into)}
 
 
 def _finish(spark: SparkSession, location: str, table: str | None, ingest_date: str | None, partitions: Sequence[str]) -> None:

@@ -75,6 +75,16 @@ def test_bins_and_large_files(spark, job, tmp_path):
     assert got == {"files_before": 12, "files_after": 8} and rows(spark, job) == wanted(range(4))
 
 
+def test_no_task_sorts_what_it_rewrites(spark, job, tmp_path, monkeypatch):
+    """Rows written by partition columns would be sorted by them, all of a bin in the memory of one task."""
+    real, written = compaction._rewritten, []
+    monkeypatch.setattr(compaction, "_rewritten", lambda *args: written.append(real(*args)) or written[0])
+    deliver(spark, job, tmp_path, range(4))
+    size = max(map(os.path.getsize, files(tmp_path)))
+    assert compact_bronze(spark, job, target=int(2.5 * size)) == {"files_before": 12, "files_after": 8}
+    assert written[0].columns == ["id"] and rows(spark, job) == wanted(range(4))
+
+
 def test_nothing_to_do(spark, job, tmp_path):
     nothing = {"files_before": 0, "files_after": 0}
     assert compact_bronze(spark, job) == nothing
