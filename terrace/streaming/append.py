@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -47,6 +47,16 @@ def _run(writer: DataStreamWriter, late: dict[str, int] | None) -> int:
     return sum(rows.values())
 
 
+def _batch_date(spark: SparkSession, checkpoint: str, batch: int) -> Column:
+    """The date that a batch began on, as its entry in the checkpoint has it, for a replay too.
+
+    It is a constant, so rows need no sort to be written by it, as they would by the stream's ``current_date``.
+    """
+    entry = spark.read.text(f"{checkpoint.rstrip('/')}/offsets/{batch}").where("value LIKE '{%\"batchTimestampMs\"%'")
+    began = entry.select(F.get_json_object("value", "$.batchTimestampMs").cast("long")).first()[0]
+    return F.timestamp_millis(F.lit(began)).cast("date").cast("string")
+
+
 def write_batch(
     rows: DataFrame, batch: int, location: str, levels: Sequence[str], table_format: str, stream: str
 ) -> None:
@@ -111,7 +121,6 @@ def append_new(
     if ingest_date:
         if ingest_date in stream.columns:
             raise ValueError(f"the files have a column '{ingest_date}' of their own: name the load date otherwise")
-        stream = stream.withColumn(ingest_date, F.current_date().cast("string"))
         levels = [ingest_date, *levels]
 
     if (quarantine is not None) != (REJECTED in stream.columns):
@@ -119,6 +128,8 @@ def append_new(
     date = [ingest_date] if ingest_date else []
 
     def write(rows: DataFrame, batch: int) -> None:
+        if ingest_date:
+            rows = rows.withColumn(ingest_date, _batch_date(rows.sparkSession, checkpoint, batch))
         if quarantine:
             # Files are parsed once for both places.
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)

@@ -158,6 +158,32 @@ def test_what_is_gathered_of_a_hot_value_goes_to_tasks_of_a_size(spark, land, tm
     assert 2 < len(written) < 20 if adaptive == "true" else len(written) == 1
 
 
+def test_rows_of_a_batch_are_not_sorted_by_its_date(spark, land, monkeypatch):
+    from terrace.streaming import append
+
+    real, plans = append.write_batch, []
+
+    def write(rows, *args):
+        plans.append(rows.sortWithinPartitions("ingest_date")._jdf.queryExecution().optimizedPlan().toString())
+        return real(rows, *args)
+
+    monkeypatch.setattr(append, "write_batch", write)
+    assert len(land(files={"a.csv": CSV}, delimiter=";")) == 6
+    assert plans and not any("Sort" in p for p in plans)
+
+
+def test_a_replay_keeps_the_date_of_its_batch(spark, land, tmp_path, database):
+    land(files={"a.csv": "h,h,h,h\n1,a,b,01\n"})
+    entry, done = (tmp_path / "out" / "t" / "_checkpoint" / n / "0" for n in ("offsets", "commits"))
+    version, began, files = entry.read_text().split("\n")
+    entry.write_text("\n".join([version, json.dumps(json.loads(began) | {"batchTimestampMs": 1_000_000_000_000}), files]))
+    for path in (done, done.parent / ".0.crc", entry.parent / ".0.crc"):
+        path.unlink(missing_ok=True)
+    land()
+    days = {p.name for p in (tmp_path / "out" / "t" / "data").glob("ingest_date=*")}
+    assert "ingest_date=2001-09-09" in days
+
+
 def test_layout_and_load_date(spark, land, tmp_path, database):
     land(files={"a.csv": "h,h,h,h\n1,a,b,01\n"}, partitions=["part"])
     table = read_table(spark, f"{database}.t")
