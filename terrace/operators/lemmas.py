@@ -60,7 +60,8 @@ def lemmatize(
     Words are what ``delimiter`` separates; their order and number stay, and a null text stays null.
     A token listed twice takes the smaller lemma. ``key`` identifies a row: the words of one text
     meet again in an aggregation by it, so no group is larger than a text, and a key held by two
-    rows fails the job. The other columns travel with the first word, not with all of them.
+    rows fails the job. The text and the other columns travel with the first word; of the others only those that the
+    dictionary knows are kept, and take their places in the text.
 
     With a dictionary small enough to broadcast (``broadcast_bytes``, 32 MiB if not given), whole texts are
     shuffled once, by key, and their words not at all. Beyond that words meet the dictionary in a merge join.
@@ -70,33 +71,42 @@ def lemmatize(
     require_columns(dictionary, ["token", "lemma"])
     entries = _entries(dictionary)
     small = _is_small(entries, BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes)
-    row = F.struct(*[column(n) for n in df.columns if n != text])
-    rows = df.select(column(key).alias("key"), row.alias("row"), column(text).alias("text"))
-    split = F.split("text", delimiter_pattern(delimiter))
+    row = F.struct(*[column(n) for n in df.columns])
+    rows = df.select(column(key).alias("key"), row.alias("row"))
+    split = F.split(F.col("row").getField(text), delimiter_pattern(delimiter))
     words = (
         (rows.repartition("key") if small else rows)
         .select("key", "row", F.posexplode_outer(split).alias("position", "token"))
         .withColumn("row", F.when(F.coalesce("position", F.lit(0)) == 0, F.col("row")))
     )
-    found = words.join(F.broadcast(entries), "token", "left") if small else _merged(words, rows, split, entries)
-    word = F.struct("position", F.coalesce("lemma", "token").alias("word"))
+    met = words.join(F.broadcast(entries), "token", "left") if small else _merged(words, rows, split, entries)
+    known = F.when(F.col("lemma").isNotNull(), F.struct("position", "lemma"))
     texts = (
-        found.groupBy("key")
+        met.where((F.coalesce("position", F.lit(0)) == 0) | F.col("lemma").isNotNull())
+        .groupBy("key")
         .agg(
-            F.collect_list(F.when(F.col("position").isNotNull(), word)).alias("words"),
+            F.sort_array(F.collect_list(known)).alias("found"),
             F.first("row", ignorenulls=True).alias("row"),
             F.count("row").alias("rows"),
         )
-        .withColumn("lemmatized", F.array_join(F.sort_array("words")["word"], delimiter))
+        .withColumn("words", split)
     )
     lemmatized = (
         F.when(F.col("rows") > 1, F.raise_error(F.lit(f"'{key}' is not unique")).cast("string"))
-        .when(F.size("words") > 0, F.col("lemmatized"))
+        .when(F.col("words").isNotNull(), F.array_join(_replaced(F.col("words"), F.col("found")), delimiter))
         .alias(text)
     )
     return texts.select(*[lemmatized if n == text else F.col("row").getField(n).alias(n) for n in df.columns])
 
 
+def _replaced(words: Column, found: Column) -> Column:
+    """The words with lemmas at the positions found, which are in order: stretches between two of them are kept whole."""
+    after = lambda i: F.when(i > 0, F.get(found, i - 1)["position"] + 1).otherwise(0)
+    stretch = lambda first, end: F.slice(words, first + 1, end - first)
+    upto = F.transform(found, lambda f, i: F.concat(stretch(after(i), f["position"]), F.array(f["lemma"])))
+    return F.concat(F.flatten(upto), stretch(after(F.size(found)), F.size(words)))
+
+
 class Lemmatize(Step):
     """The same as a step: ``{key, text, dictionary}``, where ``dictionary`` names a table or view."""
 

@@ -89,6 +89,29 @@ def test_sketches_of_a_median_meet_in_two_levels(spark, monkeypatch):
     assert abs(row.first()["s0"] - ROWS / 2) < 0.01 * ROWS
 
 
+@pytest.mark.parametrize("bytes_", [None, 0], ids=["broadcast", "merged"])
+def test_only_known_words_are_brought_together_again(spark, bytes_):
+    from terrace.operators.lemmas import lemmatize
+
+    texts = spark.range(0, 300, 1, TASKS).selectExpr("id AS k", "concat(repeat('a b  ', 100), 'known ', repeat('c ', 9), 'known') AS t")
+    words = spark.createDataFrame([("known", "k")], "token string, lemma string")
+    done = lemmatize(texts, "k", "t", words, broadcast_bytes=bytes_)
+    assert {r["t"] for r in done.collect()} == {"a b  " * 100 + "k " + "c " * 9 + "k"}
+
+    def below(node):
+        name, children = node.nodeName(), node.children()
+        if name.startswith("AdaptiveSparkPlan"):
+            return [node.executedPlan()]
+        return [node.plan()] if "QueryStage" in name else [children.apply(i) for i in range(children.size())]
+
+    def nodes(node):
+        return [node] + [n for c in below(node) for n in nodes(c)]
+
+    plan = nodes(done._jdf.queryExecution().executedPlan())
+    kept = [n for n in plan if n.nodeName() == "Filter" and any(m.nodeName() == "Generate" for m in nodes(n))]
+    assert kept and kept[0].metrics().apply("numOutputRows").value() == 300 * 3
+
+
 def test_a_hot_word_meets_a_large_dictionary_in_many_tasks(spark):
     from terrace.operators.lemmas import lemmatize
 
